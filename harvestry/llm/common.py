@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,3 +76,20 @@ def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+class WordMemo:
+    """Values of a pure function of single words, kept for later texts. Frequent words come early, so the memo keeps
+    the first `limit` words it meets and forgets later ones after the batch that held them."""
+
+    def __init__(self, compute: Callable[[list[str]], Iterable], limit: int = 400_000):
+        self.compute, self.limit, self.known, self.surplus = compute, limit, {}, []
+
+    def ready(self, texts: list[list[str]]) -> dict:
+        """The memo, with all words of these texts in it until the next call."""
+        for w in self.surplus:
+            del self.known[w]
+        new = list(set().union(*texts).difference(self.known))
+        self.known.update(zip(new, self.compute(new), strict=True))
+        self.surplus = new if len(self.known) > self.limit else []
+        return self.known

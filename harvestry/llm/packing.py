@@ -10,6 +10,8 @@ are packed one by one; an empty table gives no rows; other columns of the input
 
 from __future__ import annotations
 
+import functools
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import drop_scratch, small_batches, staged, text_or_empty, tokenizer_file
+from harvestry.llm.common import WordMemo, small_batches, staged, text_or_empty, tokenizer_file
 
 CAPACITY = 4096
 END_ID = 1
@@ -40,18 +42,28 @@ class WordTokenizer:
     so a text's ids are its words' ids in a row, and a word is tokenized once for many texts."""
 
     def __init__(self, path: str, end_id: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the executor's cores are busy with other tasks
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.end, self.known = Tokenizer.from_file(path), np.uint32(end_id).tobytes(), {}
+        self.tokenizer, self.end = Tokenizer.from_file(path), np.uint32(end_id).tobytes()
+        self.memo = WordMemo(self._words, CACHE_WORDS)
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        out = []
+        for i in range(0, len(words), 4096):
+            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words[i : i + 4096], add_special_tokens=False)]
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
         words = [t.split() for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, new = {}, list({w for ws in words for w in ws})
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, ws)) + self.end for ws in words]
+        known = self.memo.ready(words)
+        return [b"".join(map(known.__getitem__, ws)) + self.end for ws in words]
+
+
+@functools.lru_cache(maxsize=1)
+def worker_tokenizer(path: str, end_id: int) -> WordTokenizer:
+    """One per Python worker: its memo serves all tasks that the worker runs."""
+    return WordTokenizer(path, end_id)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
@@ -104,7 +116,7 @@ def pieces_of(doc_id: int | None, ids: bytes, capacity: int) -> list[tuple]:
 
 def _first_round(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, members, made = WordTokenizer(path, end_id), [], 0
+        tokenizer, members, made = worker_tokenizer(path, end_id), [], 0
 
         def flush() -> pa.RecordBatch:
             rows = np.array(members, MEMBER)
@@ -199,5 +211,3 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         every = every.unionByName(part)
     return every.select("round", "task", "bin", "members").mapInArrow(_unpack, PIECES)
 
-
-__all__ = ["WordTokenizer", "best_fit", "drop_scratch", "pack", "pieces_of"]

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import chat, mtree, packing
+from harvestry.llm import chat, mtree, neardup, packing, toxicity
 from harvestry.llm.common import table
 
 
+def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.find(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -21,5 +25,12 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_chat_rotation, op5_exact_topk, op9_best_fit_packing)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op2_dart_minhash, op3_chat_rotation, op5_exact_topk, op9_best_fit_packing, op10_toxicity)
+}
 ORACLES = {"op3_chat_rotation": chat.ORACLE}
