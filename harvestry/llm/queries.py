@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import chat, mtree, neardup, packing, toxicity
+from harvestry.llm import chat, mtree, neardup, packing, pii, toxicity
 from harvestry.llm.common import table
 
 
+def op1_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op2_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.find(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_dart_minhash, op3_chat_rotation, op5_exact_topk, op9_best_fit_packing, op10_toxicity)
+    for f in (op1_pii_bootstrap, op2_dart_minhash, op3_chat_rotation, op5_exact_topk, op9_best_fit_packing, op10_toxicity)
 }
 ORACLES = {"op3_chat_rotation": chat.ORACLE}

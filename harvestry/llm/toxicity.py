@@ -31,18 +31,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import WordMemo, small_batches, text_or_empty
+from harvestry.llm.neardup import bands_of, normal
 
 TOXIC_ROWS, ORDINARY_ROWS, TRAIN_CHARS = 2000, 4000, 32_768
 LEVEL, ORDINARY_BYTES, TOXIC_WORDS = 19, 24_000, 800
 #: Lengths of word beginnings in bytes; the least share of toxic texts that hold one; its least ratio to the share of
-#: ordinary texts; the least likelihood-ratio statistic.
-STEM_BYTES, STEM_SHARE, STEM_RATIO, STEM_G = range(4, 9), 0.03, 20.0, 24.0
+#: ordinary texts, for the strict and the wide dictionary; the least likelihood-ratio statistic.
+STEM_BYTES, STEM_SHARE, STEM_RATIOS, STEM_G = range(4, 9), 0.03, (20.0, 2.0), 24.0
 
 
 @dataclasses.dataclass(frozen=True)
 class Model:
-    toxic: bytes
-    ordinary: bytes
+    """pairs: toxic and ordinary dictionary, strict and wide."""
+
+    pairs: tuple[tuple[bytes, bytes], ...]
     weights: tuple[float, ...]
 
 
@@ -50,71 +52,95 @@ def _window(word: bytes) -> bytes:
     return b" ".join([word] * 3)
 
 
+def _bytes(word: str) -> bytes:
+    return word.encode("utf-8", "surrogatepass")
+
+
 class Evidence:
-    """Evidence of words under two dictionaries."""
+    """Evidence of words under pairs of dictionaries."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes):
-        self.pair = [zstandard.ZstdCompressor(level=LEVEL, dict_data=self._content(d), write_content_size=False, write_dict_id=False) for d in (ordinary, toxic)]
+    def __init__(self, pairs: tuple[tuple[bytes, bytes], ...]):
+        self.places = [list(dict.fromkeys(pairs)).index(p) for p in pairs]  # equal pairs count twice and run once
+        self.pairs = [[self._compressor(d) for d in pair] for pair in dict.fromkeys(pairs)]
         self.memo = WordMemo(self._words)
 
     @staticmethod
-    def _content(data: bytes) -> zstandard.ZstdCompressionDict:
+    def _compressor(data: bytes) -> zstandard.ZstdCompressor:
         content = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         content.precompute_compress(level=LEVEL)
-        return content
+        return zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False, write_dict_id=False)
 
-    def _words(self, words: list[str]) -> list[int]:
-        ordinary, toxic = (c.compress for c in self.pair)
-        windows = [_window(w.encode("utf-8", "surrogatepass")) for w in words]
-        return [len(ordinary(w)) - len(toxic(w)) for w in windows]
+    def _words(self, words: list[str]) -> list[tuple[int, ...]]:
+        windows = [_window(_bytes(w)) for w in words]
+        each = [[len(ordinary.compress(w)) - len(toxic.compress(w)) for w in windows] for toxic, ordinary in self.pairs]
+        return list(zip(*(each[i] for i in self.places), strict=True))
 
     def features(self, texts: list[str]) -> np.ndarray:
-        words = [list(set(t.lower().split())) for t in texts]
+        words = [t.lower().split() for t in texts]
         known = self.memo.ready(words)
-        out = np.zeros((len(texts), 6))
+        out = np.zeros((len(texts), 1 + 8 * len(self.places)))
+        out[:, 0] = 1
         for row, ws in zip(out, words, strict=True):
-            e = np.fromiter(map(known.__getitem__, ws), float, len(ws))
-            top = np.sort(np.maximum(e, 0))[::-1][:3]
-            row[:] = 1, top[0] if len(top) else 0, top.sum() / 3, *(np.log1p((e >= t).sum()) for t in (4, 6, 8))
+            if ws:
+                row[1:] = np.concatenate([self._summary(e) for e in np.array([known[w] for w in ws], float).T])
         return out
 
+    @staticmethod
+    def _summary(e: np.ndarray) -> list[float]:
+        over = [(e >= t).sum() for t in (3, 4, 6, 8)]
+        return [max(e.max(), 0) / 4, *np.log1p(over), *np.log1p(1000 * np.array(over[1:]) / len(e))]
+
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     w = np.zeros(x.shape[1])
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        w += np.linalg.solve((x.T * (p * (1 - p))) @ x + 0.01 * np.eye(len(w)), x.T @ (y - p) - 0.01 * w)
+        w += np.linalg.solve((x.T * (p * (1 - p))) @ x + 0.1 * np.eye(len(w)), x.T @ (y - p) - 0.1 * w)
     return w
 
 
+def _apart(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Rows without near copies of earlier ones, whose words would count over and over."""
+    seen: set[int] = set()
+    out = []
+    for text, t in rows:
+        keys = bands_of(normal(text), False, 8, 1)[0].tolist()
+        if sum(k in seen for k in keys) < 4:
+            out.append((text, t))
+        seen.update(keys)
+    return out
+
+
 def fit(texts: list[str], toxic: list[int]) -> Model | None:
     """Dictionaries and calibration from labelled texts; None unless both classes occur."""
-    rows = sorted(dict(zip(texts, toxic, strict=True)).items())  # copies count once
+    rows = _apart(sorted(dict(zip(texts, toxic, strict=True)).items()))
     if len({t for _, t in rows}) < 2:
         return None
-    words = [{w.encode("utf-8", "surrogatepass") for w in text.lower().split()} for text, _ in rows]
-    stems = {0: Counter(), 1: Counter()}
-    counts = {0: Counter(), 1: Counter()}
-    for ws, (_, t) in zip(words, rows, strict=True):
+    stems, counts = (Counter(), Counter()), (Counter(), Counter())  # texts that hold them, ordinary and toxic
+    for text, t in rows:
+        ws = {_bytes(w) for w in text.lower().split()}
         stems[t].update({w[:n] for w in ws for n in STEM_BYTES if len(w) >= n})
         counts[t].update(ws)
     n1 = sum(t for _, t in rows)
     n0 = len(rows) - n1
-    marked = set()
-    for stem, a in stems[1].items():
-        b = stems[0][stem]
-        g = 2 * (a * np.log(a * (n0 + n1) / ((a + b) * n1)) + (b * np.log(b * (n0 + n1) / ((a + b) * n0)) if b else 0))
-        if a >= max(5, STEM_SHARE * n1) and a / n1 > STEM_RATIO * (b + 0.5) / n0 and g > STEM_G:
-            marked.add(stem)
-    order = lambda counter: sorted(counter, key=lambda w: (-counter[w], w))
-    found = [w for w in order(counts[1]) if any(w[:n] in marked for n in STEM_BYTES)][:TOXIC_WORDS]
-    usual = [w for w in order(counts[0]) if w not in set(found)]
-    shared = b" ".join(usual[:4000][::-1])[-ORDINARY_BYTES:]
-    more = b" ".join(map(_window, found[::-1]))
-    rest = b" ".join(map(_window, usual[:1500][::-1]))[-len(more) :] if more else b""
-    dictionaries = (shared + b" " + more, rest + b" " + shared)
-    x = Evidence(*dictionaries).features([text for text, _ in rows])
-    return Model(*dictionaries, tuple(_logistic(x, np.array([t for _, t in rows], float))))
+    usual = sorted(counts[0], key=lambda w: (-counts[0][w], w))
+    pairs = []
+    for ratio in STEM_RATIOS:
+        marked = set()
+        for stem, a in stems[1].items():
+            b = stems[0][stem]
+            g = 2 * (a * np.log(a * (n0 + n1) / ((a + b) * n1)) + (b * np.log(b * (n0 + n1) / ((a + b) * n0)) if b else 0))
+            if a >= max(4, STEM_SHARE * n1) and a / n1 > ratio * (b + 0.5) / n0 and g > STEM_G:
+                marked.add(stem)
+        found = [w for w in counts[1] if any(w[:n] in marked for n in STEM_BYTES)]
+        found = sorted(found, key=lambda w: (-counts[1][w], w))[:TOXIC_WORDS]
+        plain = [w for w in usual[: 6000 + TOXIC_WORDS] if w not in set(found)]
+        shared = b" ".join(plain[:4000][::-1])[-ORDINARY_BYTES:]
+        more = b" ".join(map(_window, found[::-1]))
+        rest = b" ".join(map(_window, plain[:1500][::-1]))[-len(more) :] if more else b""
+        pairs.append((shared + b" " + more, rest + b" " + shared))
+    x = Evidence(tuple(pairs)).features([text for text, _ in rows])
+    return Model(tuple(pairs), tuple(_logistic(x, np.array([t for _, t in rows], float))))
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS, train_chars: int = TRAIN_CHARS) -> Model | None:
@@ -131,9 +157,9 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordi
 
 
 @functools.lru_cache(maxsize=1)
-def worker_evidence(toxic: bytes, ordinary: bytes) -> Evidence:
+def worker_evidence(pairs: tuple[tuple[bytes, bytes], ...]) -> Evidence:
     """One per Python worker: its memo serves all tasks that the worker runs."""
-    return Evidence(toxic, ordinary)
+    return Evidence(pairs)
 
 
 def score(model: Model | None, text: Column) -> Column:
@@ -143,7 +169,7 @@ def score(model: Model | None, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        x = worker_evidence(model.toxic, model.ordinary).features(texts.tolist())
+        x = worker_evidence(model.pairs).features(texts.tolist())
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))))
 
     return scored(F.coalesce(text, F.lit("")))

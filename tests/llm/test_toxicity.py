@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from harvestry.llm import toxicity
@@ -31,10 +32,12 @@ def test_edges(spark):
 
 
 def test_dictionaries_tell_windows_apart():
-    ordinary = [f"the quiet river runs past mill number {i} and the old bridge" for i in range(60)]
-    toxic = [f"{t} you wretchedfool of number {i}" for i, t in enumerate(ordinary)]
+    rng = random.Random(2)
+    words = [f"{a}{b}" for a in ("river", "bridge", "mill", "stone", "field") for b in ("", "s", "side", "man", "bed")]
+    ordinary, more = ([" ".join(rng.choice(words) for _ in range(30)) for _ in range(60)] for _ in range(2))
+    toxic = [f"{t} you wretchedfool" for t in more]
     model = toxicity.fit(ordinary + toxic, [0] * 60 + [1] * 60)
-    e = toxicity.Evidence(model.toxic, model.ordinary)
-    words = e.memo.ready([["wretchedfool", "bridge", "river"]])
+    e = toxicity.Evidence(model.pairs)
+    words = {w: v[0] for w, v in e.memo.ready([["wretchedfool", "bridge", "river"]]).items()}
     assert words["wretchedfool"] >= 4 and abs(words["bridge"]) <= 2 and abs(words["river"]) <= 2
     assert toxicity.fit(ordinary, [0] * 60) is None
