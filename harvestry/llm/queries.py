@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import chat, mtree, neardup, packing, pii, toxicity
+from harvestry.llm import chat, mpegts, mtree, neardup, packing, pii, toxicity, warc
 from harvestry.llm.common import table
 
 
@@ -21,10 +21,18 @@ def op3_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op4_mpeg_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mpegts.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -35,6 +43,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii_bootstrap, op2_dart_minhash, op3_chat_rotation, op5_exact_topk, op9_best_fit_packing, op10_toxicity)
+    for f in (
+        op1_pii_bootstrap,
+        op2_dart_minhash,
+        op3_chat_rotation,
+        op4_mpeg_ts,
+        op5_exact_topk,
+        op6_warc,
+        op9_best_fit_packing,
+        op10_toxicity,
+    )
 }
-ORACLES = {"op3_chat_rotation": chat.ORACLE}
+ORACLES = {"op3_chat_rotation": chat.ORACLE, "op6_warc": warc.oracle()}
