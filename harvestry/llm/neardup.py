@@ -7,10 +7,11 @@ probability of their weighted Jaccard similarity. Darts are thrown up to the ran
 fallen, whatever the size of the text, and further only while a coordinate has none.
 
 Texts of equal words are one node from the start, so copies cost nothing later. Nodes that share a band's key form a
-bucket. In a round, one centre of each bucket, in later rounds some, meets the bucket's nodes of other classes; each new
-pair is verified against the exact similarity, classes are the connected components so far, and a centre that has met
-all others leaves. A bucket is done when one class is left in it, after the first round in a group of near copies.
-No pair of a bucket between different classes goes untested, yet a round makes a bounded number of pairs per row.
+bucket. First, every node of a bucket is verified against the bucket's centre, the text that meets most others, with the
+exact similarity; classes are the connected components of these links. That settles groups of near copies at one link
+per row. In buckets with several classes, pairs of different classes are compared next, block by block, by sketches of
+their signatures, and only pairs that may reach the similarity become rows and are verified. So no link between
+different classes of a bucket is lost, and a bucket of one class, however large, costs nothing more.
 
 Weights are 1 per distinct shingle by default (the plain Jaccard similarity), or the shingle's count in the text.
 
@@ -37,8 +38,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 6) ** 42 < 3e-6.
 BANDS, ROWS = 42, 6
 
-#: Pairs per row of a bucket in the first round and in later rounds.
-FIRST_SHARE, LATER_SHARE = 1, 32
+#: Rows of a bucket's block.
+BLOCK = 512
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)
@@ -100,7 +101,8 @@ def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
     while True:
         while len(alive):
             # the next few darts of the strips that may still have some below the limit
-            ahead = int(max(1, min(64, limit - last[alive].min() + 1, 400_000 // len(alive) + 1)))
+            room = limit - float(last[alive].min())
+            ahead = int(min(room + 3 * room**0.5 + 2, 400_000 // len(alive) + 1))
             no = np.arange(thrown, thrown + ahead, dtype=np.uint64) + np.uint64(1)
             darts = _mixed(seeds[alive, None] + no[None, :] * _M2)
             gaps = -np.log(((darts >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53)
@@ -112,11 +114,10 @@ def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
                 hit &= ~narrow[:, None] | ((_mixed(more + _GOLD) >> np.uint64(11)).astype(float) * 2.0**-53 < width[alive, None])
             ranks, marks = at[hit], more[hit]
             spot = (marks % np.uint64(k)).astype(int)
-            order = np.lexsort((marks, ranks))[::-1]  # the earliest is written last
-            best, code = np.full(k, np.inf), np.zeros(k, np.uint64)
-            best[spot[order]], code[spot[order]] = ranks[order], marks[order]
-            new = best < rank
-            rank[new], mark[new] = best[new], code[new]
+            before = rank.copy()
+            np.minimum.at(rank, spot, ranks)
+            first = (ranks == rank[spot]) & (ranks < before[spot])
+            mark[spot[first]] = marks[first]
             thrown += ahead
             alive = alive[last[alive] <= limit]
         if np.isfinite(rank).all():
@@ -210,27 +211,61 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _alike(least: float):
+def _cross(least: float):
+    """Pairs of different classes within groups of rows (key, lo, hi, block, node, root, sketch), sorted by group, whose
+    sketches agree in at least that share. A group with lo = hi is one block, others are two blocks to compare."""
+
+    def pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        _, lo, hi, block, node, root, sketch = zip(*rows, strict=True)
+        marks = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(rows), -1)
+        classes = np.unique(root, return_inverse=True)[1]
+        block = np.array(block)
+        for i in range(len(rows)):
+            with_whom = classes != classes[i]
+            with_whom[: i + 1] = False
+            if lo[0] != hi[0]:
+                with_whom &= block != block[i]
+            others = np.flatnonzero(with_whom)
+            for k in others[(marks[others] == marks[i]).mean(1) >= least]:
+                yield min(node[i], node[k]), max(node[i], node[k])
+
+    def out(found: set) -> pa.RecordBatch:
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["node", "centre"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, found = [], set()
         for batch in batches:
-            n = batch.num_rows
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(n, -1) if n else np.zeros((0, 1)) for i in (2, 3))
-            keep = pa.array((a == b).mean(1) >= least) if n else pa.array([], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["node", "centre"])
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group and row[:3] != group[0][:3]:
+                    found.update(pairs(group))
+                    group = []
+                    if len(found) > 50_000:
+                        yield out(found)
+                        found = set()
+                group.append(row)
+        if group:
+            found.update(pairs(group))
+        yield out(found)
 
     return run
 
 
-def _screened(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """Pairs whose signatures agree in all but 7 standard errors of what the least similarity promises."""
-    k = F.length("sketch")
-    both = pairs.join(sketches, "node").join(sketches.select(F.col("node").alias("centre"), F.col("sketch").alias("other")), "centre")
-    n = sketches.select(k.alias("k")).head()["k"]
-    margin = least - 7 * (least * (1 - least) / n) ** 0.5
-    return both.select("node", "centre", "sketch", "other").mapInArrow(_alike(margin), "node binary, centre binary")
+def crossing(members: DataFrame, sketches: DataFrame, k: int, least: float) -> DataFrame:
+    """Pairs (node, centre) of different classes that meet in a bucket of members(key, node, root) and whose sketches
+    agree in all but 4 standard errors of what the least similarity promises. Buckets of one class are left out; large
+    ones are compared block by block, and only the pairs that pass become rows."""
+    mixed = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+    rows = members.join(mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key").join(sketches, "node")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root", "sketch")
+    group = ["key", "lo", "hi"]
+    margin = least - 4 * (least * (1 - least) / k) ** 0.5
+    return rows.repartition(*group).sortWithinPartitions(*group, "node").mapInArrow(_cross(margin), "node binary, centre binary").distinct()
 
 
-def links(nodes: DataFrame, docs: DataFrame, weighted: bool, size: int, least: float) -> tuple[DataFrame, DataFrame] | None:
+def links(nodes: DataFrame, docs: DataFrame, weighted: bool, size: int, least: float, k: int) -> tuple[DataFrame, DataFrame] | None:
     """Verified links (node, centre) between the distinct texts of nodes(node, keys, sketch), and their components
     (node, root); None without any bucket of two texts."""
     rows = nodes.select("node", F.explode("keys").alias("key"))
@@ -243,25 +278,19 @@ def links(nodes: DataFrame, docs: DataFrame, weighted: bool, size: int, least: f
     sketches = staged(nodes.select("node", "sketch").join(met, "node", "left_semi"), "sketches")
     texts = docs.select(text_or_empty().alias("text")).withColumn("node", node_of(F.col("text"))).join(met, "node", "left_semi")
     texts = staged(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
-    members = staged(members.join(met, "node").select("key", "node", "met", F.col("node").alias("root")), "members")
-    found, tried, share = None, None, FIRST_SHARE
-    while not is_empty(members):
-        bucket, same = Window.partitionBy("key"), Window.partitionBy("key", "root")
-        sized = members.withColumns({"n": F.count("*").over(bucket), "own": F.count("*").over(same)}).where("own < n")
-        spent = F.sum(F.col("n") - F.col("own")).over(bucket.orderBy(F.desc("met"), "node").rowsBetween(Window.unboundedPreceding, 0))
-        sized = sized.withColumn("centre", (spent <= share * F.col("n")) | (F.row_number().over(bucket.orderBy(F.desc("met"), "node")) == 1))
-        sized = staged(sized.select("key", "node", "met", "root", "centre"), "members")
-        centres = sized.where("centre").select("key", F.col("node").alias("c"), F.col("root").alias("c_root"))
-        pairs = sized.join(centres, "key").where("root <> c_root").select(F.least("node", "c").alias("node"), F.greatest("node", "c").alias("centre")).distinct()
-        pairs = pairs if tried is None else pairs.join(tried, ["node", "centre"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        near = staged(_verified(_screened(pairs, sketches, least), texts, weighted, size, least).where("near").select("node", "centre"), "near")
-        found = near if found is None else found.unionByName(near)
-        roots = components(found.toDF("a", "b")).withColumnRenamed("root", "joined")
-        left = sized.where("not centre").select("key", "node", "met").join(roots, "node", "left")
-        members, share = staged(left.select("key", "node", "met", F.coalesce("joined", "node").alias("root")), "members"), LATER_SHARE
-    return found, roots.withColumnRenamed("joined", "root")
+    ranked = members.join(met, "node").select("key", "node", "met")
+    centres = ranked.groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
+    pairs = members.select("key", "node").join(centres, "key").where("node <> centre").select(F.least("node", "centre").alias("node"), F.greatest("node", "centre").alias("centre"))
+    tried = staged(_verified(pairs.distinct(), texts, weighted, size, least), "tried")
+    near = tried.where("near").select("node", "centre")
+    roots = components(near.toDF("a", "b"))
+    classes = members.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    more = crossing(classes, sketches, k, least).join(tried.select("node", "centre"), ["node", "centre"], "left_anti")
+    late = staged(_verified(staged(more, "crossing"), texts, weighted, size, least).where("near").select("node", "centre"), "late")
+    if is_empty(late):
+        return near, roots
+    near = near.unionByName(late)
+    return near, components(near.toDF("a", "b"))
 
 
 def _classes(docs: DataFrame, weighted: bool, bands: int, rows: int, size: int, least: float) -> tuple[DataFrame, DataFrame]:
@@ -271,7 +300,7 @@ def _classes(docs: DataFrame, weighted: bool, bands: int, rows: int, size: int,
     signed = staged(base.mapInArrow(_signed(weighted, bands, rows, size), "doc_id long, node binary, keys array<bigint>, sketch binary"), "signed")
     nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     nodes = staged(nodes, "nodes")
-    linked = links(nodes, docs, weighted, size, least)
+    linked = links(nodes, docs, weighted, size, least, bands * rows)
     ids = nodes.select("node", "first_id", "copies")
     none = F.lit(0).cast("long").alias("links")
     alone = ids.select("node", F.col("node").alias("root"), "first_id", F.col("first_id").alias("class_id"), F.col("copies").alias("class_rows"), none)
