@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import chat, mpegts, mtree, neardup, packing, pii, toxicity, warc
+from harvestry.llm import chat, mpegts, mtree, neardup, packing, pii, sentencepieces, sharding, toxicity, warc
 from harvestry.llm.common import table
 
 
@@ -33,6 +33,14 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.appended_and_compacted(table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -50,8 +58,10 @@ QUERIES = {
         op4_mpeg_ts,
         op5_exact_topk,
         op6_warc,
+        op7_compaction,
+        op8_sentencepiece,
         op9_best_fit_packing,
         op10_toxicity,
     )
 }
-ORACLES = {"op3_chat_rotation": chat.ORACLE, "op6_warc": warc.oracle()}
+ORACLES = {"op3_chat_rotation": chat.ORACLE, "op5_exact_topk": mtree.ORACLE, "op6_warc": warc.oracle()}
