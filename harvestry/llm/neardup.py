@@ -38,8 +38,10 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 6) ** 42 < 3e-6.
 BANDS, ROWS = 42, 6
 
-#: Rows of a bucket's block.
-BLOCK = 512
+#: Rows of a bucket's block; coordinates of the sketches that its classes are compared by.
+BLOCK, SKETCH = 512, 1008
+#: Nodes up to this number, 16 MB, are broadcast to find their texts.
+BROADCAST_NODES = 1_000_000
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)
@@ -126,14 +128,21 @@ def signature(elements: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
         limit, last, thrown, alive = limit * 2, np.zeros(len(cells)), 0, np.arange(len(cells))
 
 
-def bands_of(words: str, weighted: bool, bands: int, rows: int, size: int = SHINGLE) -> tuple[np.ndarray, bytes]:
-    """A text's band keys, and a sketch: one byte of each coordinate."""
+def bands_of(words: str, weighted: bool, bands: int, rows: int, size: int = SHINGLE) -> np.ndarray:
+    """A text's band keys."""
     elements, counts = shingles(words, size)
     marks = signature(elements, counts if weighted else np.ones(len(elements)), bands * rows).reshape(bands, rows)
     both = np.arange(bands, dtype=np.uint64)
     for k in range(rows):
         both = _mixed(both * _GOLD + marks[:, k])
-    return both.view(np.int64), (_mixed(marks + _GOLD) >> np.uint64(56)).astype(np.uint8).tobytes()
+    return both.view(np.int64)
+
+
+def sketch_of(words: str, weighted: bool, k: int, size: int = SHINGLE) -> bytes:
+    """One byte of each coordinate of a signature."""
+    elements, counts = shingles(words, size)
+    marks = signature(elements, counts if weighted else np.ones(len(elements)), k)
+    return (_mixed(marks + _GOLD) >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
 def similarity(a: tuple, b: tuple, weighted: bool) -> float:
@@ -154,11 +163,11 @@ def _signed(weighted: bool, bands: int, rows: int, size: int):
         for batch in batches:
             words = [normal(t) for t in batch.column(1).to_pylist()]
             keys = [bands_of(w, weighted, bands, rows, size) for w in words]
-            flat = np.concatenate([k for k, _ in keys]) if keys else np.zeros(0, np.int64)
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * bands, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([_node(w) for w in words], pa.binary()), lists, pa.array([s for _, s in keys], pa.binary())],
-                names=["doc_id", "node", "keys", "sketch"],
+                [batch.column(0), pa.array([_node(w) for w in words], pa.binary()), lists],
+                names=["doc_id", "node", "keys"],
             )
 
     return run
@@ -251,23 +260,34 @@ def _cross(least: float):
     return run
 
 
-def crossing(members: DataFrame, sketches: DataFrame, k: int, least: float) -> DataFrame:
-    """Pairs (node, centre) of different classes that meet in a bucket of members(key, node, root) and whose sketches
-    agree in all but 4 standard errors of what the least similarity promises. Buckets of one class are left out; large
-    ones are compared block by block, and only the pairs that pass become rows."""
+def _sketched(weighted: bool, k: int, size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sketch_of(normal(t), weighted, k, size) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["node", "sketch"])
+
+    return run
+
+
+def crossing(members: DataFrame, texts: DataFrame, weighted: bool, size: int, least: float) -> DataFrame:
+    """Pairs (node, centre) of different classes that meet in a bucket of members(key, node, root) and whose sketches, of
+    SKETCH coordinates, agree in all but 4 standard errors of what the least similarity promises. Buckets of one class
+    are left out; large ones are compared block by block, and only the pairs that pass become rows."""
     mixed = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-    rows = members.join(mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key").join(sketches, "node")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = staged(members.join(mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key"), "mixed")
+    met = texts.join(rows.select("node").distinct(), "node", "left_semi").select("node", "text")
+    sketches = staged(met.mapInArrow(_sketched(weighted, SKETCH, size), "node binary, sketch binary"), "sketches")
+    rows = rows.join(sketches, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root", "sketch")
     group = ["key", "lo", "hi"]
-    margin = least - 4 * (least * (1 - least) / k) ** 0.5
+    margin = least - 4 * (least * (1 - least) / SKETCH) ** 0.5
     return rows.repartition(*group).sortWithinPartitions(*group, "node").mapInArrow(_cross(margin), "node binary, centre binary").distinct()
 
 
-def links(nodes: DataFrame, docs: DataFrame, weighted: bool, size: int, least: float, k: int) -> tuple[DataFrame, DataFrame] | None:
-    """Verified links (node, centre) between the distinct texts of nodes(node, keys, sketch), and their components
-    (node, root); None without any bucket of two texts."""
+def links(nodes: DataFrame, docs: DataFrame, weighted: bool, size: int, least: float) -> tuple[DataFrame, DataFrame] | None:
+    """Verified links (node, centre) between the distinct texts of nodes(node, keys), and their components (node, root);
+    None without any bucket of two texts."""
     rows = nodes.select("node", F.explode("keys").alias("key"))
     crowded = rows.groupBy("key").count().where("count > 1")
     members = staged(rows.join(crowded, "key"), "members")
@@ -275,8 +295,10 @@ def links(nodes: DataFrame, docs: DataFrame, weighted: bool, size: int, least: f
         return None
     # texts that meet many others come first: an original before its edited copies
     met = staged(members.groupBy("node").agg(F.sum("count").alias("met")), "met")
-    sketches = staged(nodes.select("node", "sketch").join(met, "node", "left_semi"), "sketches")
-    texts = docs.select(text_or_empty().alias("text")).withColumn("node", node_of(F.col("text"))).join(met, "node", "left_semi")
+    wanted = met.select("node")
+    if met.count() <= BROADCAST_NODES:  # else Spark shuffles the texts
+        wanted = F.broadcast(wanted)
+    texts = docs.select(text_or_empty().alias("text")).withColumn("node", node_of(F.col("text"))).join(wanted, "node", "left_semi")
     texts = staged(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
     ranked = members.join(met, "node").select("key", "node", "met")
     centres = ranked.groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
@@ -285,7 +307,7 @@ def links(nodes: DataFrame, docs: DataFrame, weighted: bool, size: int, least: f
     near = tried.where("near").select("node", "centre")
     roots = components(near.toDF("a", "b"))
     classes = members.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    more = crossing(classes, sketches, k, least).join(tried.select("node", "centre"), ["node", "centre"], "left_anti")
+    more = crossing(classes, texts, weighted, size, least).join(tried.select("node", "centre"), ["node", "centre"], "left_anti")
     late = staged(_verified(staged(more, "crossing"), texts, weighted, size, least).where("near").select("node", "centre"), "late")
     if is_empty(late):
         return near, roots
@@ -297,10 +319,10 @@ def _classes(docs: DataFrame, weighted: bool, bands: int, rows: int, size: int,
     """(doc_id, node) of every row, and of every distinct text: node, root, first_id, class_id, class_rows, links."""
     small_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    signed = staged(base.mapInArrow(_signed(weighted, bands, rows, size), "doc_id long, node binary, keys array<bigint>, sketch binary"), "signed")
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
+    signed = staged(base.mapInArrow(_signed(weighted, bands, rows, size), "doc_id long, node binary, keys array<bigint>"), "signed")
+    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
     nodes = staged(nodes, "nodes")
-    linked = links(nodes, docs, weighted, size, least, bands * rows)
+    linked = links(nodes, docs, weighted, size, least)
     ids = nodes.select("node", "first_id", "copies")
     none = F.lit(0).cast("long").alias("links")
     alone = ids.select("node", F.col("node").alias("root"), "first_id", F.col("first_id").alias("class_id"), F.col("copies").alias("class_rows"), none)

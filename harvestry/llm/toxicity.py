@@ -104,7 +104,7 @@ def _apart(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     seen: set[int] = set()
     out = []
     for text, t in rows:
-        keys = bands_of(normal(text), False, 8, 1)[0].tolist()
+        keys = bands_of(normal(text), False, 8, 1).tolist()
         if sum(k in seen for k in keys) < 4:
             out.append((text, t))
         seen.update(keys)
