@@ -135,7 +135,14 @@ def discovered(docs: DataFrame, min_instances: int = MIN_INSTANCES, accept: floa
     patterns = staged(patterns, "patterns")
     if is_empty(patterns):
         return marked, None
-    accepted = score_graph(edges.join(patterns, "pattern", "left_semi"), occurrences(docs, patterns), rounds, min_instances, accept)
+    # occurrences in texts with mentions bound a pattern's score from above; most patterns end here
+    edges = edges.join(patterns, "pattern", "left_semi")
+    least = occurrences(docs.where(F.col("text").rlike("[0-9@]")), patterns).withColumnRenamed("total", "least")
+    mass = edges.groupBy("pattern").agg(F.sum("n").alias("mass"))
+    patterns = staged(mass.join(least, "pattern").where(F.col("mass") >= accept * F.col("least")).select("pattern"), "patterns")
+    if is_empty(patterns):
+        return marked, None
+    accepted = score_graph(edges, occurrences(docs, patterns), rounds, min_instances, accept)
     if is_empty(accepted):
         return marked, None
     fresh = texts.select("key", "base", F.explode("mentions").alias("m")).where("m.kind is null")
