@@ -1,7 +1,8 @@
 """Resolution of names to entities: canonical districts, exact, alias and fuzzy tiers, creation.
 
 Distinct keys are resolved once by joins; what stays unresolved is created, with names that resemble each other within
-a block sharing one new entity. All tiers are set operations; Spark broadcasts dimensions when they are small.
+a block sharing one new entity. All tiers are set operations; Spark broadcasts dimensions when they are small. Tables of
+distinct keys are written between the tiers: each tier reads its keys several times, and the plans stay small.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql.window import Window
 from harvestry.functions.text import crop_key, market_key, normalize_kind
 from harvestry.operators.similar import best_match, similar_pairs
 from harvestry.schema import CROP_FUZZY, MARKET_FUZZY
+from harvestry.sources.staging import numbered, staged
 
 
 def canonical_districts(rows: DataFrame, aliases: DataFrame, district: str = "district") -> DataFrame:
@@ -25,9 +27,10 @@ def canonical_districts(rows: DataFrame, aliases: DataFrame, district: str = "di
 def resolve(keys: DataFrame, entities: DataFrame, aliases: DataFrame, blocks: list[str], threshold: float) -> DataFrame:
     """keys(key, blocks) with entity_id and method EXACT, ALIAS, FUZZY or null. entities(id, key, blocks) are the active
     ones, aliases(owner_id, normalized_alias) the approved ones, which count in any block."""
+    keys = staged(keys, "keys")
     exact = keys.join(entities.groupBy("key", *blocks).agg(F.min("id").alias("exact_id")), ["key", *blocks], "left")
     known = aliases.groupBy(F.col("normalized_alias").alias("key")).agg(F.min("owner_id").alias("alias_id"))
-    tiers = exact.join(known, "key", "left")
+    tiers = staged(exact.join(known, "key", "left"), "tiers")
     todo = tiers.where("exact_id is null and alias_id is null")
     ask = todo.select(F.struct("key", *blocks).alias("id"), F.col("key").alias("name"), *blocks)
     near = best_match(ask, entities.select("id", F.col("key").alias("name"), *blocks), threshold, blocks)
@@ -40,15 +43,17 @@ def resolve(keys: DataFrame, entities: DataFrame, aliases: DataFrame, blocks: li
 def create_missing(resolved: DataFrame, blocks: list[str], threshold: float, first_id: int) -> DataFrame:
     """resolved with new ids, method CREATED, for the rest: a key joins the first created key of its block that it
     resembles, if any, as it would when keys come one after the other. Ids follow the order of keys."""
+    resolved = staged(resolved, "resolved")
     rest = resolved.where("entity_id is null").select("key", *blocks)
     pair = rest.select(F.struct("key", *blocks).alias("id"), F.col("key").alias("name"), *blocks)
     earlier = similar_pairs(pair, pair, threshold, blocks).where("r_id < l_id").groupBy("l_id").agg(F.min("r_id").alias("leader"))
     owner = pair.select("id").join(earlier, F.col("id") == F.col("l_id"), "left").select("id", F.coalesce("leader", "id").alias("leader"))
-    leaders = owner.select("leader").distinct()
-    ids = leaders.withColumn("new_id", F.lit(first_id) + F.row_number().over(Window.orderBy("leader")) - 1)
+    owner = staged(owner, "owners")
+    ids = numbered(owner.select("leader").distinct(), ["leader"], "new_id", first_id)
     made = owner.join(ids, "leader").select("id.*", F.col("new_id"))
     out = resolved.join(made, ["key", *blocks], "left")
-    return out.select("key", *blocks, F.coalesce("entity_id", "new_id").alias("entity_id"), F.when(F.col("entity_id").isNull(), "CREATED").otherwise(F.col("method")).alias("method"), "similarity")
+    out = out.select("key", *blocks, F.coalesce("entity_id", "new_id").alias("entity_id"), F.when(F.col("entity_id").isNull(), "CREATED").otherwise(F.col("method")).alias("method"), "similarity")
+    return staged(out, "created")
 
 
 def resolve_markets(records: DataFrame, markets: DataFrame, aliases: DataFrame, district_aliases: DataFrame, threshold: float = MARKET_FUZZY) -> DataFrame:
@@ -89,7 +94,8 @@ def resolve_kinds(rows: DataFrame, kinds: DataFrame, parent: str, text: str, out
         owned = aliases.where("approved").join(active.select(F.col("id").alias("owner_id"), F.col(parent).alias("__p")), "owner_id")
         known = known.join(owned.groupBy("__p", F.col("normalized_alias").alias("__n")).agg(F.min("owner_id").alias("__alias")), ["__p", "__n"], "left")
     last = kinds.agg(F.coalesce(F.max("id"), F.lit(0))).head()[0]
-    fresh = known.where("__exact is null and __alias is null").withColumn("__new", F.lit(last) + F.row_number().over(Window.orderBy("__p", "__n")))
+    known = staged(known, "kinds")
+    fresh = numbered(known.where("__exact is null and __alias is null").select("__p", "__n"), ["__p", "__n"], "__new", last + 1)
     known = known.join(fresh.select("__p", "__n", "__new"), ["__p", "__n"], "left").select("__p", "__n", F.coalesce("__exact", "__alias", "__new").alias(out))
     return keyed.join(known, (F.col(parent) == F.col("__p")) & (F.col("__name") == F.col("__n")), "left").drop("__p", "__n", "__name")
 

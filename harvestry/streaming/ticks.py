@@ -6,16 +6,16 @@ spark.checkpoint.dir, and returns what the sink holds. Run again with the same c
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harvestry.sources.staging import shared_folder
+
 
 def _folder(spark: SparkSession, label: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="harvestry-stream-")
-    return f"{base.rstrip('/')}/harvestry-stream/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/harvestry-stream/{label}-{uuid.uuid4().hex}"
 
 
 def _source(spark: SparkSession, path: str) -> DataFrame:
