@@ -2,13 +2,18 @@
 compress each window of a text.
 
 A window is a word, lower case, written three times: one long match in a dictionary that knows the word then outweighs
-a frame's fixed costs. Evidence of a window is the length under the ordinary dictionary less that under the toxic one.
+a frame's fixed costs. A word under 4 bytes is spelled with hyphens, else its match would save too little. A phrase of
+two or three neighbouring words, without the punctuation around them, makes a window of its own in dictionaries of
+phrases. Evidence of a window is the length under the ordinary dictionary less that under the toxic one.
 Both dictionaries hold the same ordinary text; the toxic one adds windows of toxic text, the other as much further
 ordinary text, so that ordinary windows compress alike and their evidence is near 0. Toxic text is in most of its words
-ordinary too; the windows that go into the toxic dictionary are the words of toxic training texts with a beginning that
-is far more frequent there than in ordinary training texts. The dictionaries are content only, without entropy tables,
-because literals' tables made from different texts would blur the difference. Words repeat from text to text, so a
-worker compresses each word once. Evidence thresholds are calibrated by logistic regression on training texts.
+ordinary too; the windows that go into the toxic dictionary are all words of toxic training texts that are short or have
+a beginning, and all phrases without such a word, in at least MARKED_TEXTS toxic training texts and far more frequent
+there than in ordinary ones. No share of the toxic texts is asked for, so a marker of a small language counts as much as
+one of a large language in as many texts. Phrases are compressed where all their words occur in marked phrases; others
+have no evidence. The dictionaries are content only, without entropy tables, because literals' tables made from
+different texts would blur the difference. Words repeat from text to text, so a worker compresses each window once.
+Evidence thresholds are calibrated by logistic regression on training texts.
 
 Training takes at most `toxic_rows` and `ordinary_rows` labelled texts of at most `train_chars` characters, chosen by a
 hash of doc_id; scoring reads every text whole.
@@ -22,7 +27,9 @@ from __future__ import annotations
 
 import dataclasses
 import functools
+import string
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,35 +41,64 @@ from harvestry.llm.common import WordMemo, small_batches, text_or_empty
 from harvestry.llm.neardup import bands_of, normal
 
 TOXIC_ROWS, ORDINARY_ROWS, TRAIN_CHARS = 2000, 4000, 32_768
-LEVEL, ORDINARY_BYTES, TOXIC_WORDS = 19, 24_000, 800
-#: Lengths of word beginnings in bytes; the least share of toxic texts that hold one; its least ratio to the share of
-#: ordinary texts, for the strict and the wide dictionary; the least likelihood-ratio statistic.
-STEM_BYTES, STEM_SHARE, STEM_RATIOS, STEM_G = range(4, 9), 0.03, (20.0, 2.0), 24.0
+LEVEL, ORDINARY_BYTES = 19, 24_000
+#: Lengths of word beginnings in bytes (shorter words count whole) and of phrases in words; the least number of toxic texts
+#: that hold one; the least ratio of its share of toxic texts to that of ordinary texts, for the strict and the wide
+#: dictionary; the least likelihood-ratio statistic.
+STEM_BYTES, PHRASE_WORDS, MARKED_TEXTS, STEM_RATIOS, STEM_G = range(4, 9), (2, 3), 4, (20.0, 2.0), 24.0
+
+Pairs = tuple[tuple[bytes, bytes], ...]
+
+
+@dataclasses.dataclass(frozen=True)
+class Phrases:
+    """Dictionaries of phrases as in Model, and the words of all marked phrases."""
+
+    pairs: Pairs = ()
+    words: frozenset[str] = frozenset()
 
 
 @dataclasses.dataclass(frozen=True)
 class Model:
     """pairs: toxic and ordinary dictionary, strict and wide."""
 
-    pairs: tuple[tuple[bytes, bytes], ...]
+    pairs: Pairs
+    phrases: Phrases
     weights: tuple[float, ...]
 
 
 def _window(word: bytes) -> bytes:
+    if len(word) < STEM_BYTES[0]:
+        word = b"-" + b"".join(b"%c-" % c for c in word)
     return b" ".join([word] * 3)
 
 
+def _phrase_window(phrase: tuple[str, ...]) -> bytes:
+    return (_bytes(" ".join(phrase)) + b"|") * 3  # the mark keeps the order of words in the repetition
+
+
+def _bare(word: str) -> str:
+    return word.strip(string.punctuation)
+
+
+def _phrases(words: list[str]) -> Iterator[tuple[str, ...]]:
+    for n in PHRASE_WORDS:
+        yield from zip(*(words[i:] for i in range(n)), strict=False)
+
+
 def _bytes(word: str) -> bytes:
     return word.encode("utf-8", "surrogatepass")
 
 
 class Evidence:
-    """Evidence of words under pairs of dictionaries."""
+    """Evidence of words and phrases under pairs of dictionaries."""
 
-    def __init__(self, pairs: tuple[tuple[bytes, bytes], ...]):
-        self.places = [list(dict.fromkeys(pairs)).index(p) for p in pairs]  # equal pairs count twice and run once
-        self.pairs = [[self._compressor(d) for d in pair] for pair in dict.fromkeys(pairs)]
-        self.memo = WordMemo(self._words)
+    def __init__(self, pairs: Pairs, phrases: Phrases = Phrases()):
+        self.words, self.phrases = self._measure(pairs), self._measure(phrases.pairs)
+        self.n_words, self.n_phrases = len(pairs), len(phrases.pairs)
+        self.bare = ["", *sorted(phrases.words)]
+        self.places = {w: i for i, w in enumerate(self.bare) if i}
+        self.memo, self.phrase_memo = WordMemo(self._words), WordMemo(lambda ps: self.phrases(map(_phrase_window, ps)))
 
     @staticmethod
     def _compressor(data: bytes) -> zstandard.ZstdCompressor:
@@ -70,25 +106,50 @@ class Evidence:
         content.precompute_compress(level=LEVEL)
         return zstandard.ZstdCompressor(level=LEVEL, dict_data=content, write_content_size=False, write_dict_id=False)
 
+    @classmethod
+    def _measure(cls, pairs: Pairs):
+        places = [list(dict.fromkeys(pairs)).index(p) for p in pairs]  # equal pairs count twice and run once
+        made = [[cls._compressor(d) for d in pair] for pair in dict.fromkeys(pairs)]
+
+        def run(windows: Iterator[bytes]) -> list[tuple[int, ...]]:
+            windows = list(windows)
+            each = [[len(ordinary.compress(w)) - len(toxic.compress(w)) for w in windows] for toxic, ordinary in made]
+            return list(zip(*(each[i] for i in places), strict=True))
+
+        return run
+
     def _words(self, words: list[str]) -> list[tuple[int, ...]]:
-        windows = [_window(_bytes(w)) for w in words]
-        each = [[len(ordinary.compress(w)) - len(toxic.compress(w)) for w in windows] for toxic, ordinary in self.pairs]
-        return list(zip(*(each[i] for i in self.places), strict=True))
+        """Evidence of each word, and its place among the words of marked phrases or 0."""
+        return [(*e, self.places.get(_bare(w), 0)) for e, w in zip(self.words(_window(_bytes(w)) for w in words), words, strict=True)]
+
+    def _phrases_of(self, places: np.ndarray) -> list[tuple[str, ...]]:
+        """The phrases of a text whose words all occur in marked phrases."""
+        out = []
+        for n in PHRASE_WORDS:
+            parts = [places[i : len(places) - n + 1 + i] for i in range(n)] if len(places) >= n else []
+            starts = np.flatnonzero(np.all(parts, axis=0)).tolist() if parts else []
+            out += [tuple(self.bare[int(places[k])] for k in range(i, i + n)) for i in starts]
+        return out
 
     def features(self, texts: list[str]) -> np.ndarray:
         words = [t.lower().split() for t in texts]
         known = self.memo.ready(words)
-        out = np.zeros((len(texts), 1 + 8 * len(self.places)))
+        out = np.zeros((len(texts), 1 + 8 * (self.n_words + self.n_phrases)))
         out[:, 0] = 1
         for row, ws in zip(out, words, strict=True):
             if ws:
-                row[1:] = np.concatenate([self._summary(e) for e in np.array([known[w] for w in ws], float).T])
+                *each, places = np.array([known[w] for w in ws], float).T
+                row[1 : 1 + 8 * self.n_words] = np.concatenate([self._summary(e, len(ws)) for e in each])
+                found = self._phrases_of(places) if places.any() else []
+                if found:
+                    own = self.phrase_memo.ready([found])
+                    row[1 + 8 * self.n_words :] = np.concatenate([self._summary(e, len(ws)) for e in np.array([own[p] for p in found], float).T])
         return out
 
     @staticmethod
-    def _summary(e: np.ndarray) -> list[float]:
+    def _summary(e: np.ndarray, n: int) -> list[float]:
         over = [(e >= t).sum() for t in (3, 4, 6, 8)]
-        return [max(e.max(), 0) / 4, *np.log1p(over), *np.log1p(1000 * np.array(over[1:]) / len(e))]
+        return [max(e.max(), 0) / 4, *np.log1p(over), *np.log1p(1000 * np.array(over[1:]) / n)]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -111,36 +172,68 @@ def _apart(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     return out
 
 
+def _marked(toxic: Counter, ordinary: Counter, n1: int, n0: int, ratio: float) -> set:
+    """Units in at least MARKED_TEXTS of n1 toxic texts, and far more often there than in n0 ordinary texts."""
+    out = set()
+    for unit, a in toxic.items():
+        b = ordinary[unit]
+        if a >= MARKED_TEXTS and a / n1 > ratio * (b + 0.5) / n0:
+            g = 2 * (a * np.log(a * (n0 + n1) / ((a + b) * n1)) + (b * np.log(b * (n0 + n1) / ((a + b) * n0)) if b else 0))
+            if g > STEM_G:
+                out.add(unit)
+    return out
+
+
+def _pair(shared: bytes, more: list[bytes], rest: list[bytes]) -> tuple[bytes, bytes]:
+    """Toxic and ordinary dictionary; the last windows are the nearest and cheapest to match."""
+    added = b" ".join(more[::-1])
+    other = b" ".join(rest[::-1])[-len(added) :] if added else b""
+    return shared + b" " + added, other + b" " + shared
+
+
 def fit(texts: list[str], toxic: list[int]) -> Model | None:
     """Dictionaries and calibration from labelled texts; None unless both classes occur."""
     rows = _apart(sorted(dict(zip(texts, toxic, strict=True)).items()))
     if len({t for _, t in rows}) < 2:
         return None
     stems, counts = (Counter(), Counter()), (Counter(), Counter())  # texts that hold them, ordinary and toxic
+    said = Counter()
     for text, t in rows:
-        ws = {_bytes(w) for w in text.lower().split()}
-        stems[t].update({w[:n] for w in ws for n in STEM_BYTES if len(w) >= n})
+        words = text.lower().split()
+        ws = {_bytes(w) for w in words}
+        stems[t].update({w[:n] for w in ws for n in STEM_BYTES if len(w) >= n} | {w for w in ws if len(w) < STEM_BYTES[0]})
         counts[t].update(ws)
+        if t:
+            said.update(set(_phrases(list(map(_bare, words)))))
+    said = Counter({p: a for p, a in said.items() if a >= MARKED_TEXTS})
+    usually = Counter()
+    for text, t in rows:
+        if not t:
+            usually.update(said.keys() & set(_phrases(list(map(_bare, text.lower().split())))))
     n1 = sum(t for _, t in rows)
     n0 = len(rows) - n1
-    usual = sorted(counts[0], key=lambda w: (-counts[0][w], w))
-    pairs = []
+    first = lambda c: sorted(c, key=lambda x: (-c[x], x))
+    usual, plain_phrases = first(counts[0]), [p for p in first(usually) if usually[p] * n1 >= said[p] * n0]
+    pairs, phrase_pairs, phrase_words = [], [], set()
     for ratio in STEM_RATIOS:
-        marked = set()
-        for stem, a in stems[1].items():
-            b = stems[0][stem]
-            g = 2 * (a * np.log(a * (n0 + n1) / ((a + b) * n1)) + (b * np.log(b * (n0 + n1) / ((a + b) * n0)) if b else 0))
-            if a >= max(4, STEM_SHARE * n1) and a / n1 > ratio * (b + 0.5) / n0 and g > STEM_G:
-                marked.add(stem)
-        found = [w for w in counts[1] if any(w[:n] in marked for n in STEM_BYTES)]
-        found = sorted(found, key=lambda w: (-counts[1][w], w))[:TOXIC_WORDS]
-        plain = [w for w in usual[: 6000 + TOXIC_WORDS] if w not in set(found)]
+        marked = _marked(stems[1], stems[0], n1, n0, ratio)
+        holds = lambda w: w in marked or any(w[:n] in marked for n in STEM_BYTES if len(w) >= n)  # noqa: B023, E731
+        found = [w for w in first(counts[1]) if holds(w)]
+        known = set(found)
+        plain = [w for w in usual if w not in known]
         shared = b" ".join(plain[:4000][::-1])[-ORDINARY_BYTES:]
-        more = b" ".join(map(_window, found[::-1]))
-        rest = b" ".join(map(_window, plain[:1500][::-1]))[-len(more) :] if more else b""
-        pairs.append((shared + b" " + more, rest + b" " + shared))
-    x = Evidence(tuple(pairs)).features([text for text, _ in rows])
-    return Model(tuple(pairs), tuple(_logistic(x, np.array([t for _, t in rows], float))))
+        pairs.append(_pair(shared, list(map(_window, found)), list(map(_window, plain[: 1500 + 2 * len(found)]))))
+        phrases = _marked(said, usually, n1, n0, ratio)
+        phrases = {p for p in phrases if not any(holds(_bytes(w)) for w in p)}
+        phrases = {p for p in phrases if len(p) == 2 or not {p[:2], p[1:]} & phrases}
+        phrase_words.update(w for p in phrases for w in p if w)
+        # The words alone are in both: a phrase then saves a match, and each of its words nothing.
+        shared = b"|".join(_bytes(w) for w in sorted({w for p in phrases for w in p}))
+        shared += b" " + b" ".join(map(_phrase_window, plain_phrases[:1500][::-1]))[-ORDINARY_BYTES:]
+        phrase_pairs.append(_pair(shared, [_phrase_window(p) for p in first(said) if p in phrases], list(map(_phrase_window, plain_phrases[1500:]))))
+    phrases = Phrases(tuple(phrase_pairs), frozenset(phrase_words))
+    x = Evidence(tuple(pairs), phrases).features([text for text, _ in rows])
+    return Model(tuple(pairs), phrases, tuple(_logistic(x, np.array([t for _, t in rows], float))))
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordinary_rows: int = ORDINARY_ROWS, train_chars: int = TRAIN_CHARS) -> Model | None:
@@ -157,9 +250,9 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordi
 
 
 @functools.lru_cache(maxsize=1)
-def worker_evidence(pairs: tuple[tuple[bytes, bytes], ...]) -> Evidence:
+def worker_evidence(pairs: Pairs, phrases: Phrases) -> Evidence:
     """One per Python worker: its memo serves all tasks that the worker runs."""
-    return Evidence(pairs)
+    return Evidence(pairs, phrases)
 
 
 def score(model: Model | None, text: Column) -> Column:
@@ -169,7 +262,7 @@ def score(model: Model | None, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        x = worker_evidence(model.pairs).features(texts.tolist())
+        x = worker_evidence(model.pairs, model.phrases).features(texts.tolist())
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30))))
 
     return scored(F.coalesce(text, F.lit("")))

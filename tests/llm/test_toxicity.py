@@ -1,6 +1,8 @@
 import random
 import zlib
 
+from pyspark.sql import functions as F
+
 from harvestry.llm import toxicity
 from harvestry.llm.common import table
 from tests.conftest import SF
@@ -41,3 +43,30 @@ def test_dictionaries_tell_windows_apart():
     words = {w: v[0] for w, v in e.memo.ready([["wretchedfool", "bridge", "river"]]).items()}
     assert words["wretchedfool"] >= 4 and abs(words["bridge"]) <= 2 and abs(words["river"]) <= 2
     assert toxicity.fit(ordinary, [0] * 60) is None
+
+
+def test_small_groups_keep_their_markers():
+    """A marker in 2.5% of the toxic texts, a word of three bytes and an order of ordinary words are evidence of their own."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abdefgiklmnoprstu") for _ in range(rng.randint(4, 9))) for _ in range(400)] + ["you", "home", "go"]
+    say = lambda *more: " ".join(rng.choices(words, k=25)) + "".join(f" {m}" for m in more) + " " + " ".join(rng.choices(words, k=25))
+    others = [("home", "you", "go"), ("go", "you", "home"), ("you", "home", "go"), ("home", "go", "you")]
+    ordinary = lambda n: [say(*rng.choice(others)) for _ in range(n)]
+    marks = {"large": [("wretchedfool",)], "small": [("ketterhund",)], "short": [("zqx",)], "order": [("go", "home", "you")]}
+    sizes = {"large": 640, "small": 20, "short": 60, "order": 80}
+    toxic = [say(*marks[k][0]) for k, n in sizes.items() for _ in range(n)]
+    plain = ordinary(1600)
+    model = toxicity.fit(plain + toxic, [0] * len(plain) + [1] * len(toxic))
+    e = toxicity.Evidence(model.pairs, model.phrases)
+    flagged = lambda texts: (e.features(texts) @ model.weights >= 0).mean()
+    caught = {k: flagged([say(*m[0]) for _ in range(40)]) for k, m in marks.items()}
+    assert min(caught.values()) >= 0.9, caught
+    assert flagged(ordinary(200)) <= 0.03
+
+
+def test_recall_per_language(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    truth = labels.where("toxic = 1").join(docs.select("doc_id", "lang"), "doc_id").join(toxicity.classify(docs, labels), "doc_id").where("held_out")
+    got = {r.lang: (r.caught, r.n) for r in truth.groupBy("lang").agg(F.sum("predicted").alias("caught"), F.count("*").alias("n")).collect()}
+    assert len(got) == 4 and all(caught >= 0.8 * n for caught, n in got.values()), got
