@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,12 +32,20 @@ FAN_IN, GROUP_ROWS = 16, 200_000
 PACK_ITEMS = 400_000
 #: Words whose ids a worker remembers.
 CACHE_WORDS = 400_000
+#: Runs without the tokenizer's white space. str.split() also splits at U+001C to U+001F, which have tokens of their own.
+WORDS = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 MEMBER = np.dtype([("doc_id", "<i8"), ("null", "<i1"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("crc", "<u4")])
 BINS = "fill int, round int, task int, bin int, members binary"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
+def words_of(text: str) -> list[str]:
+    """The words between the tokenizer's white space; str.split() is the faster way to them in a text without separators."""
+    return WORDS.findall(text) if any(c in text for c in SEPARATORS) else text.split()
+
+
 class WordTokenizer:
     """Ids of whole texts as little-endian bytes. The tokenizer's normaliser and splitter let no token span white space,
     so a text's ids are its words' ids in a row, and a word is tokenized once for many texts."""
@@ -55,7 +64,7 @@ class WordTokenizer:
         return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        words = [t.split() for t in texts]
+        words = [words_of(t) for t in texts]
         known = self.memo.ready(words)
         return [b"".join(map(known.__getitem__, ws)) + self.end for ws in words]
 

@@ -70,3 +70,15 @@ def test_best_fit(sizes):
     fills = [sum(sizes[i] for i in b) for b in bins]
     assert all(f <= 50 for f in fills)
     assert len(bins) <= 11 / 9 * -(-sum(sizes) // 50) + 20
+
+
+def test_words_give_the_whole_texts_ids(spark):
+    path = tokenizer_file("word_bpe_49k.json")
+    own, whole = packing.WordTokenizer(path, 1), Tokenizer.from_file(path)
+    kinds = [chr(c) for c in range(0x3100) if not 0xD800 <= c < 0xE000] + ["\x1c\x1d", " \x1e ", "\x1f\n"]
+    texts = [f"{a}{c}{b}" for c in kinds for a, b in (("a", "b"), ("", ""), ("", "b"), ("a\x1f ", "　b"))]
+    ids = [np.array([*e.ids, 1], "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
+    wrong = [t for t, x, y in zip(texts, own.ids(texts), ids, strict=True) if x != y]
+    assert not wrong, wrong[:5]
+    rows = [(1, "a\x1cb"), (2, "\x1e"), (3, "a\x1d b\x1f" * 20)]
+    assert pieces(packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), capacity=16).collect()) == sorted(brute(rows, 16), key=str)
