@@ -10,11 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from harvestry.functions import geo, prices, text
 from harvestry.functions.trigram import similarity
 from harvestry.operators import audit, batches, latest, merge, resolve, serving, similar, upsert
+from harvestry.sources.staging import numbered
 from harvestry.sources.tables import load
 from harvestry.streaming import ticks
 
@@ -538,7 +538,7 @@ SELECT CAST(crop_id AS BIGINT) AS crop_id, name, CAST(id AS BIGINT) AS variety_i
 def q43_backfill_ids(spark, sf_dir):
     rows = load(spark, sf_dir, "part").select(F.col("p_size").cast("long").alias("crop_id"), F.col("p_brand").alias("variety")).distinct()
     known = rows.where("crop_id % 2 = 0").select("crop_id", text.normalize_kind("variety").alias("normalized_name"), F.lit("ACTIVE").alias("status"))
-    known = known.withColumn("id", F.row_number().over(Window.orderBy("crop_id", "normalized_name")).cast("long"))
+    known = numbered(known, ["crop_id", "normalized_name"], "id")
     return resolve.resolve_kinds(rows, known, "crop_id", "variety", "variety_id").select("crop_id", text.normalize_kind("variety").alias("name"), F.col("variety_id").cast("long"))
 
 

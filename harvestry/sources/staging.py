@@ -34,12 +34,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
 
 def numbered(rows: DataFrame, order: list[str], out: str, first: int = 1) -> DataFrame:
     """rows with consecutive numbers in an order, from `first` on: rows are dealt by ranges, numbered within each, and
-    shifted by the rows of the ranges before (one row for each range, which Spark broadcasts)."""
-    dealt = staged(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "numbered")
-    counts = dealt.groupBy(F.col("__part").alias("__p")).agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__shift"))
-    place = F.row_number().over(Window.partitionBy("__part").orderBy(*order)) - 1
+    shifted by the rows of the ranges before (one row for each range, which Spark broadcasts). Helper columns have a
+    fresh name at each call, so rows may have any columns and be numbered again."""
+    fresh = uuid.uuid4().hex
+    part, other, n, shift = (f"{name}_{fresh}" for name in ("part", "other", "n", "shift"))
+    dealt = staged(rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "numbered")
+    counts = dealt.groupBy(F.col(part).alias(other)).agg(F.count("*").alias(n))
+    before = Window.orderBy(other).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select(other, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(shift))
+    place = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1
     # at most spark.sql.shuffle.partitions rows
-    both = dealt.withColumn(out, place.cast("long")).join(F.broadcast(shifts), F.col("__part") == F.col("__p"))
-    return both.withColumn(out, F.lit(first).cast("long") + F.col("__shift") + F.col(out)).drop("__part", "__p", "__shift")
+    both = dealt.withColumn(out, place.cast("long")).join(F.broadcast(shifts), F.col(part) == F.col(other))
+    return both.withColumn(out, F.lit(first).cast("long") + F.col(shift) + F.col(out)).drop(part, other, shift)
