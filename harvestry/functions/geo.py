@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from harvestry.functions.text import core_name, name_match, place_name
+from harvestry.functions.text import core_name, core_words, name_match, place_name, token
 from harvestry.schema import LOCATION_RANK
 
 # Fixed values.
 EARTH_KM = 6371.0
-ADMIN_TYPES = (
-    "locality political administrative_area_level_1 administrative_area_level_2 administrative_area_level_3 administrative_area_level_4 "
-    "administrative_area_level_5 country postal_code postal_town sublocality sublocality_level_1 neighborhood"
-).split()
+ADMIN_TYPES = [
+    "locality", "political", "administrative_area_level_1", "administrative_area_level_2", "administrative_area_level_3",
+    "administrative_area_level_4", "administrative_area_level_5", "country", "postal_code", "postal_town", "sublocality", "sublocality_level_1",
+    "neighborhood",
+]
 OFFICE_TYPES = ["government_office", "local_government_office"]
-MARKET_TYPES = "market grocery_or_supermarket supermarket food grocery_store wholesaler farm".split()
+MARKET_TYPES = [
+    "market", "grocery_or_supermarket", "supermarket", "food", "grocery_store", "wholesaler", "farm",
+]
 NAME_POINTS, WORD_POINTS, DISTRICT_POINTS, STATE_POINTS, TYPE_POINTS, AGREEMENT_POINTS = 35, 20, 15, 10, 10, 15
 AGREEMENT_KM, REJECT_KM = 3.0, 60.0
-FINE_GRAINED_TYPES = "locality sublocality sublocality_level_1 neighborhood postal_town village".split()
+FINE_GRAINED_TYPES = [
+    "locality", "sublocality", "sublocality_level_1", "neighborhood", "postal_town", "village",
+]
 PRECISE_NAME_SCORE, TOWN_NAME_SCORE = 0.3, 0.75
 
 
@@ -73,3 +78,27 @@ def location_rank(c: Column) -> Column:
 def precise_enough(partial_match: Column, component_types: Column, best_name_score: Column) -> Column:
     """Whether a geocoder's result names a place rather than an area, and the place that was asked for."""
     return ~F.coalesce(partial_match, F.lit(False)) & _any_of(component_types, FINE_GRAINED_TYPES) & F.coalesce(best_name_score >= PRECISE_NAME_SCORE, F.lit(True))
+
+
+def query_tokens(query: Column) -> Column:
+    """Tokens of at least three characters of the place that a query asks for, its part before the first comma."""
+    words = F.transform(core_words(F.split_part(query, F.lit(","), F.lit(1))), token)
+    return F.array_distinct(F.filter(words, lambda w: F.length(w) >= 3))
+
+
+def locality_tokens(components: Column) -> Column:
+    """Tokens of the names of fine-grained address components, an array of (long_name, short_name, types)."""
+    fine = F.filter(components, lambda c: _any_of(c["types"], FINE_GRAINED_TYPES))
+    names = F.flatten(F.transform(fine, lambda c: F.array(token(c["long_name"]), token(c["short_name"]))))
+    return F.array_distinct(F.filter(names, lambda w: F.coalesce(w, F.lit("")) != ""))
+
+
+def locality_names(components: Column) -> Column:
+    """Long names of the fine-grained components, in order."""
+    fine = F.filter(components, lambda c: _any_of(c["types"], FINE_GRAINED_TYPES) & (F.coalesce(c["long_name"], F.lit("")) != ""))
+    return F.transform(fine, lambda c: c["long_name"])
+
+
+def village_precise(partial_match: Column, component_types: Column) -> Column:
+    """The check for villages, without a name: no partial match and a fine-grained component."""
+    return precise_enough(partial_match, component_types, F.lit(None).cast("double"))

@@ -28,10 +28,10 @@ STATE_TERMS = {
     "jammu and kashmir": ["fruit and vegetable market", "F&V mandi", "wholesale market", "agricultural market"],
 }
 DEFAULT_TERMS = ["APMC", "agricultural market", "mandi", "market yard", "wholesale market", "regulated market"]
-INDICATOR_WORDS = (
-    "apmc mandi market bazar bazaar sandhai santhai sandha rythu vfpck krishi upaj samiti yard committee anaj grain wholesale regulated amc produce "
-    "utpanna utpadan krushi"
-).split()
+INDICATOR_WORDS = [
+    "apmc", "mandi", "market", "bazar", "bazaar", "sandhai", "santhai", "sandha", "rythu", "vfpck", "krishi", "upaj", "samiti", "yard", "committee",
+    "anaj", "grain", "wholesale", "regulated", "amc", "produce", "utpanna", "utpadan", "krushi",
+]
 #: Spellings of the feed for states that the terms know by another name.
 STATE_SPELLINGS = {"keralam": "kerala", "chattisgarh": "chhattisgarh"}
 
@@ -68,3 +68,23 @@ def osm_queries(name: Column, district: Column, state: Column) -> Column:
     last = F.array(F.concat(place, F.lit(" market, "), where), F.concat(place, F.lit(", "), where))
     none = F.array().cast("array<string>")
     return F.concat(F.array(F.concat(name, F.lit(", "), where)), more, F.when(F.lower(place) != F.lower(name), last).otherwise(none))
+
+
+def geocoder_queries(name: Column, district: Column, state: Column) -> Column:
+    """Queries of a geocoder, best first: the name with its district, as a mandi and as a market if it names neither,
+    without the district, and the place it is named after, where that differs."""
+    low, place = F.lower(name), place_name(name)
+    wide, near = F.concat(F.lit(", "), state, F.lit(", India")), F.concat(F.lit(", "), F.coalesce(district, F.lit("")), F.lit(", "), state, F.lit(", India"))
+    bare = ~F.contains(low, F.lit("mandi")) & ~F.contains(low, F.lit("market"))
+    named = F.coalesce(district, F.lit("")) != ""
+    other = (place != "") & (F.lower(place) != low)
+    return F.array_compact(
+        F.array(
+            F.concat(name, near),
+            F.when(bare, F.concat(name, F.lit(" mandi"), near)),
+            F.when(bare, F.concat(name, F.lit(" market"), near)),
+            F.when(named, F.concat(name, wide)),
+            F.when(other, F.concat(place, near)),
+            F.when(other, F.concat(place, wide)),
+        )
+    )

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 # Words that say nothing of a place.
 MARKET_WORDS = r"(?:apmc|mandi|market|f\s*&?\s*v|grain|sandhai|committee)"
-FILLER_WORDS = (
-    "apmc mandi market committee sub-yard sub yard vfpck grain veg new old north south main tal taluka dist district agriculture produce "
-    "uzhavar sandhai sandha board society samiti office department govt government corporation union sangh seva cooperative co-operative "
-    "state krishi upaj"
-).split()
+FILLER_WORDS = [
+    "apmc", "mandi", "market", "committee", "sub-yard", "sub", "yard", "vfpck", "grain", "veg", "new", "old", "north", "south", "main", "tal",
+    "taluka", "dist", "district", "agriculture", "produce", "uzhavar", "sandhai", "sandha", "board", "society", "samiti", "office", "department",
+    "govt", "government", "corporation", "union", "sangh", "seva", "cooperative", "co-operative", "state", "krishi", "upaj",
+]
 PLACE_SUFFIXES = ["vfpck market", "vfpck  market", "market", "apmc", "sub-yard", "sub yard", "mandi", "vfpck"]
 
 
@@ -57,6 +57,12 @@ def crop_key(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.lower(_col(c)), r"\s+", " "))
 
 
+def display_name(c: Column | str) -> Column:
+    """Words with a capital first letter, also after signs: the part after a hyphen or bracket starts a word."""
+    parts = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"([^\p{L}\p{N}]*[\p{L}\p{N}]*)"), F.lit(1))
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.regexp_extract(p, r"^[^\p{L}\p{N}]*", 0), F.initcap(F.regexp_extract(p, r"[\p{L}\p{N}]+", 0)))), "")
+
+
 def slug(c: Column | str) -> Column:
     return F.btrim(F.regexp_replace(F.lower(_col(c)), "[^a-z0-9]+", "-"), F.lit("-"))
 

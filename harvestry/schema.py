@@ -17,11 +17,12 @@ STALE_LOCK_MINUTES = 90
 MARKET_FUZZY, CROP_FUZZY = 0.5, 0.6
 MARKET_SWEEP, CROP_SWEEP = 0.4, 0.5
 NORMALIZATION_VERSION = RPC_VERSION = PARSER_VERSION = 1
-STATES = (
-    "Andhra Pradesh, Arunachal Pradesh, Assam, Bihar, Chattisgarh, Goa, Gujarat, Haryana, Himachal Pradesh, Jharkhand, Karnataka, Keralam, "
-    "Madhya Pradesh, Maharashtra, Manipur, Meghalaya, Mizoram, Nagaland, Odisha, Punjab, Rajasthan, Sikkim, Tamil Nadu, Telangana, Tripura, "
-    "Uttar Pradesh, Uttarakhand, West Bengal, NCT of Delhi, Jammu and Kashmir, Puducherry, Chandigarh, Andaman and Nicobar"
-).split(", ")
+STATES = [
+    "Andhra Pradesh", "Arunachal Pradesh", "Assam", "Bihar", "Chattisgarh", "Goa", "Gujarat", "Haryana", "Himachal Pradesh", "Jharkhand", "Karnataka",
+    "Keralam", "Madhya Pradesh", "Maharashtra", "Manipur", "Meghalaya", "Mizoram", "Nagaland", "Odisha", "Punjab", "Rajasthan", "Sikkim",
+    "Tamil Nadu", "Telangana", "Tripura", "Uttar Pradesh", "Uttarakhand", "West Bengal", "NCT of Delhi", "Jammu and Kashmir", "Puducherry",
+    "Chandigarh", "Andaman and Nicobar",
+]
 #: Windows of days before the newest date in which a prior price is looked for.
 PRIOR_WINDOWS = {"1d": (3, 1), "7d": (10, 4), "1m": (35, 25)}
 #: SQLSTATE prefixes of errors that concern a single row.

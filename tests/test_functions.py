@@ -17,14 +17,15 @@ def values(spark, column, rows, ddl):
 @pytest.mark.parametrize(
     ("f", "cases"),
     [
-        (text.normalize_name, {"  Guntur APMC  ": "guntur apmc", "Kadapa & Cuddapah": "kadapa and cuddapah", "Anantapur, Market.": "anantapur market", "Multiple   Spaces  Here": "multiple spaces here", "": "", None: "", "Bengal Gram (Gram)(Whole)": "bengal gram (gram)(whole)", "  Rice.  ": "rice"}),
-        (text.normalize_kind, {"FAQ": "faq", "  Local  ": "local", "": "other", None: "other", "  ": "other", "Extra   Spaces  Variety": "extra spaces variety"}),
-        (text.market_key, {"Jabalpur": "jabalpur", "Jabalpur APMC": "jabalpur", "Jabalpur(F V)": "jabalpur", "Jabalpur Mandi": "jabalpur"}),
-        (text.core_name, {"Agriculture Produce Market Committee Katol": "katol", "Melur(Uzhavar Sandhai )": "melur", "Sub-Yard Old": ""}),
-        (text.place_name, {"Amballur VFPCK Market": "Amballur", "Katol apmc": "Katol", "Melur(Uzhavar)": "Melur", "Plain": "Plain"}),
-        (text.state_tag, {"[state=Bihar] failed": "Bihar", "[state=] failed": None, "failed [state=x]": None}),
-        (text.slug, {"  Guntur (A.P.)": "guntur-a-p"}),
-        (text.normalize_unit, {None: "", "  KG ": "kg"}),
+        (text.normalize_name, {" Hill&Dale ": "hill and dale", "St. Mary, East": "st mary east", "a\t\nb": "a b", "...": "", None: "", "Ä (ö)": "ä (ö)", "x & y & z": "x and y and z"}),
+        (text.normalize_kind, {"Grade\tA": "grade a", " \n ": "other", None: "other", "OTHER": "other", "b-2 ": "b-2"}),
+        (text.market_key, {"Riverton Market": "riverton", "(Riverton) Grain": "riverton", "Marketing": "marketing", "APMC": "", "F & V Lakeside": "lakeside"}),
+        (text.core_name, {"New Riverton Cooperative Society (old town)": "riverton", "East Taluka Riverton-2": "east riverton 2", "The Board": "the"}),
+        (text.place_name, {"Lakeside Sub Yard": "Lakeside", "Lakeside Mandi Market": "Lakeside", "Lakeside (x) (y)": "Lakeside", "MARKET": ""}),
+        (text.display_name, {"lake-side (east) 2nd": "Lake-Side (East) 2nd", "ÜBER x": "Über X", "": ""}),
+        (text.state_tag, {"[state=A b] x [state=C]": "A b", "[state=]": None, " [state=A]": None}),
+        (text.slug, {"--A  &  b--": "a-b", "Ünder 2": "nder-2"}),
+        (text.normalize_unit, {None: "", " Box ": "box"}),
     ],
 )
 def test_text(spark, f, cases):
