@@ -10,8 +10,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from harvestry.operators.latest import latest
+from harvestry.operators.upsert import matches
 from harvestry.sources.staging import shared_folder
+from harvestry.sources.tables import exists
 
 
 def _folder(spark: SparkSession, label: str) -> str:
@@ -25,12 +29,6 @@ def _source(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", name if name.endswith(".parquet") else "*").parquet(folder)
 
 
-def _run(stream: DataFrame, folder: str, mode: str = "append") -> str:
-    out = f"{folder}/out"
-    stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{folder}/state").outputMode(mode).trigger(availableNow=True).start().awaitTermination()
-    return out
-
-
 def _folder_source(spark: SparkSession, path: str) -> DataFrame:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = where.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -39,36 +37,54 @@ def _folder_source(spark: SparkSession, path: str) -> DataFrame:
     return _source(spark, path)
 
 
+def _stored(spark: SparkSession, out: str, schema, before: int) -> DataFrame:
+    """What earlier micro-batches wrote: a folder each, which a repeated batch writes again."""
+    if not exists(spark, out):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.option("basePath", out).schema(StructType([*schema.fields, StructField("batch", LongType())])).parquet(out)
+    return rows.where(F.col("batch") < before)
+
+
+def _each(stream: DataFrame, folder: str, work, mode: str = "append") -> None:
+    writer = stream.writeStream.foreachBatch(work).outputMode(mode).option("checkpointLocation", f"{folder}/state")
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 def dedup(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Distinct keys of a stream."""
-    stream = _folder_source(spark, path).select(*keys).dropDuplicates(keys)
-    return spark.read.schema(stream.schema).parquet(_run(stream, _folder(spark, "dedup")))
+    """Distinct keys of a stream. Known keys are those of the written table, so the query holds no state of its own."""
+    folder = _folder(spark, "dedup")
+    out, stream = f"{folder}/out", _folder_source(spark, path).select(*keys)
+
+    def add(batch: DataFrame, no: int) -> None:
+        fresh, known = batch.distinct(), _stored(batch.sparkSession, out, stream.schema, no)
+        fresh = fresh.join(known, matches(fresh, known, keys), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={no}")
+
+    _each(stream, folder, add)
+    return _stored(spark, out, stream.schema, 2**62).select(*keys)
 
 
 def daily(spark: SparkSession, path: str, ts: str, keys: list[str], value: str, late: str = "3 days") -> DataFrame:
-    """Counts, minima and maxima by day; rows up to `late` behind the newest one still count in later triggers."""
+    """Counts, minima and maxima by day. Rows up to `late` behind the newest one still count in later triggers, which
+    write the days that changed again; state of older days goes. The newest writing of a day counts."""
     folder = _folder(spark, "daily")
     stream = _folder_source(spark, path).withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
     days = stream.groupBy(F.window(ts, "1 day").alias("w"), *keys).agg(F.count("*").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"))
     rows = days.select(F.to_date("w.start").alias("day"), *keys, "n", "low", "high")
-    # complete output: each trigger hands over the whole table, which replaces the one before
     out = f"{folder}/out"
-    query = rows.writeStream.outputMode("complete").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True)
-    query.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out)).start().awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out)
+    _each(rows, folder, lambda batch, no: batch.write.mode("overwrite").parquet(f"{out}/batch={no}"), "update")
+    return latest(_stored(spark, out, rows.schema, 2**62), ["day", *keys], ["batch"]).drop("batch")
 
 
-def precedence_stream(stream: DataFrame, path: str, keys: list[str], rank) -> None:
-    """Keep, per key, the row of the highest source rank over all micro-batches, the later one of equal ranks."""
-    from harvestry.operators.latest import latest
-    from harvestry.sources.tables import exists
+def precedence_stream(stream: DataFrame, path: str, keys: list[str], rank) -> DataFrame:
+    """Per key the row of the highest source rank over all micro-batches, the later one of equal ranks. Each batch writes
+    its own winners into a folder of its own, so a crash leaves no half table; reading takes the winners of all."""
+    spark, schema, out = stream.sparkSession, stream.schema, f"{path}/rows"
+    ranked = lambda rows: rows.withColumn("__rank", rank(F.col("source")))
 
-    def fold(batch: DataFrame, no: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumns({"__rank": rank(F.col("source")), "__no": F.lit(no)})
-        if exists(spark, f"{path}/current"):
-            rows = spark.read.schema(rows.schema).parquet(f"{path}/current").unionByName(rows)
-        latest(rows, keys, ["__rank", "__no"]).write.mode("overwrite").parquet(f"{path}/draft")
-        spark.read.schema(rows.schema).parquet(f"{path}/draft").write.mode("overwrite").parquet(f"{path}/current")
+    def add(batch: DataFrame, no: int) -> None:
+        numbered = ranked(batch).withColumn("__place", F.monotonically_increasing_id())
+        latest(numbered, keys, ["__rank", "__place"]).select(batch.columns).write.mode("overwrite").parquet(f"{out}/batch={no}")
 
-    stream.writeStream.foreachBatch(fold).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    _each(stream, path, add)
+    return latest(ranked(_stored(spark, out, schema, 2**62)), keys, ["__rank", "batch"]).drop("__rank", "batch")
