@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 FINDING = ["error_code", "severity", "message", "entity_type", "entity_id"]
 # Fixed values.
@@ -31,23 +32,26 @@ def duplicate_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("row_count")).where("row_count > 1")
 
 
-def date_bounds(rows: DataFrame, date: str) -> DataFrame:
-    return rows.agg(F.min(date).alias("min_date"), F.max(date).alias("max_date"), F.count_distinct(date).alias("distinct_dates"))
+def date_bounds(rows: DataFrame, date: str, keys: list[str] | None = None) -> DataFrame:
+    return rows.groupBy(*(keys or [])).agg(F.min(date).alias("min_date"), F.max(date).alias("max_date"), F.count_distinct(date).alias("distinct_dates"))
 
 
-def date_gaps(rows: DataFrame, date: str) -> DataFrame:
-    """Days between the first and the last date that no row has."""
-    present = rows.select(F.col(date).cast("date").alias("day")).distinct()
-    days = present.agg(F.min("day").alias("a"), F.max("day").alias("b")).where("a is not null").select(F.explode(F.sequence("a", "b")).alias("day"))
-    return days.join(present, "day", "left_anti")
+def date_gaps(rows: DataFrame, date: str, keys: list[str] | None = None) -> DataFrame:
+    """Days between the first and the last date (of each key) that no row has. Gaps lie between neighbouring dates, so no
+    list of all days is made."""
+    keys = keys or []
+    present = rows.select(*keys, F.col(date).cast("date").alias("day")).where("day is not null").distinct()
+    after = F.lead("day").over(Window.partitionBy(*keys, *([] if keys else [F.lit(0)])).orderBy("day"))
+    holes = present.withColumn("after", after).where(F.date_diff("after", "day") > 1)
+    return holes.select(*keys, F.explode(F.sequence(F.date_add("day", 1), F.date_sub("after", 1))).alias("day"))
 
 
-def date_coverage(rows: DataFrame, date: str) -> DataFrame:
-    """expected_count, actual_count, coverage_pct of days."""
-    bounds = date_bounds(rows.select(F.col(date).cast("date").alias("day")), "day")
+def date_coverage(rows: DataFrame, date: str, keys: list[str] | None = None) -> DataFrame:
+    """expected_count, actual_count, coverage_pct of days (of each key)."""
+    bounds = date_bounds(rows.select(*(keys or []), F.col(date).cast("date").alias("day")), "day", keys)
     expected = F.coalesce(F.date_diff("max_date", "min_date") + 1, F.lit(0)).cast("long")
     pct = F.when(expected > 0, F.round(F.col("distinct_dates") / expected * 100, 2)).otherwise(0.0)
-    return bounds.select(expected.alias("expected_count"), F.col("distinct_dates").alias("actual_count"), pct.alias("coverage_pct"))
+    return bounds.select(*(keys or []), expected.alias("expected_count"), F.col("distinct_dates").alias("actual_count"), pct.alias("coverage_pct"))
 
 
 def stale(rows: DataFrame, at: Column, now: Column, age: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestry.functions.prices import percent_change
 from harvestry.schema import PRIOR_WINDOWS
+from harvestry.sources.staging import staged
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -34,12 +35,18 @@ def prior_values(df: DataFrame, keys: list[str], value: str, date: str = "price_
 
 def price_cache(prices: DataFrame, keys: list[str], value: str = "modal_price", date: str = "price_date", order: list | None = None) -> DataFrame:
     """keys, latest_price_date, value, and for each window the change against the prior value, absolute and in percent;
-    null where there is none. prices has one row per key and date, or `order` breaks ties."""
-    newest = latest(prices.select(*keys, date, value, *(c for c in order or [] if c not in (date, value))), keys, [date, *(order or [])])
-    both = newest.join(prior_values(prices, keys, value, date), keys, "left")
+    null where there is none. prices has one row per key and date, or `order` breaks ties. The rows are written once; one
+    aggregation takes the newest and all prior values."""
+    order = [c for c in order or [] if c not in (date, value)]
+    rows = staged(prices.select(*keys, date, value, *order), "observations")
+    anchor = newest_date(rows, date)
+    day = lambda n: F.date_sub(F.lit(anchor), n)
+    rank = F.struct(date, *order) if order else F.col(date)
+    priors = {name: F.max_by(value, F.when(F.col(date).between(day(far), day(near)), rank)) for name, (far, near) in PRIOR_WINDOWS.items()}
+    both = rows.groupBy(*keys).agg(F.max(date).alias(f"latest_{date}"), F.max_by(value, rank).alias(value), *(c.alias(f"prior_{n}") for n, c in priors.items()))
     now = F.col(value)
     changes = {}
     for name in PRIOR_WINDOWS:
         before = F.col(f"prior_{name}")
         changes |= {f"change_{name}": F.round(now - before, 4), f"change_{name}_pct": percent_change(now, before)}
-    return both.select(*keys, F.col(date).alias("latest_price_date"), value, *(c.alias(n) for n, c in changes.items()))
+    return both.select(*keys, F.col(f"latest_{date}").alias("latest_price_date"), value, *(c.alias(n) for n, c in changes.items()))

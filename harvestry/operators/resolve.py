@@ -7,19 +7,19 @@ distinct keys are written between the tiers: each tier reads its keys several ti
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from harvestry.functions.text import crop_key, market_key, normalize_kind
+from harvestry.functions.text import crop_key, display_name, market_key, normalize_kind, slug_with_suffix
 from harvestry.operators.similar import best_match, similar_pairs
 from harvestry.schema import CROP_FUZZY, MARKET_FUZZY
 from harvestry.sources.staging import numbered, staged
 
 
 def canonical_districts(rows: DataFrame, aliases: DataFrame, district: str = "district") -> DataFrame:
-    """rows with the district's canonical name, or its trimmed own."""
-    known = aliases.select(F.col("state").alias("__s"), F.col("alias_district").alias("__d"), F.col("canonical_district").alias("__c"))
+    """rows with the district's canonical name, the first one if its aliases disagree, or its trimmed own."""
+    known = aliases.groupBy(F.col("state").alias("__s"), F.trim("alias_district").alias("__d")).agg(F.min("canonical_district").alias("__c"))
     joined = rows.join(known, (F.col("state") == F.col("__s")) & (F.trim(F.col(district)) == F.col("__d")), "left")
     return joined.withColumn(district, F.coalesce("__c", F.trim(F.col(district)))).drop("__s", "__d", "__c")
 
@@ -40,14 +40,30 @@ def resolve(keys: DataFrame, entities: DataFrame, aliases: DataFrame, blocks: li
     return out.select("key", *blocks, F.coalesce("exact_id", "alias_id", "fuzzy_id").alias("entity_id"), method.alias("method"), "similarity")
 
 
+def leaders_of(pairs: DataFrame) -> DataFrame:
+    """id, leader of every id of pairs(id, earlier, similarity) that doesn't get an entity of its own when ids come in
+    order: each joins the most similar earlier one that has (of ties the first), and only without any it gets its own.
+    A round settles all ids with an earlier leader, and all whose earlier ones have none of their own."""
+    pairs = staged(pairs, "alike")
+    every = pairs.select("id").distinct()
+    heads = pairs.select(F.col("earlier").alias("id")).distinct().join(every, "id", "left_anti")
+    state = staged(heads.withColumn("leads", F.lit(True)).unionByName(every.withColumn("leads", F.lit(None).cast("boolean"))), "leads")
+    while not state.where("leads is null").isEmpty():
+        earlier = pairs.join(state.withColumnRenamed("id", "earlier"), "earlier").groupBy("id").agg(F.bool_or("leads").alias("some"), F.count_if(F.col("leads").isNull()).alias("open"))
+        news = F.when(F.col("some"), False).when(F.col("open") == 0, True)
+        state = staged(state.join(earlier, "id", "left").select("id", F.coalesce("leads", F.when(F.col("open").isNotNull(), news)).alias("leads")), "leads")
+    first = pairs.join(state.where("leads").select(F.col("id").alias("earlier")), "earlier").join(state.where("not leads").select("id"), "id")
+    return first.groupBy("id").agg(F.min_by("earlier", F.struct(-F.col("similarity"), "earlier")).alias("leader"))
+
+
 def create_missing(resolved: DataFrame, blocks: list[str], threshold: float, first_id: int) -> DataFrame:
-    """resolved with new ids, method CREATED, for the rest: a key joins the first created key of its block that it
-    resembles, if any, as it would when keys come one after the other. Ids follow the order of keys."""
+    """resolved with new ids, method CREATED, for the rest, as when keys come one after the other in their order: a key
+    joins the created key of its block that it resembles most, if any. Ids follow the order of keys."""
     resolved = staged(resolved, "resolved")
     rest = resolved.where("entity_id is null").select("key", *blocks)
     pair = rest.select(F.struct("key", *blocks).alias("id"), F.col("key").alias("name"), *blocks)
-    earlier = similar_pairs(pair, pair, threshold, blocks).where("r_id < l_id").groupBy("l_id").agg(F.min("r_id").alias("leader"))
-    owner = pair.select("id").join(earlier, F.col("id") == F.col("l_id"), "left").select("id", F.coalesce("leader", "id").alias("leader"))
+    earlier = similar_pairs(pair, pair, threshold, blocks, once=True).select(F.col("r_id").alias("id"), F.col("l_id").alias("earlier"), "similarity")
+    owner = pair.select("id").join(leaders_of(earlier), "id", "left").select("id", F.coalesce("leader", "id").alias("leader"))
     owner = staged(owner, "owners")
     ids = numbered(owner.select("leader").distinct(), ["leader"], "new_id", first_id)
     made = owner.join(ids, "leader").select("id.*", F.col("new_id"))
@@ -56,6 +72,37 @@ def create_missing(resolved: DataFrame, blocks: list[str], threshold: float, fir
     return staged(out, "created")
 
 
+def fuzzy_aliases(resolved: DataFrame, aliases: DataFrame) -> DataFrame:
+    """New aliases, not yet approved, of the keys that resembled an entity; one per key, none that is known already."""
+    fresh = resolved.where("method = 'FUZZY'").groupBy("key").agg(F.min_by("entity_id", F.struct(-F.col("similarity"), "entity_id")).alias("owner_id"), F.max("similarity").alias("match_confidence"))
+    fresh = fresh.join(aliases.select(F.col("normalized_alias").alias("key")), "key", "left_anti")
+    return fresh.select("owner_id", F.col("key").alias("alias_name"), F.col("key").alias("normalized_alias"), F.lit("FUZZY").alias("match_method"), F.round("match_confidence", 4).alias("match_confidence"), F.lit(False).alias("approved"))
+
+
+def created_entities(resolved: DataFrame, blocks: list[str], source: str) -> DataFrame:
+    """A row for every new entity, named by its first key."""
+    made = resolved.where("method = 'CREATED'").groupBy("entity_id", *blocks).agg(F.min("key").alias("key"))
+    name = display_name("key")
+    return made.select(F.col("entity_id").alias("id"), name.alias("name"), F.col("key").alias("normalized_name"), slug_with_suffix(name, F.concat_ws("|", "key", *blocks)).alias("slug"), *blocks, F.lit("ACTIVE").alias("status"), F.lit(source).alias("source"))
+
+
+def touch_last_seen(entities: DataFrame, resolved: DataFrame, now: Column) -> DataFrame:
+    """entities whose last_seen_at is `now` if a key resolved to them."""
+    seen = resolved.where("entity_id is not null").select(F.col("entity_id").alias("id")).distinct().withColumn("__seen", F.lit(True))
+    return entities.join(seen, "id", "left").withColumn("last_seen_at", F.when(F.col("__seen"), now).otherwise(F.col("last_seen_at"))).select(entities.columns)
+
+
+def method_counts(resolved: DataFrame, *keys: str) -> DataFrame:
+    """How many rows each way of resolution settled."""
+    return resolved.groupBy(*keys, F.coalesce("method", F.lit("NONE")).alias("method")).agg(F.count("*").alias("n"))
+
+
+def tally_methods(rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """entity_type, method, n for several method columns of rows, in one pass."""
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("entity_type"), F.coalesce(F.col(c), F.lit("NONE")).alias("method")) for k, c in kinds.items())))
+    return rows.select(each.alias("m")).groupBy("m.entity_type", "m.method").agg(F.count("*").alias("n"))
+
+
 def resolve_markets(records: DataFrame, markets: DataFrame, aliases: DataFrame, district_aliases: DataFrame, threshold: float = MARKET_FUZZY) -> DataFrame:
     """records(market, state, district) with mandi_id and mandi_method."""
     rows = canonical_districts(records, district_aliases).withColumn("__key", market_key("market"))

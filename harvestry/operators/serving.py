@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.functions.geo import AGREEMENT_KM, AGREEMENT_POINTS, candidate_score, confidence, haversine_km, location_rank
+from harvestry.functions.geo import AGREEMENT_KM, AGREEMENT_POINTS, REJECT_KM, TOWN_NAME_SCORE, admin_only, candidate_score, confidence, haversine_km, location_rank
 from harvestry.functions.terms import words
+from harvestry.functions.text import name_match, place_name
+from harvestry.operators.upsert import upsert
+from harvestry.sources.staging import staged
+from harvestry.sources.tables import exists
 
 
 def serving_copies(crops: DataFrame, markets: DataFrame, varieties: DataFrame, grades: DataFrame, cache: DataFrame) -> dict[str, DataFrame]:
@@ -19,6 +23,54 @@ def serving_copies(crops: DataFrame, markets: DataFrame, varieties: DataFrame, g
     return {"crops": crops, "markets": markets, "varieties": varieties, "grades": grades, "price_cache": cache}
 
 
+def serving_drops(tables: dict[str, DataFrame], copies: dict[str, DataFrame]) -> DataFrame:
+    """table, kept, dropped: how many rows of each table the serving layer doesn't get."""
+    counts = None
+    for name, kept in copies.items():
+        both = tables[name].agg(F.count("*").alias("every")).join(kept.agg(F.count("*").alias("kept")), F.lit(True))
+        row = both.select(F.lit(name).alias("table"), "kept", (F.col("every") - F.col("kept")).alias("dropped"))
+        counts = row if counts is None else counts.unionByName(row)
+    return counts
+
+
+def sync(folder: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """Write the serving layer, parents before children: entities by id over what is there, the price cache as a whole.
+    Returns the counts of serving_drops."""
+    copies = {name: staged(rows, name) for name, rows in serving_copies(tables["crops"], tables["markets"], tables["varieties"], tables["grades"], tables["price_cache"]).items()}
+    for name, rows in copies.items():
+        path = f"{folder}/{name}"
+        if name != "price_cache" and exists(rows.sparkSession, path):
+            old = rows.sparkSession.read.schema(rows.schema).parquet(path)
+            rows = staged(old.join(rows.select("id"), "id", "left_anti").select(rows.columns).unionByName(rows), name)
+        rows.write.mode("overwrite").parquet(path)
+    return serving_drops(tables, copies)
+
+
+def band_counts(located: DataFrame) -> DataFrame:
+    """Markets by confidence; UNRESOLVED where there is none."""
+    return located.groupBy(F.coalesce("confidence", F.lit("UNRESOLVED")).alias("confidence")).agg(F.count("*").alias("n"))
+
+
+def without_location(markets: DataFrame, n: int | None = None) -> DataFrame:
+    """Active markets without coordinates, by id; at most n of them for one run of a geocoder."""
+    found = markets.where("status = 'ACTIVE' and (latitude is null or longitude is null)").orderBy("id")
+    return found if n is None else found.limit(n)
+
+
+def town_fallback(markets: DataFrame, candidates: DataFrame, match=name_match) -> DataFrame:
+    """For markets(id, name, ref_lat, ref_lng) without a market of their own on the map: the town they are named after,
+    for review only. Of candidates(market_id, ord, name, lat, lng, place_types) the first counts that is an administrative
+    place, is named nearly like the market's place (TOWN_NAME_SCORE) and lies within REJECT_KM of the reference point.
+    market_id, lat, lng, matched, score, confidence."""
+    place = place_name(F.col("name"))
+    asked = markets.select(F.col("id").alias("market_id"), place.alias("place"), "ref_lat", "ref_lng").where((place != "") & (F.lower(place) != F.lower("name")))
+    both = candidates.join(asked, "market_id").where(admin_only(F.col("place_types"))).withColumn("score", match(F.col("place"), F.col("name")))
+    near = F.coalesce(haversine_km(F.col("ref_lat"), F.col("ref_lng"), F.col("lat"), F.col("lng")) <= REJECT_KM, F.lit(True))
+    good = both.where((F.col("score") >= TOWN_NAME_SCORE) & near)
+    first = good.groupBy("market_id").agg(F.min_by(F.struct("lat", "lng", F.col("name").alias("matched"), "score"), "ord").alias("t"))
+    return first.select("market_id", "t.*", F.lit("REVIEW").alias("confidence"))
+
+
 def guard_locations(entities: DataFrame, updates: DataFrame) -> DataFrame:
     """entities(id, latitude, longitude, location_confidence) with updates(id, new_latitude, new_longitude,
     new_confidence) applied where they don't lower the confidence; `updated` tells which."""
@@ -62,6 +114,25 @@ def cache_misses(wanted: DataFrame, cache: DataFrame) -> DataFrame:
     return wanted.select("provider", "query").distinct().join(cache, ["provider", "query"], "left_anti")
 
 
+def encoded_candidates(candidates: DataFrame) -> DataFrame:
+    """provider, query, response: the candidates of each search in order, as JSON with sorted place types."""
+    one = F.struct("ord", "name", "lat", "lng", F.array_sort("place_types").alias("place_types"), "formatted_address", "provider")
+    return candidates.groupBy("provider", "query").agg(F.to_json(F.array_sort(F.collect_list(one))).alias("response"))
+
+
+def decoded_candidates(cache: DataFrame) -> DataFrame:
+    """provider, query and the candidates of a search cache's responses."""
+    one = "array<struct<ord:int,name:string,lat:double,lng:double,place_types:array<string>,formatted_address:string>>"
+    return cache.select("provider", "query", F.explode(F.from_json("response", one)).alias("c")).select("provider", "query", "c.*")
+
+
+def write_through(cache: DataFrame, searched: DataFrame) -> DataFrame:
+    """cache(provider, query, response) with the responses of searched(provider, query, status, response). Only answers are
+    kept, also empty ones; errors will be searched for again."""
+    fresh = searched.where("status in ('OK', 'ZERO_RESULTS')").select("provider", "query", F.coalesce("response", F.lit("[]")).alias("response"))
+    return upsert(cache, fresh, ["provider", "query"], ["response"])
+
+
 def retained(prices: DataFrame, days: int, date: str = "price_date") -> DataFrame:
     """Rows of the last `days` days before the newest date."""
     newest = prices.agg(F.max(date)).head()[0]

@@ -21,29 +21,31 @@ def _prefixes(names: DataFrame, ranks: DataFrame, threshold: float, blocks: list
     return ordered.select("id", "grams", *blocks, F.explode(F.slice("by", F.lit(1), F.greatest(keep, F.lit(1)))["gram"]).alias("gram"))
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, blocks: list[str] | None = None) -> DataFrame:
+def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, blocks: list[str] | None = None, once: bool = False) -> DataFrame:
     """l_id, r_id, similarity of left(id, name) and right(id, name) with a similarity strictly above the threshold,
-    within equal block columns."""
+    within equal block columns. With once, for a table and itself, only pairs of l_id < r_id are formed."""
     blocks = blocks or []
     a = left.withColumn("grams", trigrams(F.col("name"))).select("id", "grams", *blocks)
     b = right.withColumn("grams", trigrams(F.col("name"))).select("id", "grams", *blocks)
     ranks = a.select(F.explode("grams").alias("gram")).unionByName(b.select(F.explode("grams").alias("gram"))).groupBy("gram").agg(F.count("*").alias("n"))
     x = _prefixes(a, ranks, threshold, blocks).withColumnsRenamed({"id": "l_id", "grams": "l_grams"})
     y = _prefixes(b, ranks, threshold, blocks).withColumnsRenamed({"id": "r_id", "grams": "r_grams"})
-    met = x.join(y, ["gram", *blocks]).select("l_id", "r_id", overlap(F.col("l_grams"), F.col("r_grams")).alias("similarity"))
-    return met.where(F.col("similarity") > threshold).distinct()
+    met = x.join(y, ["gram", *blocks])
+    met = met.where("l_id < r_id") if once else met
+    met = met.select("l_id", "r_id", "l_grams", "r_grams").dropDuplicates(["l_id", "r_id"]).select("l_id", "r_id", overlap(F.col("l_grams"), F.col("r_grams")).alias("similarity"))
+    return met.where(F.col("similarity") > threshold)
 
 
 def best_match(queries: DataFrame, names: DataFrame, threshold: float, blocks: list[str] | None = None) -> DataFrame:
     """l_id, r_id, similarity: the most similar name of each query above the threshold; of ties the smallest id."""
     found = similar_pairs(queries, names, threshold, blocks)
-    best = found.groupBy("l_id").agg(F.max("similarity").alias("similarity"))
-    return found.join(best, ["l_id", "similarity"]).groupBy("l_id", "similarity").agg(F.min("r_id").alias("r_id")).select("l_id", "r_id", "similarity")
+    best = found.groupBy("l_id").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "r_id")).alias("best"))
+    return best.select("l_id", "best.r_id", (-F.col("best.s")).alias("similarity"))
 
 
 def duplicate_pairs(names: DataFrame, threshold: float, blocks: list[str] | None = None, queue: DataFrame | None = None) -> DataFrame:
     """id_a < id_b and similarity of names alike; pairs of queue(id_a, id_b), in either order, are left out."""
-    found = similar_pairs(names, names, threshold, blocks).where("l_id < r_id").select(F.col("l_id").alias("id_a"), F.col("r_id").alias("id_b"), "similarity")
+    found = similar_pairs(names, names, threshold, blocks, once=True).select(F.col("l_id").alias("id_a"), F.col("r_id").alias("id_b"), "similarity")
     if queue is None:
         return found
     known = queue.select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))

@@ -1,4 +1,6 @@
-"""Keyed reduction of rows: last-wins upserts, content dedup, precedence of sources, quarantine."""
+"""Keyed reduction of rows: last-wins upserts, content dedup, precedence of sources, quarantine.
+
+In all of them a null text key is the empty text, and is written so."""
 
 from __future__ import annotations
 
@@ -24,14 +26,14 @@ def matches(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
 
 
 def last_wins(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return latest(rows, keys, order)
+    return latest(keyed(rows, keys), keys, order)
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """existing with incoming rows in place of those of equal key; of incoming rows with one key the last in order stays.
     Applying it twice changes nothing."""
     both = existing.withColumn("__new", F.lit(0)).unionByName(incoming.withColumn("__new", F.lit(1)))
-    return latest(both, keys, ["__new", *order]).drop("__new")
+    return latest(keyed(both, keys), keys, ["__new", *order]).drop("__new")
 
 
 def content_dedup(entries: DataFrame, keys: list[str] = RAW_KEY, batch: str = "batch_id", seq: str = "seq", payload: list[str] | None = None) -> DataFrame:

@@ -211,8 +211,8 @@ def q12_dup_sweep_blocked(spark, sf_dir):
 WHERE {_similar('a.name', 'b.name')} > 0.5 AND NOT (a.id % 5 = 0 AND b.id % 5 = 0)""")
 def q13_dup_sweep_unblocked(spark, sf_dir):
     names = _names(spark, sf_dir)
-    fifth = names.where("id % 5 = 0").select("id")
-    queue = fifth.select(F.col("id").alias("id_b")).join(fifth.select(F.col("id").alias("id_a")), F.col("id_a") > F.col("id_b"))
+    # pairs that wait for review already, whichever way round: those of ids divisible by 5
+    queue = similar.duplicate_pairs(names, 0.5).where("id_a % 5 = 0 and id_b % 5 = 0").select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"))
     return similar.duplicate_pairs(names, 0.5, queue=queue).withColumn("similarity", F.round("similarity", 4))
 
 
@@ -236,16 +236,16 @@ def q15_duplicate_keys(spark, sf_dir):
     return audit.duplicate_keys(_keyed_lines(spark, sf_dir), _LINE_KEY)
 
 
-@query("""WITH p AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_quantity > 49), b AS (SELECT min(day) AS a, max(day) AS z FROM p)
-SELECT CAST(d AS DATE) AS day FROM b, unnest(generate_series(b.a, b.z, INTERVAL 1 DAY)) AS t(d) WHERE CAST(d AS DATE) NOT IN (SELECT day FROM p)""")
+@query("""WITH p AS (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) AS day FROM lineitem), b AS (SELECT l_suppkey, min(day) AS a, max(day) AS z FROM p GROUP BY l_suppkey)
+SELECT b.l_suppkey, CAST(d AS DATE) AS day FROM b, unnest(generate_series(b.a, b.z, INTERVAL 1 DAY)) AS t(d) WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.l_suppkey = b.l_suppkey AND p.day = CAST(d AS DATE))""")
 def q16_date_gaps(spark, sf_dir):
-    return audit.date_gaps(load(spark, sf_dir, "lineitem").where("l_quantity > 49"), "l_shipdate")
+    return audit.date_gaps(load(spark, sf_dir, "lineitem"), "l_shipdate", ["l_suppkey"])
 
 
-@query("""WITH d AS (SELECT CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_quantity > 49)
-SELECT CAST(max(day) - min(day) + 1 AS BIGINT) AS expected_count, count(DISTINCT day) AS actual_count, round(count(DISTINCT day) / CAST(max(day) - min(day) + 1 AS DOUBLE) * 100, 2) AS coverage_pct FROM d""")
+@query("""WITH d AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day FROM lineitem)
+SELECT l_suppkey, CAST(max(day) - min(day) + 1 AS BIGINT) AS expected_count, count(DISTINCT day) AS actual_count, round(count(DISTINCT day) / CAST(max(day) - min(day) + 1 AS DOUBLE) * 100, 2) AS coverage_pct FROM d GROUP BY l_suppkey""")
 def q17_date_bounds(spark, sf_dir):
-    return audit.date_coverage(load(spark, sf_dir, "lineitem").where("l_quantity > 49"), "l_shipdate")
+    return audit.date_coverage(load(spark, sf_dir, "lineitem"), "l_shipdate", ["l_suppkey"])
 
 
 @query("""SELECT user_id, count(*) AS pending, min(ts) AS oldest FROM events WHERE event_type = 'error' AND ts < (SELECT max(ts) FROM events) - INTERVAL 3 DAY GROUP BY user_id""")
@@ -316,7 +316,7 @@ ORACLES["q22_merge_counts"] = f"""WITH {_FACTS_SQL} SELECT mandi_id AS loser, su
   count(*) FILTER (WHERE hit AND NOT same) AS kept_both, count(*) FILTER (WHERE NOT hit) AS moved FROM c GROUP BY ALL"""
 
 
-@query(f"""WITH {_FACTS_SQL} SELECT mandi_id, variety, grade, year, modal_price, CAST(NULL AS BIGINT) AS source_mandi_id FROM f WHERE NOT (mandi_id % 2 = 1 AND mandi_id IN (SELECT s_suppkey FROM supplier))
+@query(f"""WITH {_FACTS_SQL} SELECT mandi_id, variety, grade, year, modal_price, CASE WHEN mandi_id + 1 IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 1) THEN mandi_id END AS source_mandi_id FROM f WHERE NOT (mandi_id % 2 = 1 AND mandi_id IN (SELECT s_suppkey FROM supplier))
 UNION ALL SELECT survivor, variety, grade, year, modal_price, mandi_id FROM c WHERE NOT same""")
 def q22_merge_union(spark, sf_dir):
     return _merged(spark, sf_dir)[0]
@@ -502,13 +502,12 @@ def q38_confidence_guard(spark, sf_dir):
     return serving.guard_locations(entities, updates).drop("longitude")
 
 
-@query("""WITH k AS (SELECT p_brand, p_type, l_returnflag FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey = 1 INTERSECT SELECT p_brand, p_type, l_returnflag FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey = 2)
-SELECT p_brand, p_type, l_returnflag, count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey IN (1, 2) AND (p_brand, p_type, l_returnflag) IN (SELECT p_brand, p_type, l_returnflag FROM k) GROUP BY ALL""")
+@query("""WITH r AS (SELECT l_suppkey // 2 AS pair, l_suppkey % 2 AS side, p_brand, p_type, l_returnflag FROM lineitem JOIN part ON p_partkey = l_partkey)
+SELECT CAST(pair AS BIGINT) AS pair, p_brand, p_type, l_returnflag, count(*) AS n FROM r GROUP BY ALL HAVING count(DISTINCT side) = 2""")
 def q39_combo_intersect(spark, sf_dir):
-    keys = ["p_brand", "p_type", "l_returnflag"]
-    rows = load(spark, sf_dir, "lineitem").where("l_suppkey in (1, 2)").join(load(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey")).select(*keys, "l_suppkey")
-    both = rows.where("l_suppkey = 1").select(*keys).intersect(rows.where("l_suppkey = 2").select(*keys))
-    return rows.join(both, keys, "left_semi").groupBy(*keys).agg(F.count("*").alias("n"))
+    rows = load(spark, sf_dir, "lineitem").join(load(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    rows = rows.select(F.floor(F.col("l_suppkey") / 2).cast("long").alias("pair"), (F.col("l_suppkey") % 2).alias("side"), "p_brand", "p_type", "l_returnflag")
+    return merge.common_keys(rows, "pair", "side", ["p_brand", "p_type", "l_returnflag"])
 
 
 @query("""WITH b AS (SELECT user_id, min(CAST(ts AS DATE)) AS target_date FROM events GROUP BY user_id)
@@ -598,3 +597,93 @@ def q50_field_changes(spark, sf_dir):
 @query(f"""WITH {_OBS} SELECT item, variety, grade, price_date, modal_price FROM obs WHERE price_date > (SELECT max(price_date) FROM obs) - INTERVAL 30 DAY""")
 def q51_retention(spark, sf_dir):
     return serving.retained(observations(spark, sf_dir), 30)
+
+
+@query("""SELECT confidence, count(*) AS n FROM (SELECT CASE WHEN s_acctbal < 0 THEN 'UNRESOLVED' WHEN s_acctbal < 3000 THEN 'LOW' WHEN s_acctbal < 6000 THEN 'MEDIUM' ELSE 'HIGH' END AS confidence FROM supplier) GROUP BY confidence""")
+def q52_band_counts(spark, sf_dir):
+    band = F.when(F.col("s_acctbal") >= 6000, "HIGH").when(F.col("s_acctbal") >= 3000, "MEDIUM").when(F.col("s_acctbal") >= 0, "LOW")
+    return serving.band_counts(load(spark, sf_dir, "supplier").select(band.alias("confidence")))
+
+
+@query("""SELECT CAST(o_orderdate AS DATE) AS day, CASE o_orderstatus WHEN 'O' THEN 'RUNNING' WHEN 'P' THEN 'PARTIAL' ELSE 'SUCCESS' END AS status, count(*) AS n FROM orders GROUP BY ALL""")
+def q53_date_tally(spark, sf_dir):
+    state = F.when(F.col("o_orderstatus") == "O", "RUNNING").when(F.col("o_orderstatus") == "P", "PARTIAL").otherwise("SUCCESS")
+    return batches.tally(load(spark, sf_dir, "orders").select(_date("o_orderdate").alias("day"), state.alias("status")), "day", "status")
+
+
+@query(f"""WITH {_NAMES_SQL}, known AS (SELECT lower(name) AS key, id FROM names WHERE id % 2 = 0), asked AS (SELECT DISTINCT lower(name) || 's' AS key FROM names WHERE id % 2 = 0),
+s AS (SELECT a.key, k.id, {_similar('a.key', 'k.key')} AS sim FROM asked a, known k WHERE a.key NOT IN (SELECT key FROM known))
+SELECT id AS owner_id, key AS normalized_alias, 'FUZZY' AS match_method, round(sim, 4) AS match_confidence, false AS approved
+FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY sim DESC, id) AS n FROM s WHERE sim > 0.6) WHERE n = 1 AND id % 3 <> 0""")
+def q54_fuzzy_aliases(spark, sf_dir):
+    names = _names(spark, sf_dir).where("id % 2 = 0").withColumn("key", text.crop_key("name"))
+    none = spark.createDataFrame([], "owner_id long, normalized_alias string")
+    found = resolve.resolve(names.select(F.concat("key", F.lit("s")).alias("key")).distinct(), names.select("id", "key"), none, [], 0.6)
+    known = found.where("entity_id % 3 = 0").select(F.col("key").alias("normalized_alias"))
+    return resolve.fuzzy_aliases(found, known).drop("alias_name")
+
+
+@query("""WITH u AS (SELECT event_type, user_id, CASE WHEN user_id % 3 = 0 THEN 'EXACT' WHEN user_id % 3 = 1 THEN 'FUZZY' ELSE 'NONE' END AS a, CASE WHEN event_type = 'error' THEN 'CREATED' ELSE 'ALIAS' END AS b FROM events)
+SELECT 'mandi' AS entity_type, a AS method, count(*) AS n FROM u GROUP BY ALL UNION ALL SELECT 'crop', b, count(*) FROM u GROUP BY ALL""")
+def q55_method_counts(spark, sf_dir):
+    kind = F.col("user_id") % 3
+    rows = load(spark, sf_dir, "events").select(F.when(kind == 0, "EXACT").when(kind == 1, "FUZZY").alias("a"), F.when(F.col("event_type") == "error", "CREATED").otherwise("ALIAS").alias("b"))
+    return resolve.tally_methods(rows, {"mandi": "a", "crop": "b"})
+
+
+@query("""WITH c AS (SELECT p_size AS id FROM part WHERE p_size % 4 <> 0 GROUP BY p_size), v AS (SELECT DISTINCT p_size * 1000 + CAST(substr(p_brand, 7) AS INT) AS id, p_size AS crop_id FROM part),
+l AS (SELECT l_suppkey AS mandi_id, p_size AS crop_id, p_size * 1000 + CAST(substr(p_brand, 7) AS INT) AS variety_id FROM lineitem JOIN part ON p_partkey = l_partkey),
+m AS (SELECT s_suppkey AS id FROM supplier WHERE s_suppkey % 5 <> 0), kv AS (SELECT id FROM v WHERE crop_id IN (SELECT id FROM c))
+SELECT 'crops' AS "table", (SELECT count(*) FROM c) AS kept, (SELECT count(DISTINCT p_size) FROM part) - (SELECT count(*) FROM c) AS dropped
+UNION ALL SELECT 'markets', (SELECT count(*) FROM m), (SELECT count(*) FROM supplier) - (SELECT count(*) FROM m)
+UNION ALL SELECT 'varieties', (SELECT count(*) FROM kv), (SELECT count(*) FROM v) - (SELECT count(*) FROM kv)
+UNION ALL SELECT 'grades', (SELECT count(*) FROM kv), (SELECT count(*) FROM v) - (SELECT count(*) FROM kv)
+UNION ALL SELECT 'price_cache', count(*) FILTER (WHERE k), count(*) FILTER (WHERE NOT k) FROM (SELECT mandi_id IN (SELECT id FROM m) AND crop_id IN (SELECT id FROM c) AND variety_id IN (SELECT id FROM kv) AS k FROM l)""")
+def q56_sync_drops(spark, sf_dir):
+    part = load(spark, sf_dir, "part").select("p_partkey", F.col("p_size").alias("crop_id"), (F.col("p_size") * 1000 + F.substring("p_brand", 7, 10).cast("int")).alias("variety_id"))
+    state = lambda id_, n: F.when(F.col(id_) % n != 0, "ACTIVE").otherwise("INACTIVE").alias("status")
+    crops = part.select(F.col("crop_id").alias("id"), state("crop_id", 4)).distinct()
+    markets = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), state("s_suppkey", 5))
+    varieties = part.select(F.col("variety_id").alias("id"), "crop_id").distinct()
+    grades = varieties.select(F.col("id"), F.col("id").alias("variety_id"))
+    cache = load(spark, sf_dir, "lineitem").join(part, F.col("p_partkey") == F.col("l_partkey")).select(F.col("l_suppkey").alias("mandi_id"), "crop_id", "variety_id")
+    tables = {"crops": crops, "markets": markets, "varieties": varieties, "grades": grades, "price_cache": cache}
+    return serving.serving_drops(tables, serving.serving_copies(*tables.values()))
+
+
+@query("""WITH f AS (SELECT l_suppkey AS mandi_id, p_brand AS variety, l_returnflag AS grade, max(l_quantity) AS modal_price FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL),
+r AS (SELECT mandi_id // 3 * 3 AS survivor, CASE WHEN mandi_id % 3 = 0 THEN -1 ELSE mandi_id END AS turn, * FROM f),
+m AS (SELECT *, min(turn) OVER (PARTITION BY survivor, variety, grade, modal_price) < turn AS equal FROM r)
+SELECT survivor AS mandi_id, variety, grade, modal_price, mandi_id AS source_mandi_id FROM m WHERE NOT equal""")
+def q57_merge_three(spark, sf_dir):
+    lines = load(spark, sf_dir, "lineitem").join(load(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
+    facts = lines.groupBy(F.col("l_suppkey").alias("mandi_id"), F.col("p_brand").alias("variety"), F.col("l_returnflag").alias("grade")).agg(F.max("l_quantity").alias("modal_price"))
+    facts = facts.withColumn("source_mandi_id", F.lit(None).cast("long"))
+    head = (F.floor(F.col("mandi_id") / 3) * 3).cast("long")
+    pairs = facts.select(F.col("mandi_id").alias("loser"), head.alias("survivor")).where("loser <> survivor").distinct()
+    extra = facts.select(head.alias("survivor")).distinct()
+    after = merge.merge_markets(facts, pairs, ["mandi_id", "variety", "grade", "source_mandi_id"], ["modal_price"])[0]
+    # groups of one market have no pair and keep no source yet
+    alone = extra.join(pairs.select("survivor"), "survivor", "left_anti").select(F.col("survivor").alias("mandi_id"), F.lit(True).alias("alone"))
+    return after.join(alone, "mandi_id", "left").withColumn("source_mandi_id", F.when(F.col("alone"), F.col("mandi_id")).otherwise(F.col("source_mandi_id"))).drop("alone")
+
+
+@query("""SELECT s_suppkey AS id, CASE WHEN s_acctbal < 0 THEN NULL ELSE s_acctbal END AS latitude FROM supplier WHERE s_suppkey % 4 <> 0 AND s_acctbal < 0""")
+def q58_without_location(spark, sf_dir):
+    rows = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal")).alias("latitude"), F.lit(1.0).alias("longitude"), F.when(F.col("s_suppkey") % 4 != 0, "ACTIVE").otherwise("MERGED").alias("status"))
+    return serving.without_location(rows).select("id", "latitude")
+
+
+@query("""SELECT CASE WHEN event_type = 'error' THEN 'RESOLVED' ELSE 'PENDING' END AS review_status, count(*) AS n FROM events GROUP BY 1""")
+def q59_issue_review(spark, sf_dir):
+    issues = load(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "event_type", F.lit("PENDING").alias("review_status"), F.lit(None).cast("string").alias("review_note"), F.lit(None).cast("timestamp").alias("reviewed_at"))
+    return batches.tally(batches.resolve_where(issues, F.col("event_type") == "error", "RESOLVED", "seen", F.lit("2026-01-01").cast("timestamp")), "review_status")
+
+
+@query("""SELECT provider, query, ord, name FROM (SELECT 'p' || CAST(s_nationkey % 2 AS VARCHAR) AS provider, CAST(s_nationkey AS VARCHAR) AS query, CAST(s_suppkey AS INT) AS ord, s_name AS name FROM supplier)""")
+def q60_candidate_round_trip(spark, sf_dir):
+    found = load(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("p"), (F.col("s_nationkey") % 2).cast("string")).alias("provider"), F.col("s_nationkey").cast("string").alias("query"), F.col("s_suppkey").cast("int").alias("ord"), F.col("s_name").alias("name"),
+        F.col("s_acctbal").alias("lat"), F.lit(1.0).alias("lng"), F.array(F.lit("market"), F.lit("food")).alias("place_types"), F.lit("x").alias("formatted_address"),
+    )
+    return serving.decoded_candidates(serving.encoded_candidates(found)).select("provider", "query", "ord", "name")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import dataclasses
 import datetime
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +13,9 @@ from pyspark.sql import functions as F
 from harvestry.functions import prices as p
 from harvestry.functions.text import normalize_kind
 from harvestry.operators import batches, latest, resolve, upsert
-from harvestry.schema import NORMALIZATION_VERSION, PARSER_VERSION, PRICE_KEY
-from harvestry.sources.tables import parse_records
+from harvestry.schema import NORMALIZATION_VERSION, PARSER_VERSION, PRICE_KEY, assert_schema
+from harvestry.sources.staging import staged
+from harvestry.sources.tables import parse_records, typed_config
 
 
 @dataclasses.dataclass(frozen=True)
@@ -22,27 +25,34 @@ class Dimensions:
     market_aliases: DataFrame
     crop_aliases: DataFrame
     district_aliases: DataFrame
+    varieties: DataFrame | None = None
+    grades: DataFrame | None = None
 
 
 @dataclasses.dataclass(frozen=True)
 class Ingested:
     """entries: raw content of the batch; prices: rows to upsert; quarantine: rows that break a check; rejected: raw
-    records that could not be parsed; superseded: number of rows that a stronger source already has is prices' shortfall."""
+    records that could not be parsed; created: records that led to new entities; methods: rows by way of resolution."""
 
     entries: DataFrame
     prices: DataFrame
     quarantine: DataFrame
     rejected: DataFrame
     created: DataFrame
+    methods: DataFrame
 
 
 def ingest(raw: DataFrame, dims: Dimensions, existing: DataFrame, source: str, batch_id: str, seq: str = "seq") -> Ingested:
-    """raw has `record map<string,string>` and an order column. existing are stored prices, for precedence."""
+    """raw has `record map<string,string>` and an order column. existing are stored prices, for precedence. With tables of
+    varieties and grades, prices get their ids as well."""
     parsed, rejected = parse_records(raw)
     parsed = parsed.withColumn("resource", F.lit(source)).withColumn("batch_id", F.lit(batch_id))
     entries = upsert.content_dedup(parsed, seq=seq)
     named = parsed.withColumns({"variety": normalize_kind("raw_variety"), "grade": normalize_kind("raw_grade"), "source_mandi_name": F.col("market")})
     found = resolve.resolve_crops(resolve.resolve_markets(named, dims.markets, dims.market_aliases, dims.district_aliases), dims.crops, dims.crop_aliases)
+    if dims.varieties is not None and dims.grades is not None:
+        found = resolve.resolve_kinds(found, dims.varieties, "crop_id", "variety", "variety_id")
+        found = resolve.resolve_kinds(found, dims.grades, "variety_id", "grade", "grade_id")
     found = resolve.first_seen(resolve.first_seen(found, ["mandi_id"], seq, "first_market"), ["crop_id"], seq, "first_crop")
     new_market = F.col("first_market") & (F.col("mandi_method") == "CREATED")
     new_crop = F.col("first_crop") & (F.col("crop_method") == "CREATED")
@@ -52,11 +62,13 @@ def ingest(raw: DataFrame, dims: Dimensions, existing: DataFrame, source: str, b
     rows = rows.withColumns({"quality": quality, "source_mandi_id": F.lit(None).cast("long"), "parser_version": F.lit(PARSER_VERSION), "normalization_version": F.lit(NORMALIZATION_VERSION)})
     rows = rows.withColumn("quality_score", F.col("quality.score"))
     valid, bad = upsert.quarantine(rows, upsert.price_checks())
-    columns = [*PRICE_KEY, "modal_price", "min_price", "max_price", "unit", "source", "source_mandi_name", "batch_id", "quality_score"]
+    columns = [*PRICE_KEY, "modal_price", "min_price", "max_price", "unit", "source", "source_mandi_name", "batch_id", "quality_score", "parser_version", "normalization_version"]
+    columns += [c for c in ("variety_id", "grade_id") if c in valid.columns]
     once = upsert.last_wins(valid.select(*columns, seq), PRICE_KEY, [seq]).drop(seq)
     kept = upsert.respect_precedence(once, existing, PRICE_KEY)
     created = found.where("mandi_method = 'CREATED' or crop_method = 'CREATED'").select("mandi_id", "mandi_method", "crop_id", "crop_method", "market", "commodity").distinct()
-    return Ingested(entries, kept, bad, rejected, created)
+    methods = resolve.tally_methods(found, {"mandi": "mandi_method", "crop": "crop_method"})
+    return Ingested(entries, kept, bad, rejected, created, methods)
 
 
 def counters(done: Ingested) -> DataFrame:
@@ -96,3 +108,69 @@ def outage_alert(runs: DataFrame, job_name: str, order: list[Column]) -> bool:
     """Whether the last three runs of a job all failed."""
     own = runs.where(F.col("job_name") == job_name)
     return bool(batches.all_failed(own, ["job_name"], order, F.col("status") == "FAILED").head(1))
+
+
+@dataclasses.dataclass(frozen=True)
+class Retried:
+    """done: what the pages held; pages: the queue afterwards; counts: pages resolved, pending again and skipped."""
+
+    done: Ingested
+    pages: DataFrame
+    counts: DataFrame
+
+
+def retry_failed(pages: DataFrame, runs: DataFrame, fetch: Callable[[DataFrame], DataFrame], dims: Dimensions, existing: DataFrame, source: str, batch_id: str) -> Retried:
+    """Try all pending pages again. fetch takes the plan (id, target_date, state and the page's columns) and returns
+    (page_id, error, seq, record): a row per record, or one without a record for a page that is empty or failed again.
+    Pages without a known date or state are skipped. Only pages that were read in full are resolved."""
+    plan = staged(batches.retry_plan(pages, runs), "retries")
+    known = plan.where("target_date is not null and state is not null")
+    got = staged(fetch(known), "fetched")
+    verdict = got.groupBy(F.col("page_id").alias("id")).agg(F.max("error").isNull().alias("read"))
+    after = pages.join(verdict, "id", "left").withColumn("status", F.when(F.col("read"), "RESOLVED").otherwise(F.col("status"))).select(pages.columns)
+    good = got.join(verdict.where("read").select(F.col("id").alias("page_id")), "page_id", "left_semi").where("record is not null")
+    outcome = pages.where("status = 'PENDING'").join(verdict, "id", "left").select(F.when(F.col("read"), "resolved").when(~F.col("read"), "pending").otherwise("skipped").alias("outcome"))
+    return Retried(ingest(good.select("seq", "record"), dims, existing, source, batch_id), after, batches.tally(outcome, "outcome"))
+
+
+def take_dates(read: Callable[[list[datetime.date]], DataFrame], dates: list[datetime.date], dims: Dimensions, existing: DataFrame, source: str, batch_id: str) -> tuple[Ingested, DataFrame]:
+    """One batch for several dates, and its rows by date and outcome, STORED or FAILED. read gives the raw records of some
+    dates; records of other dates are left out."""
+    raw = read(dates)
+    parsed, _ = parse_records(raw)
+    wanted = parsed.select("seq", "price_date").where(F.col("price_date").isin(dates)).select("seq").distinct()
+    done = ingest(raw.join(wanted, "seq", "left_semi"), dims, existing, source, batch_id)
+    rows = done.prices.select("price_date", F.lit("STORED").alias("outcome")).unionByName(done.quarantine.select("price_date", F.lit("FAILED").alias("outcome")))
+    return done, batches.tally(rows, "price_date", "outcome")
+
+
+def daily_rewrite(read, today: datetime.date, dims: Dimensions, existing: DataFrame, source: str, batch_id: str, days: int = 3) -> tuple[Ingested, DataFrame]:
+    """Today and the days before again, as the source corrects them."""
+    return take_dates(read, rewrite_dates(today, days), dims, existing, source, batch_id)
+
+
+def historical_backfill(read, start: datetime.date, end: datetime.date, today: datetime.date, runs: DataFrame, dims: Dimensions, existing: DataFrame, source: str, batch_id: str) -> tuple[Ingested, DataFrame]:
+    """The dates of a range that no successful run of runs(job_name, status, date_range_start) has taken yet. The range has
+    at most a few thousand days."""
+    wanted = backfill_dates(start, end, today)
+    done = runs.where("job_name = 'historical_backfill' and status = 'SUCCESS'").where(F.col("date_range_start").between(F.lit(start), F.lit(end)))
+    known = {r[0] for r in done.select("date_range_start").distinct().collect()}
+    return take_dates(read, [d for d in wanted if d not in known], dims, existing, source, batch_id)
+
+
+def startup(config: DataFrame, spec: dict, tables: dict[str, tuple[DataFrame, str]]) -> dict:
+    """The typed configuration, once all tables, (rows, schema) by name, have the columns they need; one error for all."""
+    wrong = []
+    for name, (rows, ddl) in tables.items():
+        try:
+            assert_schema(rows, ddl)
+        except ValueError as error:
+            wrong.append(f"{name}: {error}")
+    if wrong:
+        raise ValueError("; ".join(wrong))
+    return typed_config(config, spec)
+
+
+def batch_name(now_utc: datetime.datetime) -> str:
+    """An id whose order is that of time: milliseconds in 12 hexadecimal digits, then 20 random ones."""
+    return f"{int(now_utc.timestamp() * 1000):012x}{uuid.uuid4().hex[:20]}"

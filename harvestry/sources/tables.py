@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from harvestry.functions.text import strip
 from harvestry.operators.upsert import upsert
 
+CONFIG_ROWS = 10_000
+
 
 def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
@@ -25,8 +27,9 @@ def upsert_partitions(path: str, incoming: DataFrame, keys: list[str], order: li
     if not exists(spark, path):
         upsert(incoming.limit(0), incoming, keys, order).write.partitionBy(partition).parquet(path)
         return
-    touched = [r[0] for r in incoming.select(partition).distinct().collect()]
-    stored = spark.read.schema(incoming.schema).parquet(path).where(F.col(partition).isin(*touched))
+    # a row for each touched partition; the scan reads no other one
+    touched = F.broadcast(incoming.select(partition).distinct())
+    stored = spark.read.schema(incoming.schema).parquet(path).join(touched, partition, "left_semi").select(incoming.columns)
     merged = upsert(stored, incoming, keys, order)
     draft = f"{path.rstrip('/')}.draft"
     merged.write.mode("overwrite").partitionBy(partition).parquet(draft)
@@ -69,8 +72,11 @@ def parse_records(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def typed_config(rows: DataFrame, spec: dict[str, tuple[type, float, float]]) -> dict:
-    """Typed values of a small key/value table; an error that names all missing and wrong entries."""
-    found = {r["key"]: r["value"] for r in rows.select("key", "value").limit(10_000).collect()}
+    """Typed values of a small key/value table; an error that names all missing and wrong entries, or if it isn't small."""
+    got = rows.select("key", "value").take(CONFIG_ROWS + 1)
+    if len(got) > CONFIG_ROWS:
+        raise ValueError(f"more than {CONFIG_ROWS} configuration rows")
+    found = {r["key"]: r["value"] for r in got}
     out, wrong = {}, []
     for key, (kind, low, high) in spec.items():
         try:

@@ -1,14 +1,16 @@
+import dataclasses
 import datetime
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from harvestry import schema
-from harvestry.functions import text
+from harvestry.functions import geo, terms, text
 from harvestry.operators import audit, batches, merge, resolve, serving, similar, upsert
 from harvestry.plans import jobs
-from harvestry.sources import feed, tables
+from harvestry.sources import feed, staging, tables
 from harvestry.streaming import ticks
 
 DAY = datetime.date(2026, 7, 15)
@@ -198,8 +200,8 @@ def test_precedence_stream(spark, tmp_path):
         from harvestry.functions.prices import source_rank
 
         stream = spark.readStream.schema("k long, source string, price double").parquet(str(tmp_path / "in"))
-        ticks.precedence_stream(stream, str(tmp_path / "out"), ["k"], source_rank)
-        assert spark.read.parquet(str(tmp_path / "out/current")).head().price == (1.0, 1.0, 3.0)[k]
+        got = ticks.precedence_stream(stream, str(tmp_path / "out"), ["k"], source_rank)
+        assert [r.price for r in got.collect()] == [(1.0, 1.0, 3.0)[k]]
 
 
 def test_resolve_creates_one_entity_for_names_alike(spark):
@@ -208,3 +210,164 @@ def test_resolve_creates_one_entity_for_names_alike(spark):
     found = resolve.create_missing(resolve.resolve(keys, none, spark.createDataFrame([], schema.ALIASES), [], 0.5), [], 0.5, 100)
     got = {r.key: r.entity_id for r in found.collect()}
     assert got["newtown"] == got["newtowns"] == 100 and got["zzz"] == 101
+
+
+def one_by_one(keys, threshold, score):
+    """Entities of keys that come one after the other: the most similar earlier one above the threshold, or a new one."""
+    made, owner = [], {}
+    for key in sorted(keys):
+        best = max(((score(key, m), -i) for i, m in enumerate(made)), default=(0, 0))
+        if best[0] > threshold:
+            owner[key] = -best[1]
+        else:
+            owner[key] = len(made)
+            made.append(key)
+    return owner
+
+
+def test_creation_follows_the_order_of_keys(spark):
+    from harvestry.functions.trigram import similarity
+
+    rng = random.Random(4)
+    words = ["carol", "echos", "fable", "gizmo", "delta", "bravo"]
+    keys = sorted({" ".join(rng.sample(words, rng.randrange(2, 5))) for _ in range(40)} | {"carol echos fable gizmo", "delta bravo fable gizmo"})
+    frame = spark.createDataFrame([(k,) for k in keys], "key string")
+    pairs = frame.toDF("a").join(frame.toDF("b")).select("a", "b", similarity(F.col("a"), F.col("b")).alias("s")).collect()
+    scores = {(r.a, r.b): r.s for r in pairs}
+    none = spark.createDataFrame([], "id long, key string")
+    found = resolve.create_missing(resolve.resolve(frame, none, spark.createDataFrame([], schema.ALIASES), [], 0.5), [], 0.5, 100)
+    assert {r.key: r.entity_id - 100 for r in found.collect()} == one_by_one(keys, 0.5, lambda x, y: scores[x, y])
+    made = resolve.created_entities(found, [], "s").collect()
+    assert len(made) == len({r.entity_id for r in found.collect()}) == len({r.slug for r in made})
+
+
+def test_side_outputs_of_resolution(spark):
+    found = spark.createDataFrame([("aa", 1, "FUZZY", 0.7), ("bb", 2, "FUZZY", 0.6), ("cc", 3, "EXACT", None)], "key string, entity_id long, method string, similarity double")
+    known = spark.createDataFrame([(9, "bb", "bb", "X", 1.0, True)], schema.ALIASES)
+    assert [tuple(r) for r in resolve.fuzzy_aliases(found, known).collect()] == [(1, "aa", "aa", "FUZZY", 0.7, False)]
+    entities = spark.createDataFrame([(1, None), (7, DAY)], "id long, last_seen_at date")
+    later = DAY + datetime.timedelta(days=1)
+    assert {r.id: r.last_seen_at for r in resolve.touch_last_seen(entities, found, F.lit(later)).collect()} == {1: later, 7: DAY}
+    assert {(r.method, r.n) for r in resolve.method_counts(found).collect()} == {("FUZZY", 2), ("EXACT", 1)}
+    aliases = spark.createDataFrame([("S", "Old", "New"), ("S", " Old", "New"), ("S", "Old", "Newer")], schema.DISTRICT_ALIASES)
+    rows = spark.createDataFrame([("S", " Old "), ("T", "Old")], "state string, district string")
+    assert sorted(tuple(r) for r in resolve.canonical_districts(rows, aliases).collect()) == [("S", "New"), ("T", "Old")]
+
+
+def test_numbers_of_rows_with_any_columns(spark):
+    rows = spark.createDataFrame([(k,) for k in "cab"], "__p string").withColumn("__part", F.lit(1)).withColumn("__n", F.lit(2))
+    twice = staging.numbered(staging.numbered(rows, ["__p"], "x"), ["x"], "y", 10)
+    assert sorted((r["__p"], r.x, r.y) for r in twice.collect()) == [("a", 1, 10), ("b", 2, 11), ("c", 3, 12)]
+
+
+def test_losers_merge_one_after_the_other(spark):
+    rng = random.Random(8)
+    rows = sorted({(rng.randrange(6), rng.choice("xyz"), float(rng.randrange(3))) for _ in range(40)})
+    rows = list({(m, v): (m, v, p) for m, v, p in rows}.values())
+    pairs = [(1, 0), (2, 0), (4, 3)]
+    want, counts = [(m, v, p, m if m in (0, 3) else None) for m, v, p in rows if m not in (1, 2, 4)], {}
+    for loser, survivor in pairs:
+        own = [(v, p) for m, v, p in rows if m == loser]
+        there = [(v, p) for m, v, p, _ in want if m == survivor]
+        counts[loser] = (sum(r in there for r in own), sum(r not in there and r[0] in {v for v, _ in there} for r in own))
+        want += [(survivor, v, p, loser) for v, p in own if (v, p) not in there]
+    facts = spark.createDataFrame([(m, v, p, None, None) for m, v, p in rows], "mandi_id long, variety string, modal_price double, source_mandi_id long, source_mandi_name string")
+    names = spark.createDataFrame([(m, f"n{m}") for m in range(6)], "id long, name string")
+    after, got = merge.merge_markets(facts, spark.createDataFrame(pairs, "loser long, survivor long"), ["mandi_id", "variety", "source_mandi_id"], ["modal_price"], names=names)
+    assert sorted(map(str, want)) == sorted(str((r.mandi_id, r.variety, r.modal_price, r.source_mandi_id)) for r in after.collect())
+    assert all((r.source_mandi_name == f"n{r.source_mandi_id}") == (r.source_mandi_id is not None) for r in after.collect())
+    assert {r.loser: (r.deduped, r.kept_both) for r in got.collect() if r.loser in counts} == {k: v for k, v in counts.items() if any(m == k for m, _, _ in rows)}
+    keyed = merge.rekey(spark.createDataFrame([(1, "x", 1), (2, "x", 2), (2, "y", 3), (0, "z", 4), (1, "z", 5)], "e long, k string, n int"), spark.createDataFrame(pairs, "loser long, survivor long"), "e", ["e", "k"])
+    assert sorted((r.e, r.k, r.n) for r in keyed.collect()) == [(0, "x", 1), (0, "y", 3), (0, "z", 4)]
+
+
+def test_merge_entity_cascades(spark):
+    entity = "id long, {}normalized_name string, status string, merged_into_id long"
+    crops = spark.createDataFrame([(1, "a", "ACTIVE", None), (2, "b", "ACTIVE", None)], entity.format(""))
+    varieties = spark.createDataFrame([(10, 1, "v", "ACTIVE", None), (20, 2, "v", "ACTIVE", None), (21, 2, "w", "ACTIVE", None)], entity.format("crop_id long, "))
+    grades = spark.createDataFrame([(100, 10, "g", "ACTIVE", None), (200, 20, "g", "ACTIVE", None), (201, 20, "h", "ACTIVE", None)], entity.format("variety_id long, "))
+    prices = spark.createDataFrame([(1, 10, 100, 5.0), (2, 20, 200, 6.0), (2, 20, 201, 7.0), (2, 21, None, 8.0)], "crop_id long, variety_id long, grade_id long, modal_price double")
+    pairs = spark.createDataFrame([(2, 1)], "loser long, survivor long")
+    tables = {"crops": crops, "varieties": varieties, "grades": grades, "prices": prices}
+    out = merge.merge_entity("crop", pairs, tables, ["crop_id", "variety_id", "grade_id"], "dup")
+    assert {(r.id, r.status, r.merged_into_id) for r in out["crops"].collect()} == {(1, "ACTIVE", None), (2, "MERGED", 1)}
+    assert {(r.id, r.crop_id, r.status) for r in out["varieties"].collect()} == {(10, 1, "ACTIVE"), (20, 2, "MERGED"), (21, 1, "ACTIVE")}
+    assert {(r.id, r.variety_id, r.status) for r in out["grades"].collect()} == {(100, 10, "ACTIVE"), (200, 20, "MERGED"), (201, 10, "ACTIVE")}
+    assert sorted(map(str, (tuple(r) for r in out["prices"].collect()))) == sorted(map(str, [(1, 10, 100, 5.0), (1, 10, 201, 7.0), (1, 21, None, 8.0)]))
+    assert out["audit_log"].count() == 1
+    again = merge.merge_entity("crop", pairs, tables | {k: out[k] for k in ("crops", "varieties", "grades", "prices")}, ["crop_id", "variety_id", "grade_id"], "dup")
+    assert again["prices"].exceptAll(out["prices"]).count() == 0 and again["audit_log"].count() == 0
+
+
+def test_batches_open_and_close(spark):
+    now = F.lit(datetime.datetime(2026, 7, 20, 10))
+    none = spark.createDataFrame([], schema.BATCHES)
+    runs = batches.opened(none, "b1", "j", "r", now)
+    with pytest.raises(ValueError, match="running"):
+        batches.opened(runs, "b2", "j", "r", now)
+    assert batches.closed(runs, "b1", 5, 1, now).head().status == "PARTIAL" and batches.closed(runs, "b1", 5, 0, now).head().status == "SUCCESS"
+    calls = spark.createDataFrame([("SUCCESS", None), ("FAILURE", "X"), ("FAILURE", " "), ("FAILURE", None), ("odd", "X")], "status string, error_code string")
+    assert [d.count() for d in batches.call_log(calls)] == [2, 3]
+    pages = spark.createDataFrame([("r", "Goa", 2, "down", 3, 9), ("r", "Goa", 1, None, 5, 9)], "resource string, state string, page int, error string, rows int, total int")
+    assert batches.failed_pages(pages, "b1", now).head().error_message == "[state=Goa] down"
+    assert tuple(batches.coverage_report(pages, "b1").head())[1:] == ("Goa", 8, 9, 1)
+    log = spark.createDataFrame([(1, "a"), (2, "b")], "id int, x string")
+    assert batches.append_only(log, log.unionByName(log.limit(1))).count() == 3
+    with pytest.raises(ValueError, match="append-only"):
+        batches.append_only(log, log.withColumn("x", F.lit("a")))
+    ids = [jobs.batch_name(datetime.datetime(2026, 7, 20, h)) for h in (1, 2)]
+    assert ids == sorted(ids) and len(ids[0]) == 32
+
+
+def test_retry_rewrite_and_backfill(spark):
+    at = datetime.datetime(2026, 7, 16)
+    pages = spark.createDataFrame([(1, "b1", "PENDING", None, "[state=Goa] down", at), (2, "b1", "PENDING", None, "[state=Goa] down", at), (3, "b9", "PENDING", None, "[state=Goa] x", at), (4, "b1", "PENDING", None, "no tag", at)], "id long, batch_id string, status string, state string, error_message string, created_at timestamp")
+    runs = spark.createDataFrame([("b1", "historical_backfill", "SUCCESS", DAY)], "id string, job_name string, status string, date_range_start date")
+
+    def fetch(plan):
+        assert [r.id for r in plan.orderBy("id").collect()] == [1, 2] and plan.head().target_date == DAY
+        return spark.createDataFrame([(1, None, 0, record()), (1, None, 1, record(market="Newtown")), (2, "down", 2, None)], "page_id long, error string, seq int, record map<string,string>")
+
+    empty = spark.createDataFrame([], schema.PRICES)
+    got = jobs.retry_failed(pages, runs, fetch, dims(spark), empty, "resource_2", "b2")
+    assert got.done.prices.count() == 2 and {r.id: r.status for r in got.pages.collect()} == {1: "RESOLVED", 2: "PENDING", 3: "PENDING", 4: "PENDING"}
+    assert {r.outcome: r.n for r in got.counts.collect()} == {"resolved": 1, "pending": 1, "skipped": 2}
+    asked = []
+
+    def read(dates):
+        asked.append(dates)
+        records = [record(), record(arrival_date="14/07/2026"), record(arrival_date="13/07/2026", min_price="9999"), record(arrival_date="01/07/2026")]
+        return spark.createDataFrame(list(enumerate(records)), "seq int, record map<string,string>")
+
+    done, tally = jobs.daily_rewrite(read, DAY, dims(spark), empty, "resource_2", "b3")
+    assert {(str(r.price_date), r.outcome, r.n) for r in tally.collect()} == {("2026-07-15", "STORED", 1), ("2026-07-14", "STORED", 1), ("2026-07-13", "FAILED", 1)}
+    kinds = "id long, {} long, normalized_name string, status string"
+    full = dataclasses.replace(dims(spark), varieties=spark.createDataFrame([(5, 10, "faq", "ACTIVE")], kinds.format("crop_id")), grades=spark.createDataFrame([], kinds.format("variety_id")))
+    done, _ = jobs.historical_backfill(read, DAY - datetime.timedelta(days=1), DAY, DAY + datetime.timedelta(days=1), runs, full, empty, "resource_2", "b4")
+    assert asked[-1] == [DAY - datetime.timedelta(days=1)]
+    assert [(r.variety_id, r.grade_id, r.parser_version) for r in done.prices.collect()] == [(5, 1, 1)]
+    with pytest.raises(ValueError, match="x: missing"):
+        jobs.startup(spark.createDataFrame([], "key string, value string"), {}, {"t": (pages, "x long")})
+
+
+def test_sync_and_caches(spark, tmp_path):
+    rows = lambda ddl, *r: spark.createDataFrame(list(r), ddl)
+    tables = {
+        "crops": rows("id long, status string", (1, "ACTIVE"), (2, "MERGED")), "markets": rows("id long, status string", (7, "ACTIVE")), "varieties": rows("id long, crop_id long", (3, 1), (4, 2)),
+        "grades": rows("id long, variety_id long", (5, 3), (6, 4)), "price_cache": rows("mandi_id long, crop_id long, variety_id long", (7, 1, 3), (7, 2, 4), (8, 1, 3)),
+    }
+    for _ in range(2):
+        drops = serving.sync(str(tmp_path), tables)
+        assert {r.table: (r.kept, r.dropped) for r in drops.collect()} == {"crops": (1, 1), "markets": (1, 0), "varieties": (1, 1), "grades": (1, 1), "price_cache": (1, 2)}
+        assert spark.read.parquet(str(tmp_path / "price_cache")).count() == 1
+    cache = rows("provider string, query string, response string", ("g", "a", "old"))
+    searched = rows("provider string, query string, status string, response string", ("g", "a", "OK", "new"), ("g", "b", "ZERO_RESULTS", None), ("g", "c", "OVER_LIMIT", "x"))
+    assert {(r.query, r.response) for r in serving.write_through(cache, searched).collect()} == {("a", "new"), ("b", "[]")}
+    markets = rows("id long, name string, ref_lat double, ref_lng double", (1, "Lakeside Market", 10.0, 70.0), (2, "Plain", 10.0, 70.0), (3, "Farville Mandi", 10.0, 70.0))
+    towns = rows("market_id long, ord int, name string, lat double, lng double, place_types array<string>", (1, 0, "Lakeside", 10.1, 70.0, ["market"]), (1, 1, "Lakeside", 10.1, 70.1, ["locality"]), (2, 0, "Plain", 10.0, 70.0, ["locality"]), (3, 0, "Farville", 20.0, 70.0, ["locality"]))
+    assert [(r.market_id, r.lng, r.confidence) for r in serving.town_fallback(markets, towns).collect()] == [(1, 70.1, "REVIEW")]
+    parts = rows("c array<struct<long_name:string,short_name:string,types:array<string>>>", ([("Lake Side", "L.S.", ["locality"]), ("District", "D", ["country"])],))
+    got = parts.select(geo.query_tokens(F.lit("Lake Side APMC of X, Far, India")), geo.locality_tokens(F.col("c")), geo.locality_names(F.col("c")), geo.village_precise(F.lit(False), F.col("c")[0]["types"])).head()
+    assert tuple(got) == (["lake", "side"], ["lakeside", "ls"], ["Lake Side"], True)
+    asked = parts.select(terms.geocoder_queries(F.lit("Lakeside Sub Yard"), F.lit("Far"), F.lit("Goa"))).head()[0]
+    assert asked == ["Lakeside Sub Yard, Far, Goa, India", "Lakeside Sub Yard mandi, Far, Goa, India", "Lakeside Sub Yard market, Far, Goa, India", "Lakeside Sub Yard, Goa, India", "Lakeside, Far, Goa, India", "Lakeside, Goa, India"]
