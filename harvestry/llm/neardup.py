@@ -10,14 +10,20 @@ Texts of equal words are one node from the start, so copies cost nothing later.
 bucket. First, every node of a bucket is verified against the bucket's centre, the text that meets most others, with the
 exact similarity; classes are the connected components of these links. That settles groups of near copies at one link
 per row. In buckets with several classes, pairs of different classes are compared next, block by block, by sketches of
-their signatures, and only pairs that may reach the similarity become rows and are verified. So no link between
-different classes of a bucket is lost, and a bucket of one class, however large, costs nothing more.
+their signatures, and only pairs that may reach the similarity become rows and are verified. A sketch misses a pair of
+just the least similarity with probability below 1e-6, which adds to the bands' 3e-6; a bucket of one class, however
+large, costs nothing more. Links inside a class that need not be known for the classes stay unverified.
 
-Weights are 1 per distinct shingle by default (the plain Jaccard similarity), or the shingle's count in the text.
+A key, a centre, a root or a text that a third of all rows share is dealt to several tasks: the rows carry a salt, and
+the other side's one row is copied for the salts that occur.
+
+Weights are a shingle's count in the text (weighted Jaccard similarity of the shingle multisets), or 1 for each distinct
+shingle with weighted=False (plain Jaccard similarity).
 
 Defined results: a null text is the empty text; texts of fewer than five words are one shingle; empty texts are copies
 of each other; words are split at white space, in lower case; rows with equal or null doc_id are rows of their own; an
-empty table gives no rows; other columns of docs are ignored or kept as they are.
+empty table gives no rows; other columns of docs are ignored or kept as they are. Of rows with the least doc_id and the
+same words one stays, in the order of the input's partitions.
 """
 
 from __future__ import annotations
@@ -26,11 +32,9 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from harvestry.llm.common import is_empty, small_batches, staged, text_or_empty
 
@@ -38,10 +42,14 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 6) ** 42 < 3e-6.
 BANDS, ROWS = 42, 6
 
-#: Rows of a bucket's block; coordinates of the sketches that its classes are compared by.
-BLOCK, SKETCH = 512, 1008
-#: Nodes up to this number, 16 MB, are broadcast to find their texts.
-BROADCAST_NODES = 1_000_000
+#: Rows of a bucket's block; coordinates of the sketches that its classes are compared by, and of their first part.
+BLOCK, SKETCH, FIRST = 2048, 512, 128
+#: Characters of a block; shingles that a task keeps of the texts it compares.
+BLOCK_CHARS, CACHED_SHINGLES = 32_000_000, 4_000_000
+#: Rows up to this number, 24 MB, are broadcast to find their texts.
+BROADCAST_ROWS = 1_000_000
+#: Tasks that the rows of one key are dealt to.
+SALTS = 16
 
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64)
@@ -154,33 +162,43 @@ def similarity(a: tuple, b: tuple, weighted: bool) -> float:
     return len(i) / (len(a[0]) + len(b[0]) - len(i))
 
 
-def _node(words: str) -> bytes:
+def _identity(words: str) -> bytes:
     return hashlib.blake2b(words.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def _signed(weighted: bool, bands: int, rows: int, size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [normal(t) for t in batch.column(1).to_pylist()]
-            keys = [bands_of(w, weighted, bands, rows, size) for w in words]
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * bands, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([_node(w) for w in words], pa.binary()), lists],
-                names=["doc_id", "node", "keys"],
-            )
+def salt_of(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
 
-    return run
+
+def salts_seen() -> Column:
+    """Aggregate: the salts that occur in a group, as bits."""
+    return F.expr("bit_or(shiftleft(1, salt))")
+
+
+def each_salt(mask: str) -> Column:
+    """A row for each salt of such bits."""
+    return F.explode(F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.getbit(F.col(mask), i) == 1))
 
 
-def node_of(text: Column) -> Column:
-    """Identity of a text's words: equal for texts that differ in case or white space only."""
+def hot_join(rows: DataFrame, table: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """rows joined with table, which has one row per key. Rows of one key are dealt by the column `by` to several tasks,
+    with a copy of the key's row in each. rows should be a written table: it is read twice."""
+    salted = rows.withColumn("salt", salt_of(by))
+    copies = salted.select(key, "salt").distinct().join(table, key)
+    return salted.join(copies, [key, "salt"], how).drop("salt")
 
-    @F.pandas_udf("binary")
-    def node(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _node(normal(t)))
 
-    return node(text)
+def signature_of(text: Column, weighted: bool, bands: int, rows: int, size: int) -> Column:
+    """words, the identity of a text's words, and keys, its band keys."""
+
+    @F.arrow_udf("struct<words:binary,keys:array<bigint>>")
+    def signed(texts: pa.Array) -> pa.Array:
+        words = [normal(t) for t in texts.to_pylist()]
+        flat = np.concatenate([bands_of(w, weighted, bands, rows, size) for w in words]) if words else np.zeros(0, np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(words) + 1) * bands, pa.int32()), pa.array(flat))
+        return pa.StructArray.from_arrays([pa.array([_identity(w) for w in words], pa.binary()), lists], names=["words", "keys"])
+
+    return signed(text)
 
 
 def _verify(weighted: bool, size: int, least: float):
@@ -198,11 +216,13 @@ def _verify(weighted: bool, size: int, least: float):
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weighted: bool, size: int, least: float) -> DataFrame:
-    """pairs(node, centre) with their exact decision near."""
-    others = texts.select("node", F.col("text").alias("other"))
+    """pairs(node, centre), a written table, with their exact decision near."""
     centres = texts.select(F.col("node").alias("centre"), F.col("text").alias("centre_text"))
-    both = pairs.join(others, "node").join(centres, "centre").select("node", "centre", "centre_text", "other")
-    return both.mapInArrow(_verify(weighted, size, least), "node binary, centre binary, near boolean")
+    dealt = pairs.withColumn("salt", salt_of("node"))
+    copies = few(staged(dealt.select("centre", "salt").distinct(), "copies")).join(centres, "centre")
+    others = few(dealt).join(texts.select("node", F.col("text").alias("other")), "node")
+    both = others.join(copies, ["centre", "salt"]).select("node", "centre", "centre_text", "other")
+    return both.mapInArrow(_verify(weighted, size, least), "node long, centre long, near boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -211,55 +231,104 @@ def components(edges: DataFrame) -> DataFrame:
     both = staged(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("root")), "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        better = labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+        near = hot_join(both, labels.withColumnRenamed("node", "b"), "b", "a").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        better = staged(labels.join(near, "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root")), "better")
         jump = better.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        moved = staged(better.join(jump, "root").select("node", "old", F.least("root", "further").alias("root")), "labels")
+        moved = staged(hot_join(better, jump, "root", "node").select("node", "old", F.least("root", "further").alias("root")), "labels")
         labels = moved.select("node", "root")
         if is_empty(moved.where("root <> old")):
             return labels
 
 
-def _cross(least: float):
-    """Pairs of different classes within groups of rows (key, lo, hi, block, node, root, sketch), sorted by group, whose
-    sketches agree in at least that share. A group with lo = hi is one block, others are two blocks to compare."""
+def _margin(least: float, k: int) -> float:
+    """The share of k coordinates that a pair of the least similarity misses with probability below 1e-6."""
+    return least - 5 * (least * (1 - least) / k) ** 0.5
 
-    def pairs(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
-        _, lo, hi, block, node, root, sketch = zip(*rows, strict=True)
-        marks = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(rows), -1)
-        classes = np.unique(root, return_inverse=True)[1]
-        block = np.array(block)
-        for i in range(len(rows)):
-            with_whom = classes != classes[i]
-            with_whom[: i + 1] = False
-            if lo[0] != hi[0]:
-                with_whom &= block != block[i]
-            others = np.flatnonzero(with_whom)
-            for k in others[(marks[others] == marks[i]).mean(1) >= least]:
-                yield min(node[i], node[k]), max(node[i], node[k])
-
-    def out(found: set) -> pa.RecordBatch:
-        a, b = zip(*found, strict=True) if found else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["node", "centre"])
+
+class _Sets:
+    """Shingles of the texts of a group, computed when needed; the last few million stay."""
+
+    def __init__(self, texts: tuple[str, ...], size: int):
+        self.texts, self.size, self.known, self.held = texts, size, {}, 0
+
+    def of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        if i not in self.known:
+            if self.held > CACHED_SHINGLES:
+                self.known, self.held = {}, 0
+            self.known[i] = shingles(normal(self.texts[i]), self.size)
+            self.held += len(self.known[i][0])
+        return self.known[i]
+
+
+def _grouped(work):
+    """For mapInArrow: work(rows) of each run of rows that agree in their first three columns; work returns columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, found = [], set()
+        group: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if group and row[:3] != group[0][:3]:
-                    found.update(pairs(group))
+                    yield work(group)
                     group = []
-                    if len(found) > 50_000:
-                        yield out(found)
-                        found = set()
                 group.append(row)
         if group:
-            found.update(pairs(group))
-        yield out(found)
+            yield work(group)
 
     return run
 
 
+def _candidates(least: float):
+    """Rows of a group (key, lo, hi, block, node, root, sketch, keys) whose sketch may belong to a text of that similarity
+    to one of another class, unless the two meet under a lower key as well. A group with lo = hi is one block, others are
+    two to compare."""
+    first, whole = FIRST * _margin(least, FIRST), SKETCH * _margin(least, SKETCH)
+
+    def work(rows: list[tuple]) -> pa.RecordBatch:
+        key, lo, hi, block, node, root, sketch, keys = zip(*rows, strict=True)
+        marks = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(rows), -1)
+        head = np.ascontiguousarray(marks[:, :FIRST])
+        classes = np.unique(root, return_inverse=True)[1]
+        two, blocks, hit = lo[0] != hi[0], np.array(block), np.zeros(len(rows), bool)
+        lower = [{k for k in own if k < key[0]} for own in keys]
+        for i in range(len(rows) - 1):
+            alike = np.flatnonzero(np.count_nonzero(head[i + 1 :] == head[i], axis=1) >= first) + i + 1
+            alike = alike[classes[alike] != classes[i]]
+            if two:
+                alike = alike[blocks[alike] != blocks[i]]
+            alike = alike[np.count_nonzero(marks[alike] == marks[i], axis=1) >= whole]
+            for k in alike.tolist():
+                if not (hit[i] and hit[k]) and lower[i].isdisjoint(lower[k]):
+                    hit[i] = hit[k] = True
+        at = np.flatnonzero(hit).tolist()
+        names = ["key", "lo", "hi", "block", "node", "root"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array([c[i] for i in at], t) for c, t in zip((key, lo, hi, block, node, root), kinds, strict=True)], names=names)
+
+    return _grouped(work)
+
+
+def _cross(weighted: bool, size: int, least: float):
+    """Links between different classes in groups of rows (key, lo, hi, block, node, root, text): pairs are verified unless
+    links join their classes already, so a group gives fewer links than it has classes."""
+
+    def work(rows: list[tuple]) -> pa.RecordBatch:
+        _, lo, hi, block, node, root, texts = zip(*rows, strict=True)
+        classes = np.unique(root, return_inverse=True)[1]
+        two, block, sets, found = lo[0] != hi[0], np.array(block), _Sets(texts, size), []
+        for i in range(len(rows) - 1):
+            other = classes[i + 1 :] != classes[i]
+            if two:
+                other &= block[i + 1 :] != block[i]
+            for k in (np.flatnonzero(other) + i + 1).tolist():
+                if classes[k] != classes[i] and similarity(sets.of(i), sets.of(k), weighted) >= least:
+                    classes[classes == classes[k]] = classes[i]
+                    found.append((node[i], node[k], root[i], root[k]))
+        columns = zip(*found, strict=True) if found else [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "centre", "a", "b"])
+
+    return _grouped(work)
+
+
 def _sketched(weighted: bool, k: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,95 +339,97 @@ def _sketched(weighted: bool, k: int, size: int):
 
 
 def crossing(members: DataFrame, texts: DataFrame, weighted: bool, size: int, least: float) -> DataFrame:
-    """Pairs (node, centre) of different classes that meet in a bucket of members(key, node, root) and whose sketches, of
-    SKETCH coordinates, agree in all but 4 standard errors of what the least similarity promises. Buckets of one class
-    are left out; large ones are compared block by block, and only the pairs that pass become rows."""
-    mixed = members.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
-    rows = staged(members.join(mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "key"), "mixed")
-    met = texts.join(rows.select("node").distinct(), "node", "left_semi").select("node", "text")
-    sketches = staged(met.mapInArrow(_sketched(weighted, SKETCH, size), "node binary, sketch binary"), "sketches")
+    """Verified links (node, centre) with their classes' roots (a, b), between classes that meet in a bucket of
+    members(key, node, root, chars), a written table. Buckets of one class are left out, and of buckets with the same
+    members all but one. Sketches show which rows may have a link at all; only these meet again with their texts."""
+    sums = [F.bit_xor(F.xxhash64("node")).alias("x0"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x1")]
+    bucket = members.groupBy("key").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.min("root").alias("r0"), F.max("root").alias("r1"), *sums).where("r0 <> r1")
+    bucket = bucket.groupBy("n", "chars", "x0", "x1").agg(F.min("key").alias("key"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("chars") / BLOCK_CHARS)).cast("int").alias("blocks")
+    rows = staged(hot_join(members, bucket.select("key", blocks), "key", "node").select("key", "node", "root", "blocks"), "mixed")
+    met = staged(rows.groupBy("node").agg(F.collect_set("key").alias("keys")), "meetings")
+    some = texts.join(met.select("node"), "node", "left_semi").select("node", "text")
+    sketches = staged(some.mapInArrow(_sketched(weighted, SKETCH, size), "node long, sketch binary").join(met, "node"), "sketches")
     rows = rows.join(sketches, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root", "sketch")
+    rows = rows.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "root", "sketch", "keys")
     group = ["key", "lo", "hi"]
-    margin = least - 4 * (least * (1 - least) / SKETCH) ** 0.5
-    return rows.repartition(*group).sortWithinPartitions(*group, "node").mapInArrow(_cross(margin), "node binary, centre binary").distinct()
+    together = lambda df: df.repartition(*group).sortWithinPartitions(*group, "node")
+    hits = staged(together(rows).mapInArrow(_candidates(least), "key long, lo int, hi int, block int, node long, root long"), "candidates")
+    pairs = texts.join(few(hits), "node").select(*group, "block", "node", "root", "text")
+    return together(pairs).mapInArrow(_cross(weighted, size, least), "node long, centre long, a long, b long")
+
+
+def few(rows: DataFrame) -> DataFrame:
+    """rows without texts, a written table, for a join with texts: broadcast if they are few, else Spark shuffles."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
-def links(nodes: DataFrame, docs: DataFrame, weighted: bool, size: int, least: float) -> tuple[DataFrame, DataFrame] | None:
-    """Verified links (node, centre) between the distinct texts of nodes(node, keys), and their components (node, root);
-    None without any bucket of two texts."""
-    rows = nodes.select("node", F.explode("keys").alias("key"))
-    crowded = rows.groupBy("key").count().where("count > 1")
-    members = staged(rows.join(crowded, "key"), "members")
+def links(nodes: DataFrame, signed: DataFrame, weighted: bool, size: int, least: float) -> tuple[DataFrame, DataFrame] | None:
+    """Verified links (node, centre) between the distinct texts nodes(node, chars, keys) of signed(node, text), and their
+    components (node, root); None without any bucket of two texts."""
+    rows = nodes.select("node", salt_of("node").alias("salt"), F.explode("keys").alias("key"))
+    crowded = rows.groupBy("key").agg(F.count("*").alias("n"), salts_seen().alias("mask")).where("n > 1").select("key", each_salt("mask").alias("salt"))
+    # a shuffle at every size: the crowded keys grow with the documents
+    members = staged(rows.join(crowded.hint("merge"), ["key", "salt"]).select("key", "node"), "members")
     if is_empty(members):
         return None
     # texts that meet many others come first: an original before its edited copies
-    met = staged(members.groupBy("node").agg(F.sum("count").alias("met")), "met")
-    wanted = met.select("node")
-    if met.count() <= BROADCAST_NODES:  # else Spark shuffles the texts
-        wanted = F.broadcast(wanted)
-    texts = docs.select(text_or_empty().alias("text")).withColumn("node", node_of(F.col("text"))).join(wanted, "node", "left_semi")
-    texts = staged(texts.groupBy("node").agg(F.min("text").alias("text")), "texts")
-    ranked = members.join(met, "node").select("key", "node", "met")
+    met = staged(members.groupBy("node").agg(F.count("*").alias("met")).join(nodes.select("node", "chars"), "node"), "met")
+    texts = staged(signed.join(few(met.select("node")), "node"), "texts")
+    ranked = staged(members.join(met.select("node", "met", "chars"), "node"), "ranked")
     centres = ranked.groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("centre"))
-    pairs = members.select("key", "node").join(centres, "key").where("node <> centre").select(F.least("node", "centre").alias("node"), F.greatest("node", "centre").alias("centre"))
-    tried = staged(_verified(pairs.distinct(), texts, weighted, size, least), "tried")
-    near = tried.where("near").select("node", "centre")
+    pairs = hot_join(ranked.select("key", "node"), centres, "key", "node").where("node <> centre")
+    pairs = staged(pairs.select(F.least("node", "centre").alias("node"), F.greatest("node", "centre").alias("centre")).distinct(), "pairs")
+    near = staged(_verified(pairs, texts, weighted, size, least).where("near").select("node", "centre"), "near")
     roots = components(near.toDF("a", "b"))
-    classes = members.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    more = crossing(classes, texts, weighted, size, least).join(tried.select("node", "centre"), ["node", "centre"], "left_anti")
-    late = staged(_verified(staged(more, "crossing"), texts, weighted, size, least).where("near").select("node", "centre"), "late")
+    classes = ranked.join(roots, "node", "left").select("key", "node", "chars", F.coalesce("root", "node").alias("root"))
+    late = staged(crossing(staged(classes, "bucketed"), texts, weighted, size, least), "late")
     if is_empty(late):
         return near, roots
-    near = near.unionByName(late)
-    return near, components(near.toDF("a", "b"))
+    near = near.unionByName(late.select("node", "centre")).distinct()
+    merged = components(late.select("a", "b")).select(F.col("node").alias("root"), F.col("root").alias("last"))
+    alone = merged.join(roots.select("root"), "root", "left_anti").select(F.col("root").alias("node"), F.col("last").alias("root"))
+    roots = hot_join(roots, merged, "root", "node", "left").select("node", F.coalesce("last", "root").alias("root"))
+    return near, staged(roots.unionByName(alone), "roots")
 
 
 def _classes(docs: DataFrame, weighted: bool, bands: int, rows: int, size: int, least: float) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node) of every row, and of every distinct text: node, root, first_id, class_id, class_rows, links."""
+    """The rows as (row, doc, words), staged with a number each; and of every distinct text: words, winner (the class's
+    first row), class_rows, verified_links. A text is known by the number of its first row."""
     small_batches(docs.sparkSession)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    signed = staged(base.mapInArrow(_signed(weighted, bands, rows, size), "doc_id long, node binary, keys array<bigint>"), "signed")
-    nodes = signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
-    nodes = staged(nodes, "nodes")
-    linked = links(nodes, docs, weighted, size, least)
-    ids = nodes.select("node", "first_id", "copies")
-    none = F.lit(0).cast("long").alias("links")
-    alone = ids.select("node", F.col("node").alias("root"), "first_id", F.col("first_id").alias("class_id"), F.col("copies").alias("class_rows"), none)
+    base = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("s", signature_of(text_or_empty("doc.text"), weighted, bands, rows, size))
+    signed = staged(base.select(F.monotonically_increasing_id().alias("row"), "doc", "s.words", "s.keys"), "signed")
+    text = text_or_empty("doc.text")
+    place = F.struct(F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").cast("long").alias("id"), "row")
+    nodes = signed.groupBy("words").agg(F.min(place).alias("first"), F.count("*").alias("copies"), F.min(F.length(text)).alias("chars"), F.first("keys").alias("keys"))
+    nodes = staged(nodes.select("words", "first", F.col("first.row").alias("node"), "copies", "chars", "keys"), "nodes")
+    linked = links(nodes, signed.select(F.col("row").alias("node"), text.alias("text")), weighted, size, least)
+    signed, ids = signed.drop("keys"), nodes.select("words", "node", "first", "copies")
+    none = F.lit(0).cast("long").alias("verified_links")
+    alone = ids.select("node", "words", F.col("first").alias("winner"), F.col("copies").alias("class_rows"), none)
     if linked is None:
-        return signed.select("doc_id", "node"), alone
+        return signed, alone
     edges, roots = linked
-    degree = edges.select("node").unionByName(edges.select(F.col("centre").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
+    degree = edges.select("node").unionByName(edges.select(F.col("centre").alias("node"))).groupBy("node").agg(F.count("*").alias("verified_links"))
     rooted = staged(roots.join(degree, "node").join(ids, "node"), "rooted")
-    total = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_rows"))
-    classes = rooted.join(total, "root").select("node", "root", "first_id", "class_id", "class_rows", "links")
-    classes = classes.unionByName(alone.join(rooted.select("node"), "node", "left_anti"))
-    return signed.select("doc_id", "node"), staged(classes, "classes")
+    total = rooted.groupBy("root").agg(F.min("first").alias("winner"), F.sum("copies").alias("class_rows"))
+    classes = hot_join(rooted, total, "root", "node").select("node", "words", "winner", "class_rows", "verified_links")
+    return signed, staged(classes.unionByName(alone.join(rooted.select("node"), "node", "left_anti")), "classes")
 
 
-def find(docs: DataFrame, weighted: bool = False, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
+def find(docs: DataFrame, weighted: bool = True, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
     """One row per row of docs(doc_id, text): doc_id, class_id (the class's least doc_id), class_rows (rows in the
-    class), links (verified links of its text to other texts), node (identity of its words, hexadecimal)."""
+    class), verified_links (links of its text to other texts that were verified; others may exist inside the class), words
+    (identity of its words, hexadecimal)."""
     signed, classes = _classes(docs, weighted, bands, rows, size, least)
-    return signed.join(classes, "node").select("doc_id", "class_id", "class_rows", "links", F.lower(F.hex("node")).alias("node"))
+    named = hot_join(signed.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), "words"), classes, "words", "row")
+    return named.select("doc_id", F.col("winner.id").alias("class_id"), "class_rows", "verified_links", F.lower(F.hex("words")).alias("words"))
 
 
-def keep_first(docs: DataFrame, weighted: bool = False, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
+def keep_first(docs: DataFrame, weighted: bool = True, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
     """One row of each class of docs, all columns: the one with the least doc_id."""
     signed, classes = _classes(docs, weighted, bands, rows, size, least)
-    several = classes.where("class_rows > 1").select("node", "root", "first_id")
-    winner = several.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "node"))["node"].alias("winner"))
-    verdict = several.join(winner, "root").select(F.col("node").alias("__node"), (F.col("node") == F.col("winner")).alias("__wins"), F.col("first_id").alias("__first"))
-    verdict = staged(verdict, "verdict")
-    first = F.col("__wins") & F.col("doc_id").eqNullSafe(F.col("__first"))
-    names = docs.columns
-    kept = docs.withColumn("__key", node_of(text_or_empty())).join(verdict, F.col("__key") == F.col("__node"), "left").where(F.col("__node").isNull() | first)
-    again = signed.join(verdict.where("__wins"), F.col("node") == F.col("__node")).where(F.col("doc_id").eqNullSafe(F.col("__first")))
-    if is_empty(again.groupBy("node").count().where("count > 1")):
-        return kept.select(names)
-    # rows that share their doc_id and their words: one of each stays
-    kept = staged(kept.select(*names, "__node"), "kept")
-    place = F.row_number().over(Window.partitionBy("__node").orderBy(F.lit(0)))
-    one = kept.where("__node is not null").withColumn("__place", place).where("__place = 1")
-    return kept.where("__node is null").select(names).unionByName(one.select(names))
+    several = classes.where("class_rows > 1").select("words", F.col("winner.row").alias("winner"))
+    losers = staged(hot_join(signed.select("row", "words"), several, "words", "row").where("row <> winner").select("row"), "losers")
+    return signed.join(few(losers), "row", "left_anti").select("doc.*")

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -11,11 +12,11 @@ from tests.conftest import SF
 
 def sets(text):
     w = neardup.normal(text or "").split()
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
 
 
 def brute(rows):
-    """Classes by exact similarity of all pairs."""
+    """Classes by exact weighted similarity of all pairs."""
     own = [sets(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -26,8 +27,8 @@ def brute(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            n = len(own[i] & own[j])
-            if n / (len(own[i]) + len(own[j]) - n) >= 0.8:
+            n = (own[i] & own[j]).total()
+            if n / (own[i].total() + own[j].total() - n) >= 0.8:
                 root[find(i)] = find(j)
     groups = {}
     for i in range(len(rows)):
@@ -38,7 +39,7 @@ def brute(rows):
 def classes(got):
     groups = {}
     for r in got:
-        groups.setdefault((r.class_id, r.class_rows) if r.class_id is not None else r.node, []).append(r.doc_id)
+        groups.setdefault((r.class_id, r.class_rows) if r.class_id is not None else r.words, []).append(r.doc_id)
     return sorted(sorted(g, key=str) for g in groups.values())
 
 
@@ -52,7 +53,7 @@ def test_whole_table(spark):
     assert kept == sorted(min(g) for g in want)
 
 
-def test_chains_and_hot_buckets(spark):
+def test_chains_and_hot_buckets(spark, monkeypatch):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(5000)]
     base = [rng.choice(words) for _ in range(200)]
@@ -74,16 +75,23 @@ def test_chains_and_hot_buckets(spark):
         rows.append((i, " ".join(own)))
     passage = " ".join(rng.choice(words) for _ in range(80))
     rows += [(i, passage + " " + " ".join(rng.choice(words) for _ in range(60))) for i in range(90, 150)]
+    frame = [rng.choice(words) for _ in range(200)]
+    for i in range(200, 240):  # pairs of near copies among texts that nearly are; their centre is near few of them
+        own = frame + [rng.choice(words) for _ in range(45)]
+        rows += [(2 * i, " ".join(own)), (2 * i + 1, " ".join(own[:-9] + ["y"] * 9))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert classes(neardup.find(docs).collect()) == brute(rows)
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "BROADCAST_ROWS", 0)
+    assert classes(neardup.find(docs).collect()) == brute(rows)
 
 
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " a  B\n"), (4, "a b"), (5, "a b c"), (5, "a b c"), (None, "x y z"), (None, "other"), (6, "ü" * 70_000), (7, "\U0001f600 é")]
-    docs = spark.createDataFrame([(i, t, "n", 3) for i, t in rows], "doc_id long, text string, node string, class_id int")
+    docs = spark.createDataFrame([(i, t, "n", 3, "r", "d", "w") for i, t in rows], "doc_id long, text string, node string, class_id int, row string, doc string, words string")
     got = {}
     for r in neardup.find(docs).collect():
-        got.setdefault(r.node, []).append(r)
+        got.setdefault(r.words, []).append(r)
     assert sorted(len(g) for g in got.values()) == [1, 1, 1, 1, 2, 2, 2]
     kept = neardup.keep_first(docs)
     assert kept.columns == docs.columns
