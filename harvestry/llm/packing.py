@@ -31,10 +31,11 @@ FAN_IN, GROUP_ROWS = 16, 200_000
 #: Items that a task packs at once; a bound on its memory.
 PACK_ITEMS = 400_000
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 900_000
 #: Runs without the tokenizer's white space. str.split() also splits at U+001C to U+001F, which have tokens of their own.
 WORDS = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 SEPARATORS = "\x1c\x1d\x1e\x1f"
+MARK = "\x1e"
 
 MEMBER = np.dtype([("doc_id", "<i8"), ("null", "<i1"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("crc", "<u4")])
 BINS = "fill int, round int, task int, bin int, members binary"
@@ -55,12 +56,28 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end = Tokenizer.from_file(path), np.uint32(end_id).tobytes()
+        # a word of its own whose one id ends another word's ids, if the vocabulary has such a word
+        marks = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = marks[0] if len(marks) == 1 else None
         self.memo = WordMemo(self._words, CACHE_WORDS)
 
+    def _each(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
     def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word: many words are one text, with a mark after each, whose ids are cut at the marks."""
         out = []
-        for i in range(0, len(words), 4096):
-            out += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words[i : i + 4096], add_special_tokens=False)]
+        for i in range(0, len(words), 2048):
+            own = words[i : i + 2048]
+            if self.mark is not None and not any(MARK in w for w in own):
+                text = f" {MARK} ".join(own) + f" {MARK}"
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                ends = np.flatnonzero(ids == self.mark)
+                if len(ends) == len(own):
+                    data, cuts = ids.tobytes(), (4 * ends).tolist()
+                    out += [data[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], cuts, strict=False)]
+                    continue
+            out += self._each(own)
         return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
