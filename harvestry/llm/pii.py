@@ -33,6 +33,8 @@ _TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 _MENTION = "|".join([*(rule for rule, _ in RULES.values()), _TOKEN])
 SPAN = "struct<start:int,kind:int,end:int>"
 MIN_INSTANCES, ACCEPT, ROUNDS = 3, 0.5, 3
+#: Elements of an array that one fold goes over.
+BLOCK = 128
 #: Patterns up to this number are broadcast for counting, about 20 MB; beyond it their counts are shuffled.
 BROADCAST_PATTERNS = 200_000
 
@@ -51,24 +53,35 @@ def _valid(kind: str, hit: str) -> str:
     return "true"
 
 
-def _positions(text: str, expression: str, out: str) -> str:
-    """SQL: array of `out` (of at, the match's start, and x.hit) for all matches of an expression, by splitting there."""
-    hits = f"regexp_extract_all({text}, r'{expression}', 0)"
-    gaps = f"split({text}, r'{expression}', -1)"
-    pairs = f"zip_with(slice({gaps}, 1, size({hits})), {hits}, (gap, hit) -> named_struct('gap', gap, 'hit', hit))"
-    start = f"cast(array() as array<{out}>)"
-    step = "named_struct('start', acc.at + length(x.gap), 'end', acc.at + length(x.gap) + length(x.hit), 'hit', x.hit, 'before', right(x.gap, 80))"
-    return f"aggregate({pairs}, named_struct('at', 0, 'out', {start}), (acc, x) -> named_struct('at', acc.at + length(x.gap) + length(x.hit), 'out', concat(acc.out, array({step}))), acc -> acc.out)"
+def _before(items: str, kind: str, value: str, op: str) -> str:
+    """SQL: array of (before, x) for the elements x of an array of a type: what op makes of the values of all elements
+    before x, from 0 on. A fold that appends copies its array at every step, so it runs over blocks of BLOCK elements,
+    and over the blocks. value is an expression of x, op a format of two values."""
+    pair, block = f"struct<before:int,x:{kind}>", f"struct<base:int,items:array<struct<before:int,x:{kind}>>>"
+    blocks = f"transform(sequence(0, (size(p) - 1) div {BLOCK}), b -> slice(p, b * {BLOCK} + 1, {BLOCK}))"
+    step = f"named_struct('at', {op.format('acc.at', value)}, 'out', concat(acc.out, array(named_struct('before', acc.at, 'x', x))))"
+    inner = f"transform({blocks}, own -> aggregate(own, named_struct('at', 0, 'out', cast(array() as array<{pair}>)), (acc, x) -> {step}))"
+    jump = f"named_struct('at', {op.format('done.at', 'next.at')}, 'out', concat(done.out, array(named_struct('base', done.at, 'items', next.out))))"
+    shifted = f"transform(o.items, i -> named_struct('before', {op.format('o.base', 'i.before')}, 'x', i.x))"
+    outer = f"aggregate({inner}, named_struct('at', 0, 'out', cast(array() as array<{block}>)), (done, next) -> {jump}, done -> flatten(transform(done.out, o -> {shifted})))"
+    return f"element_at(transform(array({items}), p -> {outer}), 1)"
 
 
-_FOUND = "struct<start:int,end:int,hit:string,before:string>"
+def _positions(text: str, expression: str) -> str:
+    """SQL: array of (start, end, hit, before) for all matches of an expression, by splitting there."""
+    hits = f"regexp_extract_all({text}, r'{expression}', 0)"
+    gaps = f"split({text}, r'{expression}', -1)"
+    pairs = f"element_at(transform(array(named_struct('h', {hits}, 'g', {gaps})), q -> zip_with(slice(q.g, 1, size(q.h)), q.h, (gap, hit) -> named_struct('gap', gap, 'hit', hit))), 1)"
+    placed = _before(pairs, "struct<gap:string,hit:string>", "length(x.gap) + length(x.hit)", "{} + {}")
+    start = "y.before + length(y.x.gap)"
+    return f"transform({placed}, y -> named_struct('start', {start}, 'end', {start} + length(y.x.hit), 'hit', y.x.hit, 'before', right(y.x.gap, 80)))"
 
 
 def base_spans(text: str) -> Column:
     """The seeds of a text column: array of (start, kind, end), sorted."""
     parts = []
     for no, (kind, (rule, needs)) in enumerate(RULES.items()):
-        found = f"filter({_positions(text, rule, _FOUND)}, f -> {_valid(kind, 'f.hit')})"
+        found = f"filter({_positions(text, rule)}, f -> {_valid(kind, 'f.hit')})"
         spans = f"transform({found}, f -> named_struct('start', f.start, 'kind', {no}, 'end', f.end))"
         test = f"contains({text}, '@')" if kind == "email" else f"{text} rlike r'{needs}'"
         parts.append(f"if({test}, {spans}, cast(array() as array<{SPAN}>))")
@@ -80,16 +93,16 @@ def mentions(text: str) -> Column:
     kind = "case " + " ".join(f"when m.hit rlike r'^(?:{rule})$' and {_valid(k, 'm.hit')} then {no}" for no, (k, (rule, _)) in enumerate(RULES.items())) + " end"
     words = r"regexp_extract(lower(m.before), r'(?:^|\s)(\S++\s++\S++)\s++$', 1)"
     pattern = rf"nullif(regexp_replace({words}, r'\s+', ' '), '')"
-    each = f"transform({_positions(text, _MENTION, _FOUND)}, m -> named_struct('start', m.start, 'end', m.end, 'kind', {kind}, 'hit', lower(m.hit), 'pattern', {pattern}))"
+    each = f"transform({_positions(text, _MENTION)}, m -> named_struct('start', m.start, 'end', m.end, 'kind', {kind}, 'hit', lower(m.hit), 'pattern', {pattern}))"
     empty = "cast(array() as array<struct<start:int,end:int,kind:int,hit:string,pattern:string>>)"
     return F.expr(f"if({text} rlike '[0-9@]', {each}, {empty})")
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    """docs with their text's key (none without mentions), seeds and mentions."""
-    rows = docs.withColumn("__text", text_or_empty())
-    rows = rows.withColumns({"__base": base_spans("__text"), "__mentions": mentions("__text")})
-    return rows.withColumn("__key", F.when(F.size("__mentions") > 0, F.unhex(F.md5("__text"))))
+    """doc (all columns), text, its key (none without mentions), base (its seeds) and mentions."""
+    rows = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("text", text_or_empty("doc.text"))
+    rows = rows.withColumns({"base": base_spans("text"), "mentions": mentions("text")})
+    return rows.withColumn("key", F.when(F.size("mentions") > 0, F.unhex(F.md5("text"))))
 
 
 def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -123,10 +136,10 @@ def score_graph(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS, min_i
 
 
 def discovered(docs: DataFrame, min_instances: int = MIN_INSTANCES, accept: float = ACCEPT, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame | None]:
-    """The staged seeds and mentions of docs, (doc_id, key, base), and the spans that accepted patterns add to texts,
-    (key, added array of spans); None instead of the latter if there are none."""
-    marked = _marked(docs).select("doc_id", F.col("__key").alias("key"), F.col("__base").alias("base"), F.col("__mentions").alias("mentions"))
-    marked = staged(marked, "mentions")
+    """The staged seeds of docs, (doc, key, base), where doc has all columns, and the spans that accepted patterns add to
+    texts, (key, added array of spans); None instead of the latter if there are none."""
+    marked = staged(_marked(docs).drop("text"), "mentions")
+    docs = marked.select("doc.text")
     texts = marked.where("key is not null").groupBy("key").agg(F.count("*").alias("copies"), F.first("base").alias("base"), F.first("mentions").alias("mentions"))
     texts = staged(texts, "texts")
     edges = texts.select("copies", F.explode("mentions").alias("m")).where("m.pattern is not null").select("copies", "m.*")
@@ -159,8 +172,8 @@ def _joined(spans: str) -> Column:
 
 def find(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of the seeds), spans (seeds and added ones), n_added."""
-    marked, added = discovered(docs, **options)
-    rows = marked.select("doc_id", "key", "base")
+    marked, added = discovered(docs.select("doc_id", "text"), **options)
+    rows = marked.select("doc.doc_id", "key", "base")
     if added is None:
         rows = rows.withColumn("added", F.expr(f"cast(array() as array<{SPAN}>)"))
     else:
@@ -176,16 +189,16 @@ def find(docs: DataFrame, **options) -> DataFrame:
 
 
 def redact(docs: DataFrame, **options) -> DataFrame:
-    """docs with every span of its text replaced by its kind in brackets; all columns stay."""
-    _, added = discovered(docs, **options)
-    rows = _marked(docs).drop("__mentions")
+    """docs with every span of its text replaced by its kind in brackets, overlapping spans by the first one's; all
+    columns stay."""
+    marked, added = discovered(docs, **options)
+    rows = marked.select("doc", "key", "base")
     none = F.expr(f"cast(array() as array<{SPAN}>)")
-    if added is None:
-        rows = rows.withColumn("__added", none)
-    else:
-        rows = rows.join(added.toDF("__k", "__added"), F.col("__key") == F.col("__k"), "left").drop("__k").withColumn("__added", F.coalesce("__added", none))
+    rows = rows.withColumn("added", none) if added is None else rows.join(added, "key", "left").withColumn("added", F.coalesce("added", none))
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
-    step = f"if(s.start < a.at, a, named_struct('at', s.end, 'out', concat(a.out, substring(__text, a.at + 1, s.start - a.at), element_at(array({names}), s.kind + 1))))"
-    text = F.expr(f"aggregate(array_sort(concat(__base, __added)), named_struct('at', 0, 'out', ''), (a, s) -> {step}, a -> concat(a.out, substring(__text, a.at + 1)))")
-    clean = F.when(F.size("__base") + F.size("__added") > 0, text).otherwise(F.col("text"))
-    return rows.withColumn("text", clean).select(docs.columns)
+    cuts = _before("array_sort(concat(base, added))", SPAN, "x.end", "greatest({}, {})")  # before: where the last cut ends
+    pieces = f"transform(filter({cuts}, c -> c.x.start >= c.before), c -> concat(substring(doc.text, c.before + 1, c.x.start - c.before), element_at(array({names}), c.x.kind + 1)))"
+    last = "array_max(transform(concat(base, added), s -> s.end))"
+    text = F.expr(f"concat(array_join({pieces}, ''), substring(doc.text, {last} + 1))")
+    clean = F.when(F.size("base") + F.size("added") > 0, text).otherwise(F.col("doc.text"))
+    return rows.select(*(clean.alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns))

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -68,7 +69,7 @@ HARD = [
 
 def test_edges(spark):
     rows = [(i, t) for i, t in enumerate(HARD)] + [(None, HARD[0]), (0, HARD[0])]
-    docs = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], "doc_id long, text string, key string, base int")
+    docs = spark.createDataFrame([(i, t, "k", 1, "d", "m") for i, t in rows], "doc_id long, text string, key string, base int, doc string, mentions string")
     check(rows, pii.find(docs).collect())
     assert pii.find(docs.limit(0)).collect() == []
     clean = pii.redact(docs)
@@ -85,6 +86,27 @@ def test_random_texts(spark, texts):
     assert {r.doc_id: [(x.start, x.kind, x.end) for x in r.s] for r in got} == dict(enumerate(map(brute, texts)))
 
 
+OVERLAPS = ["4111 1111 1111 1111abc@x.org, then", "+1 (743) 555-3824.joe@mail.org", "1.2.3.4@a.b +1.2.3.4567890@c.d", "é 4111111111111111@q.r é"]
+
+
+@given(st.lists(st.text(alphabet="a1.@+- é", max_size=80), min_size=1, max_size=30))
+@settings(max_examples=10, deadline=None)
+def test_redaction_leaves_no_span(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts + OVERLAPS)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert not any(brute(t) for t in got.values())
+    assert [got[len(texts) + i] for i in range(2)] == ["[CARD], then", "[PHONE]"]
+
+
+def test_many_matches_take_linear_time(spark):
+    docs = spark.createDataFrame([(1, "é a@b.c " * 20_000)], "doc_id long, text string")
+    began = time.perf_counter()
+    spans = docs.select(pii.base_spans("text").alias("s")).head()[0]
+    assert [(x.start, x.end) for x in spans] == [(8 * i + 2, 8 * i + 7) for i in range(20_000)]
+    assert pii.redact(docs).head().text == "é [EMAIL] " * 20_000
+    assert time.perf_counter() - began < 60
+
+
 def test_patterns_find_unseen_identifiers(spark):
     rows = [(i, f"filler words here number {i} reach me at user{i}@mail.example.com today") for i in range(10)]
     rows += [(100, "reach me at user77(at)mail today"), (101, "say it at 12 today"), (102, "reach me at noon")]
