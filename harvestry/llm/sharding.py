@@ -8,7 +8,9 @@ and may merge again; a row is thus rewritten once per tier at most.
 
 A version becomes visible by one rename that fails if its name is taken, so of two writers one wins and the other must
 start again from the new version; readers see whole versions only. Files of a job that failed belong to no version.
-vacuum() deletes what no kept version names.
+An append that loses commits the files it has written on top of the new version; a compaction that loses does so if the
+files it merged are all there still, and starts again otherwise. vacuum() deletes what no kept version names, unless it is
+so young that a writer may be about to commit it.
 
 Defined results: rows are kept exactly as they are, with nulls, repeated rows and all columns; an append without rows
 makes a version without new shards; a store without versions reads as None.
@@ -17,6 +19,7 @@ makes a version without new shards; a store without versions reads as None.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -28,6 +31,8 @@ from pyspark.sql.types import StructType
 from harvestry.llm.common import scratch_path
 
 TARGET_BYTES, SMALL_BYTES, RATIO, MIN_RUN = 64 << 20, 1 << 20, 4, 4
+#: Age in seconds below which files without a version stay; times that a writer commits anew.
+GRACE, COMMITS = 86_400, 20
 
 
 class CommitConflict(RuntimeError):
@@ -125,7 +130,15 @@ class ShardStore:
         schema = parent["schema"] if parent else rows.schema.json()
         if [(f.name, f.dataType) for f in rows.schema] != [(f.name, f.dataType) for f in StructType.fromJson(json.loads(schema))]:
             raise ValueError("the rows' columns differ from the store's")
-        return self._commit(parent, schema, (parent["shards"] if parent else []) + self._write(rows, max_rows), "append")
+        made = self._write(rows, max_rows)
+        for _ in range(COMMITS):
+            try:
+                return self._commit(parent, schema, (parent["shards"] if parent else []) + made, "append")
+            except CommitConflict:
+                parent = self.manifest()
+                if parent["schema"] != schema:
+                    raise
+        raise CommitConflict(f"{COMMITS} commits lost")
 
     def _frame(self, manifest: dict, shards: list[dict]) -> DataFrame:
         schema = StructType.fromJson(json.loads(manifest["schema"]))
@@ -154,16 +167,27 @@ class ShardStore:
                 made = [s for run in due for s in self._write(self._frame(manifest, run))]
             if len(made) >= len(old):  # the session doesn't allow larger splits: nothing would be won
                 break
-            manifest = self._commit(manifest, manifest["schema"], [s for s in manifest["shards"] if s["file"] not in old] + made, "compact")
+            for _ in range(COMMITS):
+                if not old <= {s["file"] for s in manifest["shards"]}:
+                    break  # another compaction took some of them
+                try:
+                    manifest = self._commit(manifest, manifest["schema"], [s for s in manifest["shards"] if s["file"] not in old] + made, "compact")
+                    break
+                except CommitConflict:
+                    manifest = self.manifest()
         return manifest
 
-    def vacuum(self, keep: int = 1) -> int:
-        """Delete shards that none of the last `keep` versions names; the number of deleted files."""
+    def _age(self, file: str) -> float:
+        return time.time() - self._files.getFileStatus(self._hadoop.Path(f"{self.path}/{file}")).getModificationTime() / 1000
+
+    def vacuum(self, keep: int = 1, grace: float = GRACE) -> int:
+        """Delete shards that none of the last `keep` versions names and that are at least `grace` seconds old; the number
+        of deleted files."""
         named = {s["file"] for v in self.versions()[-keep:] for s in self.manifest(v)["shards"]}
         gone = 0
         for folder, _ in self._list("data"):
             for name, _ in self._list(f"data/{folder}"):
-                if name.endswith(".parquet") and f"data/{folder}/{name}" not in named:
+                if name.endswith(".parquet") and f"data/{folder}/{name}" not in named and self._age(f"data/{folder}/{name}") >= grace:
                     gone += self._files.delete(self._hadoop.Path(f"{self.path}/data/{folder}/{name}"), False)
         return gone
 
@@ -177,7 +201,7 @@ def appended_and_compacted(docs: DataFrame, arrivals: int = 3) -> DataFrame:
     for k in range(arrivals):
         store.append(docs.where(arrival == k))
     manifest = store.compact()
-    store.vacuum()
+    store.vacuum(grace=0)  # nobody else writes here
     rows = store.read(manifest["version"])
     shards = spark.createDataFrame([(s["file"], s["tier"], s["rows"]) for s in manifest["shards"]], "file string, shard_tier int, shard_rows long")
     rows = rows.select("doc_id", arrival.alias("arrival"), F.sha2("text", 256).alias("text_sha256"), F.regexp_extract(F.input_file_name(), "data/[^/]+/[^/]+$", 0).alias("shard"))

@@ -116,7 +116,7 @@ class _Range:
     """Bytes of a file from an offset on, read as far as they are asked for and dropped once passed."""
 
     def __init__(self, file, start: int):
-        self.file, self.base, self.data = file, start, b""
+        self.file, self.base, self.data = file, start, bytearray()
 
     def upto(self, end: int) -> bool:
         """Whether the bytes before `end` are there."""
@@ -129,7 +129,8 @@ class _Range:
 
     def drop(self, before: int) -> None:
         if before - self.base >= READ_BYTES:
-            self.data, self.base = self.data[before - self.base :], before
+            del self.data[: before - self.base]
+            self.base = before
 
 
 def _unpacked(source: _Range, at: int, limit: int | None = None) -> tuple[bytes, int] | None:
