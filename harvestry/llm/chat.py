@@ -9,12 +9,14 @@ may be very long, so offsets come from prefix sums over blocks of turns, not fro
 
 Defined results: a null role reads as "unknown", a null text as empty, a null conv_id is a conversation of its own;
 turns with equal numbers are ordered by role and text, null turns come first; repeated rows are turns like others; a
-conversation without participants (system turns only) and an empty table give no rows; other columns are ignored.
+conversation without participants (system turns only) and an empty table give no rows; other columns are ignored. Names
+and texts are rendered as they are: one that holds the format's marks or a line break in a name stays as it is, and only
+the offsets tell where its turn ends.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,44 +34,50 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     )
 
 
+def _header(role: str, name: Column | None = None) -> Column:
+    return F.concat(F.lit(f"{START}{role}"), *([] if name is None else [F.lit(" name="), name]), F.lit("\n"))
+
+
 def rotate(conversations: DataFrame, system_role: str = "system", block_turns: int = BLOCK_TURNS) -> DataFrame:
     """conv_id, perspective, seq, turn, speaker, role, segment, seg_start, seg_end, mask_start, mask_end (ends exclusive;
     an empty mask has mask_start = mask_end = seg_end)."""
-    turns = turns_of(conversations).withColumn("block", F.floor(F.col("turn") / block_turns))
-    parties = turns.where(F.col("speaker") != system_role).select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective")).distinct()
-    rows = turns.join(parties, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
-    own, system = F.col("speaker") == F.col("perspective"), F.col("speaker") == system_role
-    role = F.when(system, "system").when(own, "assistant").otherwise("user")
-    head = F.concat(F.lit(START), role, F.when(system | own, "").otherwise(F.concat(F.lit(" name="), "speaker")), F.lit("\n"))
-    rows = rows.withColumns({"role": role, "segment": F.concat(head, "text", F.lit(END + "\n")), "head_chars": F.length(head).cast("long")})
-    rows = rows.withColumn("chars", F.length("segment").cast("long"))
-    key = ["conv_id", "perspective"]
-    # where each block of turns starts: sums per block first, then a running sum over the few blocks
-    blocks = rows.groupBy(*key, "block").agg(F.sum("chars").alias("b_chars"), F.count("*").alias("b_turns"))
-    before = Window.partitionBy(*key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        *(F.col(k).alias(f"b_{k}") for k in [*key, "block"]),
-        F.coalesce(F.sum("b_chars").over(before), F.lit(0)).alias("chars_before"),
-        F.coalesce(F.sum("b_turns").over(before), F.lit(0)).alias("turns_before"),
-    )
-    within = Window.partitionBy(*key, "block").orderBy("turn", "speaker", "text")
-    rows = rows.withColumns({"place": F.row_number().over(within), "to": F.sum("chars").over(within.rowsBetween(Window.unboundedPreceding, 0))})
-    same = F.col("conv_id").eqNullSafe(F.col("b_conv_id")) & (F.col("perspective") == F.col("b_perspective")) & (F.col("block") == F.col("b_block"))
-    rows = rows.join(blocks, same)
-    end = F.col("chars_before") + F.col("to")
-    start = end - F.col("chars")
-    masked = F.col("role") == "assistant"
+    conv = ["conv", "none"]  # keys without nulls
+    turns = turns_of(conversations).withColumns({"conv": F.coalesce("conv_id", F.lit(0)), "none": F.col("conv_id").isNull(), "block": F.floor(F.col("turn") / block_turns)})
+    system = F.col("speaker") == system_role
+    header = F.when(system, _header("system")).otherwise(_header("user", F.col("speaker")))
+    turns = turns.withColumn("chars", (F.length(header) + F.length("text") + len(END) + 1).cast("long"))
+    # For someone who says nothing a rendering is the sum of these lengths; a participant's own turns have a shorter
+    # header each. So offsets need lengths per block, and each participant's number of turns before it.
+    parts = turns.select(*conv, "block", "speaker", "chars")
+    sums = parts.groupBy(*conv, "block").agg(F.sum("chars").alias("b_chars"), F.count("*").alias("b_turns"))
+    own = parts.where(~system).groupBy(*conv, "block", F.col("speaker").alias("perspective")).agg(F.count("*").alias("b_own"))
+    frame = sums.join(own.select(*conv, "perspective").distinct(), conv).join(own, [*conv, "block", "perspective"], "left")
+    before = Window.partitionBy(*conv, "perspective").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    frame = frame.select(*conv, "block", "perspective", earlier("b_chars").alias("chars_before"), earlier("b_turns").alias("turns_before"), earlier("b_own").alias("own_before"))
+    # texts are shuffled once, to their blocks; perspectives meet them there
+    within = Window.partitionBy(*conv, "block").orderBy("turn", "speaker", "text")
+    rows = turns.withColumns({"place": F.row_number().over(within), "to": F.sum("chars").over(within.rowsBetween(Window.unboundedPreceding, 0))})
+    rows = rows.join(frame, [*conv, "block"])
+    mine = F.col("speaker") == F.col("perspective")
+    up_to = Window.partitionBy(*conv, "block", "perspective").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    shorter = F.length(_header("assistant")) - F.length(_header("user", F.col("perspective")))
+    head = F.when(mine, _header("assistant")).otherwise(header)
+    rows = rows.withColumns({"end": F.col("chars_before") + F.col("to") + (F.col("own_before") + F.count_if(mine).over(up_to)) * shorter, "head": head})
+    segment = F.concat("head", "text", F.lit(END + "\n"))
+    start = F.col("end") - F.length("head") - F.length("text") - len(END) - 1
     return rows.select(
-        *key,
+        "conv_id",
+        "perspective",
         (F.col("turns_before") + F.col("place") - 1).cast("long").alias("seq"),
         "turn",
         "speaker",
-        "role",
-        "segment",
+        F.when(system, "system").when(mine, "assistant").otherwise("user").alias("role"),
+        segment.alias("segment"),
         start.alias("seg_start"),
-        end.alias("seg_end"),
-        F.when(masked, start + F.col("head_chars")).otherwise(end).alias("mask_start"),
-        F.when(masked, end - 1).otherwise(end).alias("mask_end"),
+        F.col("end").alias("seg_end"),
+        F.when(mine, start + F.length("head")).otherwise(F.col("end")).alias("mask_start"),
+        F.when(mine, F.col("end") - 1).otherwise(F.col("end")).alias("mask_end"),
     )
 
 
