@@ -38,7 +38,7 @@ def op7_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
+    return sentencepieces.encode(table(spark, sf_dir, "documents"))
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

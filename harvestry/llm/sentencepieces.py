@@ -23,8 +23,10 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +40,8 @@ from harvestry.llm.common import WordMemo, is_empty, small_batches, staged, text
 SPACE = "▁"
 #: Characters of a chunk, and matrices that multiply at once.
 CHUNK_CHARS, FAN_IN = 16_384, 64
-_BASE = np.uint64(0xD1342543DE82EF95)
+#: Words whose ids a worker remembers.
+CACHE_WORDS = 800_000
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -59,25 +62,25 @@ class Vocabulary:
         self.single = {p for p in self.pieces if len(p) == 1}
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece goes on past the start of a word")
-        self.hashed = {n: self._hashes([p for p in self.pieces if len(p) == n]) for n in range(1, self.longest + 1)}
+        # letters to what goes on with them, and the score and id of the piece that ends there
+        self.tree: dict = {}
+        for p in sorted(self.pieces):
+            below = self.tree
+            for letter in p[:-1]:
+                below = below.setdefault(letter, ({}, None, None))[0]
+            below[p[-1]] = ({}, *self.pieces[p])
         self.output = [b""] * len(model.pieces)
         for p, (_, i) in self.pieces.items():
             self.output[i] = p.replace(SPACE, " ").encode()
         for b, i in self.bytes_at.items():
             self.output[i] = bytes([b])
-        self.memo = WordMemo(self._words)
-
-    def _hashes(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted polynomial hashes and scores of pieces of one length."""
-        if not pieces:
-            return np.zeros(1, np.uint64), np.full(1, -np.inf)
-        codes = np.array([list(map(ord, p)) for p in pieces], np.uint64)
-        hashes = np.zeros(len(pieces), np.uint64)
-        for column in codes.T:
-            hashes = hashes * _BASE + column
-        scores = np.array([self.pieces[p][0] for p in pieces])
-        order = np.argsort(hashes)
-        return hashes[order], scores[order]
+        # scores by id: of the bytes of a character without a piece, the first one bears its cost
+        self.scores = np.zeros(len(model.pieces))
+        for score, i in self.pieces.values():
+            self.scores[i] = score
+        for b, i in self.bytes_at.items():
+            self.scores[i] = 0.0 if 0x80 <= b < 0xC0 else self.unknown
+        self.memo = WordMemo(self._words, CACHE_WORDS)
 
     def arcs(self, text: str, at: int) -> Iterator[tuple[int, float]]:
         """Ends and scores of the pieces that start at a place."""
@@ -89,83 +92,59 @@ class Vocabulary:
 
     def segment(self, text: str) -> tuple[bytes, float]:
         """Ids (little-endian) and score of the best segmentation of a short text, by the plain recurrence."""
-        best, back = [0.0] + [-np.inf] * len(text), [0] * (len(text) + 1)
-        for at in range(len(text)):
-            for end, score in self.arcs(text, at):
-                if best[at] + score > best[end]:
-                    best[end], back[end] = best[at] + score, at
-        return self._ids(text, back), best[-1]
-
-    def _words(self, units: list[str]) -> list[tuple[bytes, float]]:
-        """The recurrence for many words at once: words of one length fill a matrix, a row each."""
-        out: list = [None] * len(units)
-        by_length: dict[int, list[int]] = {}
-        for i, u in enumerate(units):
-            if len(u) <= 64:
-                by_length.setdefault(len(u), []).append(i)
-            else:
-                out[i] = self.segment(u)
-        for n, own in by_length.items():
-            words = [units[i] for i in own]
-            back, best = self._recurrence(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(own), n))
-            for i, word, from_, score in zip(own, words, back.tolist(), best.tolist(), strict=True):
-                out[i] = self._ids(word, from_), score
-        return out
-
-    def _recurrence(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the best piece before each place starts, and the best scores, of words of equal length."""
-        count, n = codes.shape
-        best = np.full((count, n + 1), -np.inf)
-        best[:, 0] = 0.0
-        back = np.zeros((count, n + 1), np.int16)
-        scores, rolling = [], np.zeros((count, n), np.uint64)
-        for length in range(1, min(self.longest, n) + 1):
-            rolling = rolling[:, : n - length + 1] * _BASE + codes[:, length - 1 :]
-            hashes, values = self.hashed[length]
-            at = np.minimum(np.searchsorted(hashes, rolling), len(hashes) - 1)
-            scores.append(np.where(hashes[at] == rolling, values[at], self.unknown if length == 1 else -np.inf))
-        for end in range(1, n + 1):
-            for start in range(max(0, end - self.longest), end):
-                score = best[:, start] + scores[end - start - 1][:, start]
-                better = score > best[:, end]
-                best[better, end] = score[better]
-                back[better, end] = start
-        return back, best[:, -1]
-
-    def _ids(self, text: str, back: list[int]) -> bytes:
-        ids, end = [], len(text)
+        n, root, unknown = len(text), self.tree, self.unknown
+        best, back, ids = [0.0] + [-np.inf] * n, [0] * (n + 1), [0] * (n + 1)
+        for at in range(n):
+            here, end, below = best[at], at, root
+            for letter in text[at:]:
+                found = below.get(letter)
+                if found is None:
+                    break  # no piece goes on like this
+                below, score, number = found
+                end += 1
+                if score is not None and here + score > best[end]:
+                    best[end], back[end], ids[end] = here + score, at, number
+            if here + unknown > best[at + 1] and text[at] not in self.single:
+                best[at + 1], back[at + 1], ids[at + 1] = here + unknown, at, None
+        out, end = [], n
         while end:
-            piece = text[back[end] : end]
-            found = self.pieces.get(piece)
-            if found is None and len(piece) > 1:
-                return self.segment(text)[0]  # two pieces with one hash
-            ids += [found[1]] if found else [self.bytes_at[b] for b in reversed(piece.encode("utf-8", "surrogatepass"))]
+            if ids[end] is None:
+                out += [self.bytes_at[b] for b in reversed(text[back[end] : end].encode("utf-8", "surrogatepass"))]
+            else:
+                out.append(ids[end])
             end = back[end]
-        return np.array(ids[::-1], "<u4").tobytes()
+        return array("I", out[::-1]).tobytes(), best[n]
+
+    def _words(self, units: list[str]) -> list[bytes]:
+        return [self.segment(u)[0] for u in units]
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, float]]:
-        """Ids and scores of escaped texts, unit by unit."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of escaped texts, unit by unit."""
         units = [_UNITS.findall(t) for t in texts]
         known = self.memo.ready(units)
-        found = [[known[u] for u in own] for own in units]
-        return [(b"".join(i for i, _ in own), sum(s for _, s in own)) for own in found]
+        return [b"".join(map(known.__getitem__, own)) for own in units]
+
+    def score(self, ids: bytes) -> float:
+        return float(self.scores[np.frombuffer(ids, "<u4")].sum())
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.output.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
-    def transfer(self, text: str, size: int) -> np.ndarray:
-        """Matrix of a chunk of `size` characters; text goes on past it as far as a piece may reach."""
+    def cuts(self, text: str, size: int) -> tuple[int, int] | None:
+        """The first and the last place of a chunk of `size` characters that every path visits."""
+        found = [m.start() for m in re.finditer(f"(?<=[^{SPACE}]){SPACE}", text[: size + 1]) if m.start() >= self.longest - 1]
+        return (found[0], found[-1]) if found else None
+
+    def transfer(self, text: str, size: int, cuts: tuple[int, int] | None, middle: bytes) -> np.ndarray:
+        """Matrix of a chunk of `size` characters, with the ids between its cuts; text goes on past it as far as a piece
+        may reach."""
         n = self.longest
-        out = np.full((n, n), -np.inf)
-        cuts = [m.start() for m in re.finditer(f"(?<=[^{SPACE}]){SPACE}", text[: size + 1]) if m.start() >= n - 1]
         if cuts:
-            first, last = cuts[0], cuts[-1]
+            first, last = cuts
             head = [-np.inf] * first + [0.0]
             for at in range(first - 1, -1, -1):
                 head[at] = max((score + head[end] for end, score in self.arcs(text, at) if end <= first), default=-np.inf)
-            middle = self.encode([text[first:last]])[0][1]
-            out[:] = np.array(head[:n])[:, None] + middle + self._ends(text, last, size, np.zeros(1))[0][None, :]
-            return out
+            return np.array(head[:n])[:, None] + self.score(middle) + self._ends(text, last, size, np.zeros(1))[0][None, :]
         starts = np.full((n, n), -np.inf)
         np.fill_diagonal(starts, 0.0)
         return self._ends(text, 0, size, starts)
@@ -214,12 +193,47 @@ def _matrix(blob: bytes) -> np.ndarray:
     return own.reshape(int(len(own) ** 0.5), -1)
 
 
+CHUNKS = "row long, doc_id long, no long, piece string, size int"
+TRANSFERS = "row long, doc_id long, no long, size int, first int, last int, head string, tail string, middle binary, same boolean, back binary, matrix binary"
+
+
+def _split(chunk_chars: int, reach: int):
+    """The chunks of giant texts (row, doc_id, text), each with the characters that a piece from it may reach."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                text = escaped(text)
+                starts = range(0, len(text), chunk_chars)
+                for i in range(0, len(starts), 256):
+                    own = starts[i : i + 256]
+                    pieces = [text[a : a + chunk_chars + reach - 1] for a in own]
+                    sizes = [min(chunk_chars, len(text) - a) for a in own]
+                    columns = [pa.array([row] * len(own), pa.int64()), pa.array([doc_id] * len(own), pa.int64()), pa.array([a // chunk_chars for a in own], pa.int64()), pa.array(pieces), pa.array(sizes, pa.int32())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "no", "piece", "size"])
+
+    return run
+
+
 def _transfers(path: str):
+    """Of each chunk its matrix, the ids between its cuts, and the texts before and after them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            blobs = [v.transfer(t, s).tobytes() for t, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(blobs, pa.binary())], names=["row", "no", "matrix"])
+            texts, sizes = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            cuts = [v.cuts(t, s) for t, s in zip(texts, sizes, strict=True)]
+            between = [t[c[0] : c[1]] if c else "" for t, c in zip(texts, cuts, strict=True)]
+            middle = v.encode(between)
+            back = [v.decode(m) for m in middle]
+            same = [d == plain(t) for d, t in zip(back, between, strict=True)]
+            matrices = [v.transfer(t, s, c, m).tobytes() for t, s, c, m in zip(texts, sizes, cuts, middle, strict=True)]
+            firsts, lasts = ([c[k] if c else None for c in cuts] for k in (0, 1))
+            heads = [t[: c[0]] if c else t for t, c in zip(texts, cuts, strict=True)]
+            tails = [t[c[1] :] if c else "" for t, c in zip(texts, cuts, strict=True)]
+            columns = [*(batch.column(i) for i in (0, 1, 2, 4)), pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32()), pa.array(heads), pa.array(tails)]
+            columns += [pa.array(middle, pa.binary()), pa.array(same, pa.bool_()), pa.array(back, pa.binary()), pa.array(matrices, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "no", "size", "first", "last", "head", "tail", "middle", "same", "back", "matrix"])
 
     return run
 
@@ -250,47 +264,86 @@ def scan(transfers: DataFrame) -> DataFrame:
     return states
 
 
-def _parts(path: str, with_ids: bool):
+def escaped(text: str) -> str:
+    """With the space sign for spaces, and one in front unless the text is empty."""
+    return SPACE + text.replace(" ", SPACE) if text else ""
+
+
+def plain(text: str) -> bytes:
+    """UTF-8 of an escaped text."""
+    return text.replace(SPACE, " ").encode("utf-8", "surrogatepass")
+
+
+PARTS = "doc_id long, part int, start long, n_ids long, ids_crc32 long, decoded boolean, decoded_sha256 string, ids array<int>"
+
+
+def _rows(v: Vocabulary, doc_id: pa.Array, part: list, start: list, ids: list[bytes], back: list[bytes], same: list[bool]) -> pa.RecordBatch:
+    columns = [
+        doc_id,
+        pa.array(part, pa.int32()),
+        pa.array(start, pa.int64()),
+        pa.array([len(i) // 4 for i in ids], pa.int64()),
+        pa.array([zlib.crc32(i) for i in ids], pa.int64()),
+        pa.array(same, pa.bool_()),
+        pa.array([hashlib.sha256(b).hexdigest() for b in back], pa.string()),
+        pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(i) // 4 for i in ids)]), pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "part", "start", "n_ids", "ids_crc32", "decoded", "decoded_sha256", "ids"])
+
+
+def _short(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = vocabulary(path)
+        for batch in batches:
+            texts = [escaped(t) for t in batch.column(1).to_pylist()]
+            ids = v.encode(texts)
+            back = [v.decode(i) for i in ids]
+            none = [0] * len(ids)
+            yield _rows(v, batch.column(0), none, none, ids, back, [b == plain(t) for b, t in zip(back, texts, strict=True)])
+
+    return run
+
+
+def _long(path: str, chunk_chars: int):
+    """Parts of chunks (doc_id, no, size, first, last, head, tail, middle, same, back, enter, leave): only the words at a
+    chunk's ends are left to segment."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         for batch in batches:
-            texts = batch.column(3).to_pylist()
-            found = [ids for ids, _ in v.encode(texts)]
-            back = [v.decode(ids) == t.replace(SPACE, " ").encode("utf-8", "surrogatepass") for ids, t in zip(found, texts, strict=True)]
-            columns = [*(batch.column(i) for i in range(3)), pa.array([len(i) // 4 for i in found], pa.int64()), pa.array([zlib.crc32(i) for i in found], pa.int64()), pa.array(back, pa.bool_())]
-            names = ["doc_id", "part", "start", "n_ids", "ids_crc32", "decoded"]
-            if with_ids:
-                columns.append(pa.array([np.frombuffer(i, "<u4").astype(np.int32) for i in found], pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            _, no, size, first, last, head, tail, middle, same, back, enter, leave = (c.to_pylist() for c in batch.columns)
+            before = [h[e:] if f is not None else h[e : s + x] for h, f, s, e, x in zip(head, first, size, enter, leave, strict=True)]
+            after = [t[: s + x - f] if f is not None else "" for t, f, s, x in zip(tail, last, size, leave, strict=True)]
+            ends = [v.encode(before), v.encode(after)]
+            there = [[v.decode(i) for i in e] for e in ends]
+            ids = [a + m + b for a, m, b in zip(ends[0], middle, ends[1], strict=True)]
+            whole = [a + m + b for a, m, b in zip(there[0], back, there[1], strict=True)]
+            good = [s and a == plain(x) and b == plain(y) for s, a, b, x, y in zip(same, *there, before, after, strict=True)]
+            yield _rows(v, batch.column(0), no, [chunk_chars * k + e for k, e in zip(no, enter, strict=True)], ids, whole, good)
 
     return run
 
 
-def encode(docs: DataFrame, model: str | None = None, chunk_chars: int = CHUNK_CHARS, with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model: str | None = None, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """Encode docs(doc_id, text), one row per part of a document (giant ones have several): doc_id, part, start (in
-    characters, the leading space included), n_ids, ids_crc32, decoded (whether the ids decode to the part), ids."""
+    characters, the leading space included), n_ids, ids_crc32, decoded (whether the ids decode to the part),
+    decoded_sha256 (of the decoded part in UTF-8), ids."""
     spark = docs.sparkSession
     small_batches(spark)
     path = model or tokenizer_file("piece_bpe_32k.model")
     reach = vocabulary(path).longest
-    text = F.replace(text_or_empty(), F.lit(" "), F.lit(SPACE))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(F.length(text) > 0, F.concat(F.lit(SPACE), text)).otherwise("").alias("text"))
-    schema = "doc_id long, part int, start long, n_ids long, ids_crc32 long, decoded boolean" + ", ids array<int>" * with_ids
-    short = rows.where(F.length("text") <= chunk_chars).select("doc_id", F.lit(0).alias("part"), F.lit(0).cast("long").alias("start"), "text")
-    giant = rows.where(F.length("text") > chunk_chars).withColumn("row", F.monotonically_increasing_id())
-    chunks = giant.withColumn("no", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.length("text") - 1) / chunk_chars))))
-    at = F.col("no") * chunk_chars
-    chunks = chunks.withColumns({"size": F.least(F.lit(chunk_chars), F.length("text") - at).cast("int"), "piece": F.expr(f"substring(text, cast(no * {chunk_chars} + 1 as int), {chunk_chars + reach - 1})")})
-    chunks = staged(chunks.select("row", "doc_id", "no", "piece", "size"), "chunks")
-    done = short.mapInArrow(_parts(path, with_ids), schema)
-    if is_empty(chunks):
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    # with the leading space
+    giant = rows.where(F.length("text") >= chunk_chars).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    # chunks of one text are dealt to all tasks, each is split off and encoded once
+    chunks = giant.mapInArrow(_split(chunk_chars, reach), CHUNKS).repartition("row", "no")
+    transfers = staged(chunks.mapInArrow(_transfers(path), TRANSFERS), "transfers")
+    done = rows.where(F.length("text") < chunk_chars).mapInArrow(_short(path), PARTS)
+    if is_empty(transfers):
         return done
-    states = scan(staged(chunks.select("row", "no", "piece", "size").mapInArrow(_transfers(path), "row long, no long, matrix binary"), "transfers"))
-    placed = chunks.join(states, ["row", "no"]).where(F.col("size") + F.col("leave") > F.col("enter"))
-    own = F.expr("substring(piece, enter + 1, size + leave - enter)")
-    long = placed.select("doc_id", F.col("no").cast("int").alias("part"), (F.col("no") * chunk_chars + F.col("enter")).alias("start"), own.alias("text"))
-    return done.unionByName(long.mapInArrow(_parts(path, with_ids), schema))
+    placed = transfers.drop("matrix").join(scan(transfers.select("row", "no", "matrix")), ["row", "no"]).where(F.col("size") + F.col("leave") > F.col("enter"))
+    long = placed.select("doc_id", "no", "size", "first", "last", "head", "tail", "middle", "same", "back", "enter", "leave")
+    return done.unionByName(long.mapInArrow(_long(path, chunk_chars), PARTS))
 
 
 def _texts(path: str):
