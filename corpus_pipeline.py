@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept. Toxic documents go, one document
 of each class of near duplicates stays, personal data is replaced by its kind in brackets, and what is left is packed
 into sequences of 4096 tokens (rows as in op9).
+
+Defined results: a null text is the empty text, which is not toxic, a copy of other empty texts, and one piece of its end
+token; rows with equal or null doc_id are rows of their own, and of copies with one doc_id one stays; texts of any length
+are read whole; an empty table gives no rows. All stages but the last keep all columns of their input, whatever their names.
 """
 
 from __future__ import annotations

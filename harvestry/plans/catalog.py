@@ -93,9 +93,9 @@ def q02_latest_per_key(spark, sf_dir):
 
 
 @query(f"""WITH {_OBS}, d AS (SELECT max(price_date) AS d FROM obs), {_WINDOWS}
-SELECT coalesce(p1d.item, p7d.item, p1m.item) AS item, coalesce(p1d.variety, p7d.variety, p1m.variety) AS variety, coalesce(p1d.grade, p7d.grade, p1m.grade) AS grade,
+SELECT item AS item, variety AS variety, grade AS grade,
   p1d.v AS prior_1d, p7d.v AS prior_7d, p1m.v AS prior_1m
-FROM p1d FULL JOIN p7d USING (item, variety, grade) FULL JOIN p1m USING (item, variety, grade)""".replace("coalesce(p1d.item, p7d.item, p1m.item)", "item").replace("coalesce(p1d.variety, p7d.variety, p1m.variety)", "variety").replace("coalesce(p1d.grade, p7d.grade, p1m.grade)", "grade"))
+FROM p1d FULL JOIN p7d USING (item, variety, grade) FULL JOIN p1m USING (item, variety, grade)""")
 def q03_asof_prior(spark, sf_dir):
     found = latest.prior_values(observations(spark, sf_dir), ["item", "variety", "grade"], "modal_price")
     return found.where("prior_1d is not null or prior_7d is not null or prior_1m is not null")
@@ -267,7 +267,7 @@ def q19_coord_collision(spark, sf_dir):
     WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE l_quantity > 45)
   UNION ALL SELECT 'AUDIT-003', 'CRITICAL', CAST(n AS VARCHAR) || ' rows for one key', 'price', k FROM (SELECT concat_ws('|', l_partkey, l_suppkey, l_returnflag, l_linestatus, CAST(l_shipdate AS DATE)) AS k, count(*) AS n FROM lineitem GROUP BY 1) WHERE n > 1
   UNION ALL SELECT 'AUDIT-005', 'MEDIUM', CAST(count(*) AS VARCHAR) || ' failed pages pending for over 24 hours', NULL, NULL FROM events WHERE event_type = 'error' AND ts < (SELECT max(ts) FROM events) - INTERVAL 24 HOUR HAVING count(*) > 0)
-SELECT * FROM f WHERE NOT (error_code = 'AUDIT-001' AND CAST(entity_id AS BIGINT) % 2 = 0)""".replace("CAST(entity_id AS BIGINT) % 2 = 0", "coalesce(TRY_CAST(entity_id AS BIGINT), 1) % 2 = 0"))
+SELECT * FROM f WHERE NOT (error_code = 'AUDIT-001' AND coalesce(TRY_CAST(entity_id AS BIGINT), 1) % 2 = 0)""")
 def q20_findings_union(spark, sf_dir):
     suppliers, lines, events = (load(spark, sf_dir, t) for t in ("supplier", "lineitem", "events"))
     ghosts = audit.without_facts(suppliers, lines.where("l_quantity > 45"), "s_suppkey", "l_suppkey")
@@ -445,7 +445,7 @@ def q33_json_extract(spark, sf_dir):
 
 
 @query("""WITH e AS (SELECT user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
-SELECT user_id, unnest([event_type, 'k' || CAST(k % 3 AS VARCHAR)]) AS tag, count(*) AS n FROM e GROUP BY ALL""".replace("SELECT user_id, unnest([event_type, 'k' || CAST(k % 3 AS VARCHAR)]) AS tag, count(*) AS n FROM e GROUP BY ALL", "SELECT user_id, tag, count(*) AS n FROM (SELECT user_id, unnest([event_type, 'k' || CAST(k % 3 AS VARCHAR)]) AS tag FROM e) GROUP BY ALL"))
+SELECT user_id, tag, count(*) AS n FROM (SELECT user_id, unnest([event_type, 'k' || CAST(k % 3 AS VARCHAR)]) AS tag FROM e) GROUP BY ALL""")
 def q34_json_explode(spark, sf_dir):
     k = F.from_json("props", "k long")["k"]
     items = F.array(F.struct(F.col("event_type").alias("tag")), F.struct(F.concat(F.lit("k"), (k % 3).cast("string")).alias("tag")))
@@ -493,7 +493,7 @@ def q37_name_match_ratio(spark, sf_dir):
 
 @query("""WITH s AS (SELECT s_suppkey AS id, s_acctbal AS latitude, list_extract(['HIGH', 'MEDIUM', 'LOW', 'REVIEW', NULL], CAST(s_suppkey % 5 + 1 AS BIGINT)) AS old, list_extract(['LOW', 'HIGH', 'REVIEW', 'MEDIUM'], CAST(s_suppkey % 4 + 1 AS BIGINT)) AS new FROM supplier),
 r AS (SELECT *, CASE old WHEN 'HIGH' THEN 4 WHEN 'MEDIUM' THEN 3 WHEN 'LOW' THEN 2 WHEN 'REVIEW' THEN 1 ELSE 0 END AS a, CASE new WHEN 'HIGH' THEN 4 WHEN 'MEDIUM' THEN 3 WHEN 'LOW' THEN 2 WHEN 'REVIEW' THEN 1 ELSE 0 END AS b FROM s)
-SELECT id, CASE WHEN b >= a THEN 1.5 ELSE latitude END AS latitude, CASE WHEN b >= a THEN new ELSE old END AS location_confidence, b >= a AS updated FROM r""".replace("THEN 1.5 ELSE latitude", "THEN CAST(1.5 AS DOUBLE) ELSE latitude"))
+SELECT id, CASE WHEN b >= a THEN CAST(1.5 AS DOUBLE) ELSE latitude END AS latitude, CASE WHEN b >= a THEN new ELSE old END AS location_confidence, b >= a AS updated FROM r""")
 def q38_confidence_guard(spark, sf_dir):
     pick = lambda values, n: F.get(F.array(*map(F.lit, values)), (F.col("s_suppkey") % n).cast("int"))
     rows = load(spark, sf_dir, "supplier")
@@ -569,7 +569,7 @@ def q47_stream_dedup(spark, sf_dir):
     return ticks.dedup(spark, f"{sf_dir}/events.parquet", ["user_id", "event_type", "props"])
 
 
-@query("""SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n, min(value) AS low, max(value) AS high FROM events GROUP BY ALL""".replace("date_trunc('day', ts) AS day", "CAST(date_trunc('day', ts) AS DATE) AS day"))
+@query("""SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n, min(value) AS low, max(value) AS high FROM events GROUP BY ALL""")
 def q48_stream_late_window(spark, sf_dir):
     return ticks.daily(spark, f"{sf_dir}/events.parquet", "ts", ["event_type"], "value", late="3 days")
 
@@ -586,8 +586,8 @@ def q49_weekly_archive(spark, sf_dir):
 
 
 @query("""WITH a AS (SELECT c_custkey AS id, c_name, c_mktsegment FROM customer), b AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 7 = 0 THEN c_name || '!' ELSE c_name END AS c_name, CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer)
-SELECT a.id, 'c_name' AS field_name, a.c_name AS old_value, b.c_name AS new_value FROM a JOIN b USING (id) WHERE a.c_name IS DISTINCT FROM b.c_name
-UNION ALL SELECT a.id, 'c_mktsegment', a.c_mktsegment, b.c_mktsegment FROM a JOIN b USING (id) WHERE a.c_mktsegment IS DISTINCT FROM b.c_mktsegment""".replace("SELECT a.id", "SELECT id"))
+SELECT id, 'c_name' AS field_name, a.c_name AS old_value, b.c_name AS new_value FROM a JOIN b USING (id) WHERE a.c_name IS DISTINCT FROM b.c_name
+UNION ALL SELECT id, 'c_mktsegment', a.c_mktsegment, b.c_mktsegment FROM a JOIN b USING (id) WHERE a.c_mktsegment IS DISTINCT FROM b.c_mktsegment""")
 def q50_field_changes(spark, sf_dir):
     old = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_mktsegment")
     new = old.withColumns({"c_name": F.when(F.col("id") % 7 == 0, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name")), "c_mktsegment": F.when(F.col("id") % 11 != 0, F.col("c_mktsegment"))})
