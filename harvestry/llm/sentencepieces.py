@@ -41,7 +41,7 @@ SPACE = "▁"
 #: Characters of a chunk, and matrices that multiply at once.
 CHUNK_CHARS, FAN_IN = 16_384, 64
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 600_000
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
