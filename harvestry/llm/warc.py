@@ -152,8 +152,8 @@ def _unpacked(source: _Range, at: int, limit: int | None = None) -> tuple[bytes,
     return b"".join(out), seen - len(unpack.unused_data)
 
 
-def members_in(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of the WARC records of a file that start in [start, end)."""
+def members_in(file, start: int, end: int) -> Iterator[tuple[int, bytes | None]]:
+    """Offset and content of the WARC records of a file that start in [start, end); no content if one doesn't unpack."""
     source, at = _Range(file, start), start
     while at < end:
         if not source.upto(min(end, at + READ_BYTES) + len(MAGIC) - 1) and len(source.data) + source.base - at < len(MAGIC):
@@ -165,8 +165,11 @@ def members_in(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
             continue
         at = source.base + found
         probe = _unpacked(source, at, PROBE_BYTES)
-        whole = _unpacked(source, at) if probe and probe[0].startswith(b"WARC/") else None
+        record = bool(probe) and probe[0].startswith(b"WARC/")
+        whole = _unpacked(source, at) if record else None
         if whole is None:
+            if record:
+                yield at, None
             at += 1
             continue
         yield at, whole[0]
@@ -194,6 +197,16 @@ def parse(data: bytes) -> dict:
     }
 
 
+def parsed(data: bytes | None) -> dict:
+    """parse(), or for a damaged record its type alone."""
+    try:
+        if data is not None:
+            return parse(data)
+    except (TypeError, KeyError, ValueError):
+        pass
+    return dict.fromkeys(["page_id", "url", "payload", "payload_bytes", "payload_digest", "declared_digest", "refers_to"]) | {"record_type": "damaged"}
+
+
 SCHEMA = "path string, record_offset long, page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, declared_digest string, refers_to long"
 
 
@@ -207,7 +220,7 @@ def _read(with_payload: bool):
                 rows, held = [], 0
                 with _open(path) as file:
                     for offset, data in members_in(file, start, end):
-                        row = {"path": path, "record_offset": offset} | parse(data)
+                        row = {"path": path, "record_offset": offset} | parsed(data)
                         if not with_payload:
                             row["payload"] = None
                         rows.append([row[n] for n in names])
@@ -224,7 +237,8 @@ def _read(with_payload: bool):
 def read(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, with_payload: bool = True) -> DataFrame:
     """Records of all archives in a folder: path, record_offset, page_id, url, record_type, payload (null for revisits),
     payload_bytes, payload_digest (computed for responses), declared_digest, refers_to. Digests of responses are checked
-    by comparing payload_digest with declared_digest."""
+    by comparing payload_digest with declared_digest. A record that doesn't unpack or has no sound header is a row of
+    type damaged, with its place alone."""
     files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")  # lists; reads no content
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long")))
     ranges = files.select("path", "length", starts.alias("start")).select("path", "start", F.least(F.col("start") + range_bytes, "length").alias("end"))

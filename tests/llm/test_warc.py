@@ -59,3 +59,13 @@ def test_archives_are_plain_gzip_files(spark):
     want = {r.page_id: r.html for r in pages.collect()}
     assert all(want[i] == t for i, t in got.items()) and len(set(want.values())) == len(got)
     assert warc.read(spark, path, range_bytes=5000).select(F.count("*")).head()[0] == len(want)
+
+
+def test_a_damaged_record_is_a_row(spark, tmp_path):
+    records = [warc.record(i, "http://x/", f"text {i} ".encode() * 200, warc.payload_digest(f"text {i} ".encode() * 200), None, "2024-01-01T00:00:00Z") for i in range(5)]
+    members = [bytearray(warc.member(r)) for r in records]
+    members[2][-6] ^= 1  # its checksum
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(members) + warc.member(b"WARC/1.1\r\nno header"))
+    got = warc.read(spark, str(tmp_path)).collect()
+    assert sorted(r.page_id for r in got if r.record_type == "response") == [0, 1, 3, 4]
+    assert sorted(r.record_offset for r in got if r.record_type == "damaged") == [sum(map(len, members[:2])), sum(map(len, members))]
