@@ -213,28 +213,44 @@ def media_column(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_stored, "doc_id long, n_bytes long, media binary")
 
 
-UNITS = "doc_id long, n_bytes long, payload binary, units array<struct<pts:long,offset:long,random_access:boolean>>, lost int, media binary"
+UNIT_TYPE = pa.list_(pa.struct([("pts", pa.int64()), ("offset", pa.int64()), ("random_access", pa.bool_())]))
+UNITS = "doc_id long, n_bytes long, payload binary, units array<struct<pts:long,offset:long,random_access:boolean>>, lost int, media binary, error string"
+
+
+def attempt(stream: bytes | None) -> tuple[Media | None, str | None]:
+    """A decoded stream, or why it can't be."""
+    try:
+        return decode(stream or b""), None
+    except (ValueError, IndexError) as wrong:
+        return None, str(wrong)
+
+
+def _units_of(media: Media) -> list[dict]:
+    return [{"pts": p, "offset": o, "random_access": r} for p, o, r in zip(media.pts.tolist(), media.offsets.tolist(), media.random_access.tolist(), strict=True)]
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [decode(m) for m in batch.column(2).to_pylist()]
-        units = [[{"pts": p, "offset": o, "random_access": r} for p, o, r in zip(m.pts.tolist(), m.offsets.tolist(), m.random_access.tolist(), strict=True)] for m in found]
+        tried = [attempt(m) for m in batch.column(2).to_pylist()]
+        found, errors = [m for m, _ in tried], [e for _, e in tried]
+        units = [m and _units_of(m) for m in found]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 batch.column(1),
-                pa.array([m.payload for m in found], pa.binary()),
-                pa.array(units, pa.list_(pa.struct([("pts", pa.int64()), ("offset", pa.int64()), ("random_access", pa.bool_())]))),
-                pa.array([m.lost for m in found], pa.int32()),
+                pa.array([m and m.payload for m in found], pa.binary()),
+                pa.array(units, UNIT_TYPE),
+                pa.array([m and m.lost for m in found], pa.int32()),
                 batch.column(2),
+                pa.array(errors, pa.string()),
             ],
-            names=["doc_id", "n_bytes", "payload", "units", "lost", "media"],
+            names=["doc_id", "n_bytes", "payload", "units", "lost", "media", "error"],
         )
 
 
 def read_media(stored: DataFrame) -> DataFrame:
-    """Payload and access units (pts, offset, random_access) of a table with a media column."""
+    """Payload and access units (pts, offset, random_access) of a table with a media column. A stream that can't be decoded
+    gives a row with nulls and the reason in error."""
     small_batches(stored.sparkSession)
     return stored.select("doc_id", "n_bytes", "media").mapInArrow(_read, UNITS)
 
@@ -250,24 +266,29 @@ def _features(media: Media) -> str:
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         streams = batch.column(2).to_pylist()
-        found = [decode(s) for s in streams]
+        tried = [attempt(s) for s in streams]
+        found, errors = [m for m, _ in tried], [e for _, e in tried]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 batch.column(1),
-                pa.array([len(m.payload) for m in found], pa.int64()),
-                pa.array([hashlib.sha256(m.payload).hexdigest() for m in found], pa.string()),
-                pa.array([zlib.crc32(m.payload[-16:]) for m in found], pa.int64()),
+                pa.array([m and len(m.payload) for m in found], pa.int64()),
+                pa.array([m and hashlib.sha256(m.payload).hexdigest() for m in found], pa.string()),
+                pa.array([m and zlib.crc32(m.payload[-16:]) for m in found], pa.int64()),
                 pa.array([len(s) for s in streams], pa.int64()),
                 pa.array([hashlib.sha256(s).hexdigest() for s in streams], pa.string()),
-                pa.array([_features(m) for m in found], pa.string()),
+                pa.array([m and _features(m) for m in found], pa.string()),
+                pa.array([m and _units_of(m) for m in found], UNIT_TYPE),
+                pa.array(errors, pa.string()),
             ],
-            names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
+            names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "units", "error"],
         )
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Store docs' payloads as a media column, read the stored bytes back and describe them, one row per row of docs."""
+    """Store docs' payloads as a media column, read the stored bytes back and describe them, one row per row of docs: with its
+    access units (timestamp, place, random access), and an error instead of a description if the stream is damaged."""
     stored = staged(media_column(docs), "media")
-    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, "
+    schema += "units array<struct<pts:long,offset:long,random_access:boolean>>, error string"
     return stored.select("doc_id", "n_bytes", "media").mapInArrow(_digested, schema)

@@ -81,3 +81,11 @@ def test_edges(spark):
     assert mpegts.digest(docs.limit(0)).collect() == []
     unit = mpegts.read_media(mpegts.media_column(docs.where("text like 'xxx%' and length(text) > 192"))).head()
     assert len(unit.units) == 66 and unit.units[4].random_access and unit.lost == 0
+
+
+def test_a_damaged_stream_is_a_row_with_an_error(spark):
+    good = mpegts.encode(b"x" * 192)
+    rows = [(1, 192, bytearray(good)), (2, 192, bytearray(good[:-1])), (3, 192, bytearray(b"\x00" * 188)), (4, 192, None)]
+    got = {r.doc_id: r for r in mpegts.read_media(spark.createDataFrame(rows, "doc_id long, n_bytes long, media binary")).collect()}
+    assert bytes(got[1].payload) == b"x" * 192 and got[1].error is None and got[1].units[0].random_access
+    assert all(got[i].error and got[i].payload is None and got[i].units is None for i in (2, 3, 4))
