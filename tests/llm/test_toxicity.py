@@ -1,6 +1,9 @@
+import math
 import random
+import string
 import zlib
 
+import zstandard
 from pyspark.sql import functions as F
 
 from harvestry.llm import toxicity
@@ -70,3 +73,39 @@ def test_recall_per_language(spark):
     truth = labels.where("toxic = 1").join(docs.select("doc_id", "lang"), "doc_id").join(toxicity.classify(docs, labels), "doc_id").where("held_out")
     got = {r.lang: (r.caught, r.n) for r in truth.groupBy("lang").agg(F.sum("predicted").alias("caught"), F.count("*").alias("n")).collect()}
     assert len(got) == 4 and all(caught >= 0.8 * n for caught, n in got.values()), got
+
+
+def test_scores_against_brute_force(spark):
+    """The query's scores, from every word and phrase of each text compressed anew by both dictionaries of every pair."""
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out()))
+
+    def lengths(pair, window):
+        made = []
+        for data in pair:
+            content = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            made.append(len(zstandard.ZstdCompressor(level=toxicity.LEVEL, dict_data=content, write_content_size=False, write_dict_id=False).compress(window)))
+        return made[1] - made[0]
+
+    def summary(e, n):
+        over = [sum(x >= t for x in e) for t in (3, 4, 6, 8)]
+        return [max(*e, 0) / 4, *(math.log1p(c) for c in over), *(math.log1p(1000 * c / n) for c in over[1:])] if e else [0.0] * 8
+
+    def brute(text):
+        words = text.lower().split()
+        windows = []
+        for w in (w.encode() for w in words):
+            windows.append(b" ".join([w if len(w) >= 4 else b"-" + b"".join(bytes([c]) + b"-" for c in w)] * 3))
+        bare = [w.strip(string.punctuation) for w in words]
+        said = [p for n in (2, 3) for p in zip(*(bare[i:] for i in range(n))) if all(w in model.phrases.words for w in p)]
+        x = [1.0]
+        for pair in model.pairs:
+            x += summary([lengths(pair, w) for w in windows], len(words))
+        for pair in model.phrases.pairs:
+            x += summary([lengths(pair, (" ".join(p).encode() + b"|") * 3) for p in said], len(words))
+        return 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.weights, strict=True))))
+
+    some = docs.where("length(text) < 400").orderBy("doc_id").limit(12)
+    got = {r.doc_id: r.score for r in toxicity.classify(docs, labels).join(some.select("doc_id"), "doc_id", "left_semi").collect()}
+    for r in some.collect():
+        assert abs(got[r.doc_id] - brute(r.text)) < 1e-9
