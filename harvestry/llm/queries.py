@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import chat, infilling, lexical, mpegts, mtree, neardup, packing, pii, sentencepieces, sharding, toxicity, warc
+from harvestry.llm import chat, infilling, lexical, mpegts, mtree, neardup, packing, pii, sentencepieces, sharding, substrings, toxicity, warc
 from harvestry.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op11_range_maximum_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 20)
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infilling.digest(table(spark, sf_dir, "documents"))
 
@@ -71,7 +75,8 @@ QUERIES = {
         op9_best_fit_packing,
         op10_toxicity,
         op11_range_maximum_search,
+        op12_substring_dedup,
         op13_fill_in_middle,
     )
 }
-ORACLES = {"op3_chat_rotation": chat.ORACLE, "op5_exact_topk": mtree.ORACLE, "op6_warc": warc.oracle(), "op11_range_maximum_search": lexical.ORACLE, "op13_fill_in_middle": infilling.ORACLE}
+ORACLES = {"op3_chat_rotation": chat.ORACLE, "op5_exact_topk": mtree.ORACLE, "op6_warc": warc.oracle(), "op11_range_maximum_search": lexical.ORACLE, "op12_substring_dedup": substrings.ORACLE, "op13_fill_in_middle": infilling.ORACLE}
