@@ -13,7 +13,7 @@ def rows(df):
 
 
 def store_of(spark, **options):
-    return sharding.ShardStore(spark, scratch_path(spark, "shard-test"), **({"small_bytes": 20_000, "target_bytes": 400_000} | options))
+    return sharding.ShardStore(spark, scratch_path(spark, "shard-test"), **({"small_bytes": 20_000, "target_bytes": 400_000, "ratio": 4} | options))
 
 
 def test_appends_compact_and_keep_every_row(spark):
@@ -83,9 +83,53 @@ def test_edges(spark):
     assert sharding.appended_and_compacted(docs.limit(0)).collect() == []
 
 
-def test_whole_table(spark):
+def replayed(store):
+    """Check every version against its parent in plain Python; the tiers that merged."""
+    tiers, shards = [], {}
+    for v in store.versions():
+        m = store.manifest(v)
+        now = {s["file"]: s for s in m["shards"]}
+        if m["operation"] == "append":
+            assert shards.items() <= now.items() and all(s["merges"] == 0 for f, s in now.items() if f not in shards)
+        else:
+            due = {}
+            for s in shards.values():
+                if s["bytes"] < store.target // 2:
+                    due.setdefault(s["tier"], set()).add(s["file"])
+            due = {t: files for t, files in due.items() if len(files) >= store.min_run}
+            assert {x["tier"]: set(x["from"]) for x in m["merged"]} == due and due
+            for x in m["merged"]:
+                old, new = [shards[f] for f in x["from"]], [now[f] for f in x["into"]]
+                assert sum(s["rows"] for s in old) == sum(s["rows"] for s in new) and len(new) <= len(old) // 2
+                assert {s["sources"] for s in new} == {len(old)} and {s["merges"] for s in new} == {1 + max(s["merges"] for s in old)}
+            gone, fresh = {f for x in m["merged"] for f in x["from"]}, {f for x in m["merged"] for f in x["into"]}
+            assert now.keys() == (shards.keys() - gone) | fresh
+            tiers += sorted(due)
+        assert all(s["tier"] == next(t for t in range(99) if s["bytes"] <= store.small * store.ratio**t) for s in now.values())
+        shards = now
+    assert store.runs(store.manifest()) == []
+    return tiers
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_whole_table(spark, sf):
+    docs = table(spark, f"/root/testdata/{sf}", "documents")
+    store, _ = sharding.filled(docs)
+    tiers = replayed(store)
+    assert len(set(tiers)) >= 2 and len(tiers) >= 6  # runs of two tiers merged
+    assert store.manifest()["version"] > sharding.ARRIVALS + 4 and len(store.manifest()["shards"]) <= 4
+    assert rows(store.read()) == rows(docs)
+    lineage = store.lineage().collect()
+    assert {r.tier for r in lineage} == set(tiers) and all(r.source != r.shard for r in lineage)
+    made = {s["file"] for s in store.manifest()["shards"] if s["merges"]}
+    assert made and made <= {r.shard for r in lineage}
+
+
+def test_query(spark):
     docs = table(spark, SF, "documents")
     got = sharding.appended_and_compacted(docs).collect()
     assert sorted((r.doc_id, r.text_sha256) for r in got) == sorted((r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in docs.collect())
     per = Counter(r.shard for r in got)
     assert all(per[r.shard] == r.shard_rows for r in got)
+    assert {r.version for r in got} == {46} and max(r.shard_merges for r in got) == 2 and max(r.shard_sources for r in got) in (4, 8)
+    assert len({r.arrival for r in got}) == sharding.ARRIVALS
