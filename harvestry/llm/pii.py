@@ -2,7 +2,7 @@
 
 Seeds are the entities that fixed rules find: e-mail and IP addresses, card numbers (Luhn) and phone numbers. Every
 mention that looks like an identifier (a seed, or another token with a digit or "@") induces a lexical pattern, the two
-words before it. Patterns and instances form a graph, whose edges are counted over all texts, and Spark scores it in
+whole words before it, of any length. Patterns and instances form a graph, whose edges are counted over all texts, and Spark scores it in
 rounds: a pattern's score is the trusted share of all its occurrences in the corpus, ordinary words included; an
 instance's trust is 1 for seeds and 1 - prod(1 - score) over the accepted patterns that it fills. Patterns of at least
 `min_instances` trusted instances and a score of `accept` are accepted, and tokens that fill them are added as spans
@@ -74,7 +74,7 @@ def _positions(text: str, expression: str) -> str:
     pairs = f"element_at(transform(array(named_struct('h', {hits}, 'g', {gaps})), q -> zip_with(slice(q.g, 1, size(q.h)), q.h, (gap, hit) -> named_struct('gap', gap, 'hit', hit))), 1)"
     placed = _before(pairs, "struct<gap:string,hit:string>", "length(x.gap) + length(x.hit)", "{} + {}")
     start = "y.before + length(y.x.gap)"
-    return f"transform({placed}, y -> named_struct('start', {start}, 'end', {start} + length(y.x.hit), 'hit', y.x.hit, 'before', right(y.x.gap, 80)))"
+    return f"transform({placed}, y -> named_struct('start', {start}, 'end', {start} + length(y.x.hit), 'hit', y.x.hit, 'before', y.x.gap))"
 
 
 def base_spans(text: str) -> Column:
@@ -91,8 +91,9 @@ def base_spans(text: str) -> Column:
 def mentions(text: str) -> Column:
     """Seeds and other identifier-like tokens with their patterns: array of (start, end, kind or null, hit, pattern or null)."""
     kind = "case " + " ".join(f"when m.hit rlike r'^(?:{rule})$' and {_valid(k, 'm.hit')} then {no}" for no, (k, (rule, _)) in enumerate(RULES.items())) + " end"
-    words = r"regexp_extract(lower(m.before), r'(?:^|\s)(\S++\s++\S++)\s++$', 1)"
-    pattern = rf"nullif(regexp_replace({words}, r'\s+', ' '), '')"
+    # the last two words of the whole gap, looked for from its end
+    words = r"regexp_extract(m.before, r'(?s)^(?:.*\s)?(\S++\s++\S++)\s++$', 1)"
+    pattern = rf"nullif(regexp_replace(lower({words}), r'\s+', ' '), '')"
     each = f"transform({_positions(text, _MENTION)}, m -> named_struct('start', m.start, 'end', m.end, 'kind', {kind}, 'hit', lower(m.hit), 'pattern', {pattern}))"
     empty = "cast(array() as array<struct<start:int,end:int,kind:int,hit:string,pattern:string>>)"
     return F.expr(f"if({text} rlike '[0-9@]', {each}, {empty})")

@@ -1,7 +1,11 @@
 import hashlib
+import math
+import random
 import re
 import time
+from collections import Counter, defaultdict
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -116,3 +120,92 @@ def test_patterns_find_unseen_identifiers(spark):
     assert got[101].spans == "" and got[102].spans == "" and got[1].n_email == 1
     text = {r.doc_id: r.text for r in pii.redact(docs).collect()}
     assert text[100] == "reach me at [EMAIL] today" and text[101] == rows[11][1]
+
+
+def tokens_of(text):
+    """Places, tokens and kinds of texts whose identifiers are whole tokens."""
+    for m in re.finditer(r"[^ \t\n]+", text):
+        own = [k for s, k, e in brute(m[0]) if (s, e) == (0, len(m[0]))]
+        yield m.start(), m[0], own[0] if own else None
+
+
+def plain_discovery(texts, least=3, accept=0.5, rounds=3):
+    """The spans of every text by the same scores, one mention after the other."""
+    edges, kinds, totals, found = Counter(), {}, Counter(), []
+    for t in texts:
+        gap, mentions = [], []
+        for at, token, kind in tokens_of(t):
+            if re.search("[0-9@]", token):
+                pattern = " ".join(gap[-2:]).lower() if len(gap) > 1 else None
+                mentions.append((at, at + len(token), kind, token.lower(), pattern))
+                if pattern:
+                    edges[pattern, token.lower()] += 1
+                    kinds.setdefault((pattern, token.lower()), set()).update({kind} - {None})
+                gap = []
+            else:
+                gap.append(token)
+        words = re.split(r"\s+", t.lower())
+        totals.update(f"{a} {b}" for a, b in zip(words, words[1:]))
+        found.append(mentions)
+    instances = Counter(p for p, _ in edges)
+    graph = {e: n for e, n in edges.items() if instances[e[0]] >= least}
+    seeds = {}
+    for p, hit in graph:
+        for k in kinds[p, hit]:
+            seeds[hit] = min(k, seeds.get(hit, 9))
+    trusted, accepted = {hit: (k, 1.0) for hit, k in seeds.items()}, {}
+    for _ in range(rounds):
+        mass, count = defaultdict(float), Counter()
+        for (p, hit), n in graph.items():
+            if hit in trusted:
+                kind, trust = trusted[hit]
+                mass[p, kind] += n * trust
+                count[p] += trust >= accept
+        accepted = {}
+        for p in {p for p, _ in mass}:
+            own = {k: m for (q, k), m in mass.items() if q == p}
+            score = min(sum(own.values()) / totals[p], 1.0)
+            if score >= accept and count[p] >= least:
+                accepted[p] = max((m, k) for k, m in own.items())[1], score
+        filled = defaultdict(list)
+        for p, hit in graph:
+            if p in accepted:
+                filled[hit].append((accepted[p][1], accepted[p][0]))
+        trusted = {hit: (k, 1.0) for hit, k in seeds.items()}
+        for hit, own in filled.items():
+            if hit not in seeds:
+                trusted[hit] = max(own)[1], 1 - math.exp(sum(math.log(max(1 - s, 1e-9)) for s, _ in own))
+    out = []
+    for t, mentions in zip(texts, found, strict=True):
+        added = [(a, accepted[p][0], b) for a, b, kind, _, p in mentions if kind is None and p in accepted]
+        out.append(joined(sorted(brute(t) + added)))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_scores_match_plain_python(spark, seed):
+    rng = random.Random(seed)
+    long = ["w" * 90, "Ä" * 200, "v" * 81]
+    words = ["mail", "key", "Call", "an", *long, "ruft", "no", "zu"]
+    leads = [f"{rng.choice(words)} {rng.choice(words)}" for _ in range(5)]
+    texts = []
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            lead, n = rng.choice(leads), rng.randrange(12)
+            sure = [f"u{n}@m.org", f"10.0.{n}.4", f"+1743555{1000 + n}"]
+            kind = rng.choice([sure[leads.index(lead) % 3], *[sure[leads.index(lead) % 3]] * 3, rng.choice(sure), f"x{n}(at)q", f"ab{n}", ""])
+            parts.append(rng.choice([" ", "\n"]).join([rng.choice(words), *(lead + rng.choice([" ", " \t"]) + kind).split(" ", 2), rng.choice(words)]))
+        texts.append(" ".join(parts))
+    texts += texts[:40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.spans for r in sorted(pii.find(docs).collect(), key=lambda r: r.doc_id)]
+    want = plain_discovery(texts)
+    assert got == want and sum(map(len, want)) > sum(len(joined(brute(t))) for t in texts)
+
+
+def test_patterns_of_long_words(spark):
+    for word in ("short", "w" * 90, "\u00fc" * 300):
+        rows = [(i, f"{i % 2} a b {word} key id{i}@m.org c") for i in range(6)] + [(10 + i, f"a b {word} key x{i}(at)m c") for i in range(6)]
+        got = {r.doc_id: r.n_added for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert [got[10 + i] for i in range(6)] == [1] * 6
