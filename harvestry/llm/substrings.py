@@ -40,7 +40,7 @@ from harvestry.llm.neardup import hot_join
 
 SIZE = 13
 #: Anchors, and suffixes, that a task gathers before it sends them, and that a group of prefixes should have.
-GATHERED, GROUP = 2_000_000, 300_000
+GATHERED, GROUP = 2_000_000, 100_000
 #: Texts with an anchor from which its windows are hot, and the most anchors that can be: the list goes to all tasks.
 HOT, HOT_ANCHORS = 100_000, 100_000
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -329,8 +329,9 @@ def repeats(docs: DataFrame, size: int = SIZE, group: int = GROUP, hot: int = HO
 
 
 def _groups(spark: SparkSession, rows: int, group: int) -> int:
-    """A number of groups with about so many rows each, several for each task at least, so that tasks are even."""
-    return int(max(8 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows // group))
+    """A number of groups with about so many rows each, two for each task at least. Each task that packs rows makes a row for
+    each group, so groups follow the rows and not the tasks."""
+    return int(max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), rows // group))
 
 
 def spans(starts: list[int], size: int) -> list[tuple[int, int]]:
