@@ -8,10 +8,14 @@ multiply in the (max, +) semiring, which is associative: blocks of chunks multip
 and from the top down every block learns where its best path enters and leaves it. With these two places each chunk is
 segmented on its own.
 
+Among segmentations of equal score the one with the longest last piece counts, then the longest last but one, and so on:
+the plain recurrence's choice, and the scan's as well, so ids don't depend on chunks. A matrix holds, beside each score,
+the rank that the entry's preferred path has by this rule among those that leave at the same place. Paths that enter at
+different places differ within the chunk, so ranks never tie; in a product the later matrix's rank comes first.
+
 No piece of the vocabulary goes on past a space after other characters, so every path visits the place before a word:
 between the first and the last such place of a chunk its matrix is a sum, and only the words at its ends need the
 states. A chunk without such a place (one long word) gets the general recurrence. Scores add up exactly, as doubles.
-Among segmentations of equal score, longer pieces at the end of a word win; at a chunk's border, an earlier border.
 
 Encoding adds the model's leading space; characters without a piece become byte pieces. decode(encode(x)) is x unless x
 holds the space sign U+2581 itself.
@@ -135,35 +139,57 @@ class Vocabulary:
         found = [m.start() for m in re.finditer(f"(?<=[^{SPACE}]){SPACE}", text[: size + 1]) if m.start() >= self.longest - 1]
         return (found[0], found[-1]) if found else None
 
+    def preferred(self, text: str) -> tuple[float, tuple[int, ...]]:
+        """Score of a text's preferred segmentation, and the starts of its pieces from the last to the first."""
+        n = len(text)
+        best, back = [0.0] + [-np.inf] * n, [0] * (n + 1)
+        for at in range(n):
+            if best[at] > -np.inf:
+                for end, score in self.arcs(text, at):
+                    if end <= n and best[at] + score > best[end]:
+                        best[end], back[end] = best[at] + score, at
+        starts, end = [], n
+        while end and best[n] > -np.inf:
+            end = back[end]
+            starts.append(end)
+        return best[n], tuple(starts)
+
     def transfer(self, text: str, size: int, cuts: tuple[int, int] | None, middle: bytes) -> np.ndarray:
-        """Matrix of a chunk of `size` characters, with the ids between its cuts; text goes on past it as far as a piece
-        may reach."""
+        """Scores and ranks of a chunk of `size` characters, with the ids between its cuts; text goes on past it as far
+        as a piece may reach."""
         n = self.longest
         if cuts:
             first, last = cuts
-            head = [-np.inf] * first + [0.0]
-            for at in range(first - 1, -1, -1):
-                head[at] = max((score + head[end] for end, score in self.arcs(text, at) if end <= first), default=-np.inf)
-            return np.array(head[:n])[:, None] + self.score(middle) + self._ends(text, last, size, np.zeros(1))[0][None, :]
-        starts = np.full((n, n), -np.inf)
-        np.fill_diagonal(starts, 0.0)
-        return self._ends(text, 0, size, starts)
-
-    def _ends(self, text: str, at: int, size: int, starts: np.ndarray) -> np.ndarray:
-        """Best scores at the places from `size` on of paths that start at `at` (a vector), or from each of the first
-        places (a matrix)."""
-        n, lanes = self.longest, starts.shape[0]
+            heads = [self.preferred(text[e:first]) for e in range(n)]
+            # from the last start on, the earlier one is preferred; a path that ends sooner has no start left to lose by
+            ways = sorted((tuple(e + s for s in starts), e) for e, (_, starts) in enumerate(heads))
+            ranks = np.empty(n)
+            for rank, (_, e) in enumerate(ways):
+                ranks[e] = rank
+            scores = np.array([score for score, _ in heads])[:, None] + self.score(middle) + self._ends(text, last, size, 1)[0]
+            return np.stack([scores, np.broadcast_to(ranks[:, None], (n, n))])
+        return np.stack(self._ends(text, 0, size, n))
+
+    def _ends(self, text: str, at: int, size: int, lanes: int) -> tuple[np.ndarray, np.ndarray]:
+        """Best scores, and ranks, at the places from `size` on of paths that start at `at`, or at each of the first `lanes`
+        places from there."""
+        n = self.longest
         best = np.full((size + n - at, lanes), -np.inf)
-        best[0, 0] = 0.0
-        if lanes > 1:
-            for k in range(min(n, len(best))):
-                best[k, k] = 0.0
-        for here in range(at, size):
-            own = best[here - at]
-            if own.max() > -np.inf:
-                for end, score in self.arcs(text, here):
-                    np.maximum(best[end - at], own + score, out=best[end - at])
-        return best[size - at :].T
+        back = np.full(best.shape, -1)
+        rank = np.zeros(best.shape)
+        for k in range(min(lanes, len(best))):
+            best[k, k] = 0.0
+        for here in range(size + n - at):
+            if lanes > 1:  # by the last start, then by the rank there; a path that begins here comes first
+                before = np.where(back[here] < 0, -1, rank[back[here], np.arange(lanes)])
+                rank[here, np.lexsort((before, back[here]))] = np.arange(lanes)
+            own = best[here]
+            if here + at < size and own.max() > -np.inf:
+                for end, score in self.arcs(text, here + at):
+                    news = own + score
+                    better = news > best[end - at]
+                    best[end - at][better], back[end - at][better] = news[better], here
+        return best[size - at :].T, rank[size - at :].T
 
 
 @functools.lru_cache(maxsize=1)
@@ -173,24 +199,30 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Of matrices in the (max, +) semiring."""
-    return (a[:, :, None] + b[None, :, :]).max(1)
+    """Of matrices of scores and ranks."""
+    n = a.shape[1]
+    every = a[0][:, :, None] + b[0][None]
+    best = every.max(1)
+    via = np.where(every == best[:, None], b[1][None], np.inf).argmin(1)
+    pair = b[1][via, np.arange(n)[None]] * n + a[1][np.arange(n)[:, None], via]
+    return np.stack([best, pair.argsort(0, kind="stable").argsort(0).astype(float)])
 
 
 def borders(matrices: list[np.ndarray], enter: int, leave: int) -> list[int]:
-    """States at the borders of consecutive matrices on the best path from `enter` to `leave`, both included."""
-    front = [np.where(np.arange(len(matrices[0])) == enter, 0.0, -np.inf)]
-    for m in matrices[:-1]:
-        front.append((front[-1][:, None] + m).max(0))
+    """States at the borders of consecutive matrices on the preferred path from `enter` to `leave`, both included."""
+    front = [np.where(np.arange(matrices[0].shape[1]) == enter, 0.0, -np.inf)]
+    for scores, _ in matrices[:-1]:
+        front.append((front[-1][:, None] + scores).max(0))
     states = [leave]
-    for f, m in zip(front[::-1], matrices[::-1], strict=True):
-        states.append(int((f + m[:, states[-1]]).argmax()))
+    for f, (scores, ranks) in zip(front[::-1], matrices[::-1], strict=True):
+        ways = f + scores[:, states[-1]]
+        states.append(int(np.where(ways == ways.max(), ranks[:, states[-1]], np.inf).argmin()))
     return states[::-1]
 
 
 def _matrix(blob: bytes) -> np.ndarray:
     own = np.frombuffer(blob, float)
-    return own.reshape(int(len(own) ** 0.5), -1)
+    return own.reshape(2, int((len(own) // 2) ** 0.5), -1)
 
 
 CHUNKS = "row long, doc_id long, no long, piece string, size int"
