@@ -7,11 +7,13 @@ distinct keys are written between the tiers: each tier reads its keys several ti
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from harvestry.functions.text import crop_key, display_name, market_key, normalize_kind, slug_with_suffix
+from harvestry.operators.components import components
 from harvestry.operators.similar import best_match, similar_pairs
 from harvestry.schema import CROP_FUZZY, MARKET_FUZZY
 from harvestry.sources.staging import numbered, staged
@@ -40,11 +42,28 @@ def resolve(keys: DataFrame, entities: DataFrame, aliases: DataFrame, blocks: li
     return out.select("key", *blocks, F.coalesce("exact_id", "alias_id", "fuzzy_id").alias("entity_id"), method.alias("method"), "similarity")
 
 
-def leaders_of(pairs: DataFrame) -> DataFrame:
-    """id, leader of every id of pairs(id, earlier, similarity) that doesn't get an entity of its own when ids come in
-    order: each joins the most similar earlier one that has (of ties the first), and only without any it gets its own.
-    A round settles all ids with an earlier leader, and all whose earlier ones have none of their own."""
-    pairs = staged(pairs, "alike")
+#: Pairs of a component up to which one task goes through it; larger ones go level by level.
+COMPONENT_PAIRS = 500_000
+
+
+def _in_order(pairs: pa.Table) -> pa.Table:
+    """The rule of leaders_of, one id after the other."""
+    rows = pairs.sort_by([("id", "ascending"), ("earlier", "ascending")]).to_pydict()
+    own, out = {}, []
+    for i, earlier, similarity in zip(rows["id"], rows["earlier"], rows["similarity"], strict=True):
+        own.setdefault(i, []).append((-similarity, earlier))
+    follows = set()
+    for i, ways in own.items():
+        found = min((w for w in ways if w[1] not in follows), default=None)
+        if found:
+            follows.add(i)
+            out.append((i, found[1]))
+    return pa.table({"id": pa.array([i for i, _ in out], pa.int64()), "leader": pa.array([e for _, e in out], pa.int64())})
+
+
+def _by_levels(pairs: DataFrame) -> DataFrame:
+    """The rule of leaders_of for components that one task can't hold: a round settles all ids with an earlier leader, and
+    all whose earlier ones have none of their own."""
     every = pairs.select("id").distinct()
     heads = pairs.select(F.col("earlier").alias("id")).distinct().join(every, "id", "left_anti")
     state = staged(heads.withColumn("leads", F.lit(True)).unionByName(every.withColumn("leads", F.lit(None).cast("boolean"))), "leads")
@@ -56,17 +75,33 @@ def leaders_of(pairs: DataFrame) -> DataFrame:
     return first.groupBy("id").agg(F.min_by("earlier", F.struct(-F.col("similarity"), "earlier")).alias("leader"))
 
 
+def leaders_of(pairs: DataFrame, most: int | None = None) -> DataFrame:
+    """id, leader of every id of pairs(id, earlier, similarity) that doesn't get an entity of its own when ids (numbers) come
+    in order: each joins the most similar earlier one that has (of ties the first), and only without any it gets its own.
+    Ids of different components don't matter to each other, so each component is gone through in one task; the rounds
+    that find the components grow with the logarithm of a chain's length."""
+    pairs = staged(pairs.select("id", "earlier", "similarity"), "alike")
+    roots = components(pairs.select(F.col("id").alias("a"), F.col("earlier").alias("b")))
+    placed = staged(pairs.join(roots, "id"), "components")
+    large = placed.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > (COMPONENT_PAIRS if most is None else most)).select("root")
+    large = staged(large, "large")
+    small = placed.join(large, "root", "left_anti").groupBy("root").applyInArrow(_in_order, "id long, leader long")
+    if large.isEmpty():
+        return small
+    return small.unionByName(_by_levels(staged(placed.join(large, "root", "left_semi"), "large")))
+
+
 def create_missing(resolved: DataFrame, blocks: list[str], threshold: float, first_id: int) -> DataFrame:
     """resolved with new ids, method CREATED, for the rest, as when keys come one after the other in their order: a key
     joins the created key of its block that it resembles most, if any. Ids follow the order of keys."""
     resolved = staged(resolved, "resolved")
-    rest = resolved.where("entity_id is null").select("key", *blocks)
-    pair = rest.select(F.struct("key", *blocks).alias("id"), F.col("key").alias("name"), *blocks)
+    rest = staged(numbered(resolved.where("entity_id is null").select("key", *blocks), ["key", *blocks], "id"), "rest")
+    pair = rest.withColumnRenamed("key", "name")
     earlier = similar_pairs(pair, pair, threshold, blocks, once=True).select(F.col("r_id").alias("id"), F.col("l_id").alias("earlier"), "similarity")
-    owner = pair.select("id").join(leaders_of(earlier), "id", "left").select("id", F.coalesce("leader", "id").alias("leader"))
+    owner = rest.join(leaders_of(earlier), "id", "left").select("key", *blocks, F.coalesce("leader", "id").alias("leader"))
     owner = staged(owner, "owners")
     ids = numbered(owner.select("leader").distinct(), ["leader"], "new_id", first_id)
-    made = owner.join(ids, "leader").select("id.*", F.col("new_id"))
+    made = owner.join(ids, "leader").select("key", *blocks, "new_id")
     out = resolved.join(made, ["key", *blocks], "left")
     out = out.select("key", *blocks, F.coalesce("entity_id", "new_id").alias("entity_id"), F.when(F.col("entity_id").isNull(), "CREATED").otherwise(F.col("method")).alias("method"), "similarity")
     return staged(out, "created")
