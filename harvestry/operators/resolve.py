@@ -7,6 +7,8 @@ distinct keys are written between the tiers: each tier reads its keys several ti
 
 from __future__ import annotations
 
+import dataclasses
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,6 +83,8 @@ def leaders_of(pairs: DataFrame, most: int | None = None) -> DataFrame:
     Ids of different components don't matter to each other, so each component is gone through in one task; the rounds
     that find the components grow with the logarithm of a chain's length."""
     pairs = staged(pairs.select("id", "earlier", "similarity"), "alike")
+    if pairs.isEmpty():
+        return pairs.select("id", F.col("earlier").alias("leader"))
     roots = components(pairs.select(F.col("id").alias("a"), F.col("earlier").alias("b")))
     placed = staged(pairs.join(roots, "id"), "components")
     large = placed.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > (COMPONENT_PAIRS if most is None else most)).select("root")
@@ -95,7 +99,10 @@ def create_missing(resolved: DataFrame, blocks: list[str], threshold: float, fir
     """resolved with new ids, method CREATED, for the rest, as when keys come one after the other in their order: a key
     joins the created key of its block that it resembles most, if any. Ids follow the order of keys."""
     resolved = staged(resolved, "resolved")
-    rest = staged(numbered(resolved.where("entity_id is null").select("key", *blocks), ["key", *blocks], "id"), "rest")
+    rest = resolved.where("entity_id is null").select("key", *blocks)
+    if rest.isEmpty():
+        return resolved
+    rest = staged(numbered(rest, ["key", *blocks], "id"), "rest")
     pair = rest.withColumnRenamed("key", "name")
     earlier = similar_pairs(pair, pair, threshold, blocks, once=True).select(F.col("r_id").alias("id"), F.col("l_id").alias("earlier"), "similarity")
     owner = rest.join(leaders_of(earlier), "id", "left").select("key", *blocks, F.coalesce("leader", "id").alias("leader"))
@@ -138,31 +145,44 @@ def tally_methods(rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
     return rows.select(each.alias("m")).groupBy("m.entity_type", "m.method").agg(F.count("*").alias("n"))
 
 
-def resolve_markets(records: DataFrame, markets: DataFrame, aliases: DataFrame, district_aliases: DataFrame, threshold: float = MARKET_FUZZY) -> DataFrame:
+@dataclasses.dataclass(frozen=True)
+class Resolution:
+    """rows: the records with ids and methods; keys: their distinct keys, with entity_id, method and similarity; fresh: rows of
+    new entities."""
+
+    rows: DataFrame
+    keys: DataFrame
+    fresh: DataFrame
+
+
+def _last_id(entities: DataFrame) -> int:
+    return entities.agg(F.coalesce(F.max("id"), F.lit(0))).head()[0]
+
+
+def markets_of(records: DataFrame, markets: DataFrame, aliases: DataFrame, district_aliases: DataFrame, threshold: float = MARKET_FUZZY, source: str | None = None) -> Resolution:
     """records(market, state, district) with mandi_id and mandi_method."""
     rows = canonical_districts(records, district_aliases).withColumn("__key", market_key("market"))
     keys = rows.select(F.col("__key").alias("key"), "state", F.coalesce("district", F.lit("")).alias("district")).distinct()
     known = markets.where("status = 'ACTIVE'").select("id", F.col("normalized_name").alias("key"), "state", F.coalesce("district", F.lit("")).alias("district"))
     found = resolve(keys, known, aliases.where("approved"), ["state", "district"], threshold)
-    last = markets.agg(F.coalesce(F.max("id"), F.lit(0))).head()[0]
-    found = create_missing(found, ["state", "district"], threshold, last + 1)
-    found = found.select(F.col("key").alias("__key"), F.col("state").alias("__s"), F.col("district").alias("__d"), F.col("entity_id").alias("mandi_id"), F.col("method").alias("mandi_method"))
-    on = (rows["__key"] == found["__key"]) & (rows["state"] == found["__s"]) & (F.coalesce(rows["district"], F.lit("")) == found["__d"])
-    return rows.join(found, on, "left").drop("__key", "__s", "__d")
+    found = create_missing(found, ["state", "district"], threshold, _last_id(markets) + 1)
+    ids = found.select(F.col("key").alias("__key"), F.col("state").alias("__s"), F.col("district").alias("__d"), F.col("entity_id").alias("mandi_id"), F.col("method").alias("mandi_method"))
+    on = (rows["__key"] == ids["__key"]) & (rows["state"] == ids["__s"]) & (F.coalesce(rows["district"], F.lit("")) == ids["__d"])
+    return Resolution(rows.join(ids, on, "left").drop("__key", "__s", "__d"), found, created_entities(found, ["state", "district"], source))
 
 
-def resolve_crops(records: DataFrame, crops: DataFrame, aliases: DataFrame, threshold: float = CROP_FUZZY) -> DataFrame:
+def crops_of(records: DataFrame, crops: DataFrame, aliases: DataFrame, threshold: float = CROP_FUZZY, source: str | None = None) -> Resolution:
     """records(commodity) with crop_id and crop_method."""
     rows = records.withColumn("__key", crop_key("commodity"))
     keys = rows.select(F.col("__key").alias("key")).distinct()
     known = crops.where("status = 'ACTIVE'").select("id", F.col("normalized_name").alias("key"))
     found = resolve(keys, known, aliases.where("approved"), [], threshold)
-    last = crops.agg(F.coalesce(F.max("id"), F.lit(0))).head()[0]
-    found = create_missing(found, [], threshold, last + 1)
-    return rows.join(found.select(F.col("key").alias("__key"), F.col("entity_id").alias("crop_id"), F.col("method").alias("crop_method")), "__key", "left").drop("__key")
+    found = create_missing(found, [], threshold, _last_id(crops) + 1)
+    ids = found.select(F.col("key").alias("__key"), F.col("entity_id").alias("crop_id"), F.col("method").alias("crop_method"))
+    return Resolution(rows.join(ids, "__key", "left").drop("__key"), found, created_entities(found, [], source))
 
 
-def resolve_kinds(rows: DataFrame, kinds: DataFrame, parent: str, text: str, out: str, aliases: DataFrame | None = None) -> DataFrame:
+def kinds_of(rows: DataFrame, kinds: DataFrame, parent: str, text: str, out: str, aliases: DataFrame | None = None) -> Resolution:
     """rows with the id of a variety (parent crop_id) or grade (parent variety_id): exact, then alias of the same parent,
     then a new id; null for blank text. kinds(id, parent, normalized_name, status)."""
     name = normalize_kind(text)
@@ -175,11 +195,31 @@ def resolve_kinds(rows: DataFrame, kinds: DataFrame, parent: str, text: str, out
     else:
         owned = aliases.where("approved").join(active.select(F.col("id").alias("owner_id"), F.col(parent).alias("__p")), "owner_id")
         known = known.join(owned.groupBy("__p", F.col("normalized_alias").alias("__n")).agg(F.min("owner_id").alias("__alias")), ["__p", "__n"], "left")
-    last = kinds.agg(F.coalesce(F.max("id"), F.lit(0))).head()[0]
     known = staged(known, "kinds")
-    fresh = numbered(known.where("__exact is null and __alias is null").select("__p", "__n"), ["__p", "__n"], "__new", last + 1)
-    known = known.join(fresh.select("__p", "__n", "__new"), ["__p", "__n"], "left").select("__p", "__n", F.coalesce("__exact", "__alias", "__new").alias(out))
-    return keyed.join(known, (F.col(parent) == F.col("__p")) & (F.col("__name") == F.col("__n")), "left").drop("__p", "__n", "__name")
+    fresh = numbered(known.where("__exact is null and __alias is null").select("__p", "__n"), ["__p", "__n"], "__new", _last_id(kinds) + 1)
+    method = F.when(F.col("__exact").isNotNull(), "EXACT").when(F.col("__alias").isNotNull(), "ALIAS").otherwise("CREATED")
+    found = known.join(fresh.select("__p", "__n", "__new"), ["__p", "__n"], "left").select("__p", "__n", F.coalesce("__exact", "__alias", "__new").alias(out), method.alias("method"))
+    joined = keyed.join(found.drop("method"), (F.col(parent) == F.col("__p")) & (F.col("__name") == F.col("__n")), "left").drop("__p", "__n", "__name")
+    made = fresh.select(F.col("__new").alias("id"), F.col("__p").alias(parent), display_name("__n").alias("name"), F.col("__n").alias("normalized_name"), F.lit("ACTIVE").alias("status"))
+    return Resolution(joined, found.select(F.col("__p").alias(parent), F.col("__n").alias("key"), F.col(out).alias("entity_id"), "method"), made)
+
+
+def resolve_markets(*args, **options) -> DataFrame:
+    return markets_of(*args, **options).rows
+
+
+def resolve_crops(*args, **options) -> DataFrame:
+    return crops_of(*args, **options).rows
+
+
+def resolve_kinds(*args, **options) -> DataFrame:
+    return kinds_of(*args, **options).rows
+
+
+def with_fresh(entities: DataFrame, fresh: DataFrame, **values: Column) -> DataFrame:
+    """entities and new ones, with some values for their other columns; null in the rest."""
+    rows = fresh.withColumns({c: v for c, v in values.items() if c in entities.columns})
+    return entities.unionByName(rows.select(*(F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in entities.schema)))
 
 
 def first_seen(rows: DataFrame, keys: list[str], seq: str, flag: str = "first_seen_this_run") -> DataFrame:

@@ -2,7 +2,11 @@
 
 Pairs come from shared trigrams, not from a nested loop: a similarity above a threshold t needs a shared trigram among the
 rarest |x| - ceil(t |x|) + 1 of each side (prefix filtering), so names are joined on those and verified. With a block
-column only names of one block meet.
+column only names of one block meet. A trigram that very many names have among their rarest is dealt over tasks by a
+hash of the name on one side, and copied for each of these tasks on the other.
+
+A sweep may also be kept up to date: the order of trigrams is frozen, the names' rarest trigrams are stored under it, and
+new names alone look theirs up. Trigrams that the frozen order doesn't know count as the rarest.
 """
 
 from __future__ import annotations
@@ -11,29 +15,79 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions.trigram import overlap, trigrams
+from harvestry.sources.staging import staged
+from harvestry.sources.versions import Versions
+
+
+#: Names with a trigram from which it is dealt over SALTS tasks.
+HOT, SALTS = 20_000, 16
+
 
+def gram_order(names: DataFrame) -> DataFrame:
+    """gram, n: in how many names each trigram is. Rare ones come first in the order of prefixes, equal ones by text."""
+    return names.select(F.explode(trigrams(F.col("name"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
 
-def _prefixes(names: DataFrame, ranks: DataFrame, threshold: float, blocks: list[str]) -> DataFrame:
-    """The rarest trigrams of each name that a similar one can't all lack."""
-    grams = names.select("id", "grams", *blocks, F.explode("grams").alias("gram")).join(ranks, "gram")
-    ordered = grams.groupBy("id", *blocks).agg(F.first("grams").alias("grams"), F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("by"))
+
+def prefixes(names: DataFrame, ranks: DataFrame, threshold: float, blocks: list[str]) -> DataFrame:
+    """id, grams, blocks, gram, n: the rarest trigrams of each of names(id, grams) that a similar one can't all lack, and in
+    how many names they are."""
+    grams = names.select("id", "grams", *blocks, F.explode("grams").alias("gram")).join(ranks, "gram", "left")
+    ordered = grams.groupBy("id", *blocks).agg(F.first("grams").alias("grams"), F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("by"))
     keep = F.size("by") - F.ceil(threshold * F.size("by")).cast("int") + 1
-    return ordered.select("id", "grams", *blocks, F.explode(F.slice("by", F.lit(1), F.greatest(keep, F.lit(1)))["gram"]).alias("gram"))
+    return ordered.select("id", "grams", *blocks, F.explode(F.slice("by", F.lit(1), F.greatest(keep, F.lit(1)))).alias("g")).select("id", "grams", *blocks, "g.gram", "g.n")
+
+
+def _met(x: DataFrame, y: DataFrame, blocks: list[str], hot: int) -> DataFrame:
+    """Pairs of x(id, grams) and y with a common gram (and block): l_id, l_grams, r_id, r_grams. y's rows of a gram that
+    many names have are dealt by a salt, and x's are copied for each."""
+    x, y = x.withColumnsRenamed({"id": "l_id", "grams": "l_grams"}), y.withColumnsRenamed({"id": "r_id", "grams": "r_grams"})
+    often = F.col("n") > hot
+    y = y.withColumn("salt", F.when(often, F.pmod(F.xxhash64("r_id"), F.lit(SALTS)).cast("int")).otherwise(0)).drop("n")
+    x = x.withColumn("salt", F.explode(F.when(often, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("n")
+    return x.join(y, ["gram", "salt", *blocks])
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, blocks: list[str] | None = None, once: bool = False) -> DataFrame:
+def _verified(met: DataFrame, threshold: float) -> DataFrame:
+    found = met.select("l_id", "r_id", "l_grams", "r_grams").dropDuplicates(["l_id", "r_id"]).select("l_id", "r_id", overlap(F.col("l_grams"), F.col("r_grams")).alias("similarity"))
+    return found.where(F.col("similarity") > threshold)
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, blocks: list[str] | None = None, once: bool = False, hot: int = HOT) -> DataFrame:
     """l_id, r_id, similarity of left(id, name) and right(id, name) with a similarity strictly above the threshold,
     within equal block columns. With once, for a table and itself, only pairs of l_id < r_id are formed."""
     blocks = blocks or []
     a = left.withColumn("grams", trigrams(F.col("name"))).select("id", "grams", *blocks)
     b = right.withColumn("grams", trigrams(F.col("name"))).select("id", "grams", *blocks)
-    ranks = a.select(F.explode("grams").alias("gram")).unionByName(b.select(F.explode("grams").alias("gram"))).groupBy("gram").agg(F.count("*").alias("n"))
-    x = _prefixes(a, ranks, threshold, blocks).withColumnsRenamed({"id": "l_id", "grams": "l_grams"})
-    y = _prefixes(b, ranks, threshold, blocks).withColumnsRenamed({"id": "r_id", "grams": "r_grams"})
-    met = x.join(y, ["gram", *blocks])
-    met = met.where("l_id < r_id") if once else met
-    met = met.select("l_id", "r_id", "l_grams", "r_grams").dropDuplicates(["l_id", "r_id"]).select("l_id", "r_id", overlap(F.col("l_grams"), F.col("r_grams")).alias("similarity"))
-    return met.where(F.col("similarity") > threshold)
+    ranks = gram_order(left.select("name").unionByName(right.select("name")))
+    met = _met(prefixes(a, ranks, threshold, blocks), prefixes(b, ranks, threshold, blocks), blocks, hot)
+    return _verified(met.where("l_id < r_id") if once else met, threshold)
+
+
+class SweepIndex:
+    """Pairs of similar names, kept up to date as names come. A store holds the frozen order of trigrams and the rarest
+    trigrams of all names so far; add() compares new names with those and with each other."""
+
+    def __init__(self, store: Versions, threshold: float, blocks: list[str] | None = None, hot: int = HOT):
+        self.store, self.threshold, self.blocks, self.hot = store, threshold, blocks or [], hot
+
+    def add(self, names: DataFrame) -> DataFrame:
+        """id_a < id_b and similarity of new names(id, name, blocks) with known ones and among themselves; they are known
+        from now on. Names whose id is known are left out, so adding them again gives nothing."""
+        names = names.select("id", "name", *self.blocks)
+        if self.store.has("names"):
+            names = names.join(self.store.read("names").select("id").distinct(), "id", "left_anti")
+        else:
+            self.store.commit({"gram_order": gram_order(names)})
+        names = staged(names, "names")
+        entries = prefixes(names.withColumn("grams", trigrams(F.col("name"))), self.store.read("gram_order"), self.threshold, self.blocks)
+        entries = staged(entries, "entries")
+        within = _met(entries, entries, self.blocks, self.hot).where("l_id < r_id")
+        if self.store.has("names"):
+            across = _met(entries, self.store.read("names"), self.blocks, self.hot)
+            within = within.unionByName(across.select(within.columns))
+        found = staged(_verified(within, self.threshold), "pairs")
+        self.store.commit(append={"names": (entries, None)})
+        return found.select(F.least("l_id", "r_id").alias("id_a"), F.greatest("l_id", "r_id").alias("id_b"), "similarity")
 
 
 def best_match(queries: DataFrame, names: DataFrame, threshold: float, blocks: list[str] | None = None) -> DataFrame:

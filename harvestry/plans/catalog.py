@@ -566,12 +566,13 @@ def q46_dedup_min_max_seen(spark, sf_dir):
 
 @query("""SELECT DISTINCT user_id, event_type, props FROM events""")
 def q47_stream_dedup(spark, sf_dir):
-    return ticks.dedup(spark, f"{sf_dir}/events.parquet", ["user_id", "event_type", "props"])
+    stream = ticks.source_of(spark, f"{sf_dir}/events.parquet")
+    return ticks.dedup(stream, ticks.new_folder(spark, "dedup"), ["user_id", "event_type", "props"], "ts").select("user_id", "event_type", "props")
 
 
 @query("""SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n, min(value) AS low, max(value) AS high FROM events GROUP BY ALL""")
 def q48_stream_late_window(spark, sf_dir):
-    return ticks.daily(spark, f"{sf_dir}/events.parquet", "ts", ["event_type"], "value", late="3 days")
+    return ticks.daily(ticks.source_of(spark, f"{sf_dir}/events.parquet"), ticks.new_folder(spark, "daily"), "ts", ["event_type"], "value", late="3 days")
 
 
 def _weekly_sql() -> str:

@@ -14,7 +14,7 @@ from harvestry.functions import prices as p
 from harvestry.functions.text import normalize_kind
 from harvestry.operators import batches, latest, resolve, upsert
 from harvestry.schema import NORMALIZATION_VERSION, PARSER_VERSION, PRICE_KEY, assert_schema
-from harvestry.sources.staging import staged
+from harvestry.sources.staging import counted, staged
 from harvestry.sources.tables import parse_records, typed_config
 
 
@@ -27,12 +27,15 @@ class Dimensions:
     district_aliases: DataFrame
     varieties: DataFrame | None = None
     grades: DataFrame | None = None
+    variety_aliases: DataFrame | None = None
 
 
 @dataclasses.dataclass(frozen=True)
 class Ingested:
     """entries: raw content of the batch; prices: rows to upsert; quarantine: rows that break a check; rejected: raw
-    records that could not be parsed; created: records that led to new entities; methods: rows by way of resolution."""
+    records that could not be parsed; created: records that led to new entities; methods: rows by way of resolution. What
+    else changes: markets and crops with new ones and the time they were seen, varieties and grades with new ones (if there
+    are such tables), and new aliases that wait for approval."""
 
     entries: DataFrame
     prices: DataFrame
@@ -40,20 +43,31 @@ class Ingested:
     rejected: DataFrame
     created: DataFrame
     methods: DataFrame
+    markets: DataFrame
+    crops: DataFrame
+    varieties: DataFrame | None
+    grades: DataFrame | None
+    market_aliases: DataFrame
+    crop_aliases: DataFrame
 
 
-def ingest(raw: DataFrame, dims: Dimensions, existing: DataFrame, source: str, batch_id: str, seq: str = "seq") -> Ingested:
+def ingest(raw: DataFrame, dims: Dimensions, existing: DataFrame, source: str, batch_id: str, seq: str = "seq", now: Column | None = None) -> Ingested:
     """raw has `record map<string,string>` and an order column. existing are stored prices, for precedence. With tables of
-    varieties and grades, prices get their ids as well."""
+    varieties and grades, prices get their ids as well. Parsed and resolved records are written once; all outputs read
+    them."""
+    now = F.current_timestamp() if now is None else now
     parsed, rejected = parse_records(raw)
     parsed = parsed.withColumn("resource", F.lit(source)).withColumn("batch_id", F.lit(batch_id))
-    entries = upsert.content_dedup(parsed, seq=seq)
-    named = parsed.withColumns({"variety": normalize_kind("raw_variety"), "grade": normalize_kind("raw_grade"), "source_mandi_name": F.col("market")})
-    found = resolve.resolve_crops(resolve.resolve_markets(named, dims.markets, dims.market_aliases, dims.district_aliases), dims.crops, dims.crop_aliases)
+    named = parsed.withColumns({"variety": normalize_kind("raw_variety"), "grade": normalize_kind("raw_grade"), "source_mandi_name": F.col("market"), "raw_district": F.col("district")})
+    markets = resolve.markets_of(named, dims.markets, dims.market_aliases, dims.district_aliases, source=source)
+    crops = resolve.crops_of(markets.rows, dims.crops, dims.crop_aliases, source=source)
+    found, varieties, grades = crops.rows, None, None
     if dims.varieties is not None and dims.grades is not None:
-        found = resolve.resolve_kinds(found, dims.varieties, "crop_id", "variety", "variety_id")
-        found = resolve.resolve_kinds(found, dims.grades, "variety_id", "grade", "grade_id")
-    found = resolve.first_seen(resolve.first_seen(found, ["mandi_id"], seq, "first_market"), ["crop_id"], seq, "first_crop")
+        kinds = resolve.kinds_of(found, dims.varieties, "crop_id", "variety", "variety_id", dims.variety_aliases)
+        below = resolve.kinds_of(kinds.rows, dims.grades, "variety_id", "grade", "grade_id")
+        found, varieties, grades = below.rows, resolve.with_fresh(dims.varieties, kinds.fresh), resolve.with_fresh(dims.grades, below.fresh)
+    found = staged(resolve.first_seen(resolve.first_seen(found, ["mandi_id"], seq, "first_market"), ["crop_id"], seq, "first_crop"), "ingested")
+    entries = upsert.content_dedup(found.withColumn("district", F.col("raw_district")), seq=seq)
     new_market = F.col("first_market") & (F.col("mandi_method") == "CREATED")
     new_crop = F.col("first_crop") & (F.col("crop_method") == "CREATED")
     crop = F.col("crop_id")
@@ -68,14 +82,18 @@ def ingest(raw: DataFrame, dims: Dimensions, existing: DataFrame, source: str, b
     kept = upsert.respect_precedence(once, existing, PRICE_KEY)
     created = found.where("mandi_method = 'CREATED' or crop_method = 'CREATED'").select("mandi_id", "mandi_method", "crop_id", "crop_method", "market", "commodity").distinct()
     methods = resolve.tally_methods(found, {"mandi": "mandi_method", "crop": "crop_method"})
-    return Ingested(entries, kept, bad, rejected, created, methods)
+    seen = lambda entities, r: resolve.touch_last_seen(entities, r.keys, now) if "last_seen_at" in entities.columns else entities
+    after = [resolve.with_fresh(seen(entities, r), r.fresh, last_seen_at=now) for entities, r in ((dims.markets, markets), (dims.crops, crops))]
+    aliases = [resolve.fuzzy_aliases(r.keys, known) for r, known in ((markets, dims.market_aliases), (crops, dims.crop_aliases))]
+    return Ingested(entries, kept, bad, rejected, created, methods, *after, varieties, grades, *aliases)
 
 
 def counters(done: Ingested) -> DataFrame:
-    """rows_processed, rows_failed and the batch's status."""
-    processed = done.prices.agg(F.count("*").alias("rows_processed"))
-    failed = done.quarantine.select("error_code").unionByName(done.rejected.select(F.lit("PARSE").alias("error_code"))).agg(F.count("*").alias("rows_failed"))
-    return processed.join(failed, F.lit(True)).withColumn("status", batches.status(F.col("rows_processed"), F.col("rows_failed")))
+    """rows_processed, rows_failed and the batch's status, counted as the rows are written."""
+    _, processed = counted(done.prices, "prices")
+    _, failed = counted(done.quarantine.select("error_code").unionByName(done.rejected.select(F.lit("PARSE").alias("error_code"))), "failed")
+    row = done.prices.sparkSession.createDataFrame([(processed, failed)], "rows_processed long, rows_failed long")
+    return row.withColumn("status", batches.status(F.col("rows_processed"), F.col("rows_failed")))
 
 
 def rewrite_dates(today: datetime.date, days: int = 3) -> list[datetime.date]:
@@ -94,14 +112,17 @@ def market_today(now_utc: datetime.datetime) -> datetime.date:
     return (now_utc + datetime.timedelta(hours=5, minutes=30)).date()
 
 
+def daily_winners(prices: DataFrame) -> DataFrame:
+    """mandi_id, crop_id, variety, grade, price_date, modal_price: of rows of one date the one of the strongest source, then of
+    the smallest market of origin."""
+    rows = prices.withColumns({"__rank": p.source_rank(F.col("source")), "__origin": -F.coalesce("source_mandi_id", F.lit(0))})
+    keys = ["mandi_id", "crop_id", "variety", "grade", "price_date"]
+    return latest.latest(rows.select(*keys, "modal_price", "__rank", "__origin"), keys, ["__rank", "__origin"]).drop("__rank", "__origin")
+
+
 def refresh_cache(prices: DataFrame) -> DataFrame:
-    """The latest-price cache. Of rows of one date the one of the strongest source counts, then the smallest market of
-    origin; varieties and grades as text keys."""
-    rank = p.source_rank(F.col("source"))
-    rows = prices.withColumns({"__rank": rank, "__origin": -F.coalesce("source_mandi_id", F.lit(0))})
-    keys = ["mandi_id", "crop_id", "variety", "grade"]
-    daily = latest.latest(rows.select(*keys, "price_date", "modal_price", "__rank", "__origin"), [*keys, "price_date"], ["__rank", "__origin"])
-    return latest.price_cache(daily.drop("__rank", "__origin"), keys)
+    """The latest-price cache, built from all prices; varieties and grades as text keys."""
+    return latest.price_cache(daily_winners(prices), ["mandi_id", "crop_id", "variety", "grade"])
 
 
 def outage_alert(runs: DataFrame, job_name: str, order: list[Column]) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,6 +32,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """staged, and the number of rows, counted as they are written."""
+    seen = Observation()
+    out = staged(df.observe(seen, F.count(F.lit(1)).alias("n")), label)
+    return out, seen.get["n"]
+
+
 def numbered(rows: DataFrame, order: list[str], out: str, first: int = 1) -> DataFrame:
     """rows with consecutive numbers in an order, from `first` on: rows are dealt by ranges, numbered within each, and
     shifted by the rows of the ranges before (one row for each range, which Spark broadcasts). Helper columns have a
