@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from harvestry.functions.terms import words
 from harvestry.functions.text import name_match, place_name
 from harvestry.operators.upsert import upsert
 from harvestry.sources.staging import staged
-from harvestry.sources.tables import exists
+from harvestry.sources.versions import Versions, fingerprints
 
 
 def serving_copies(crops: DataFrame, markets: DataFrame, varieties: DataFrame, grades: DataFrame, cache: DataFrame) -> dict[str, DataFrame]:
@@ -33,16 +35,16 @@ def serving_drops(tables: dict[str, DataFrame], copies: dict[str, DataFrame]) ->
     return counts
 
 
-def sync(folder: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """Write the serving layer, parents before children: entities by id over what is there, the price cache as a whole.
-    Returns the counts of serving_drops."""
+def sync(store: Versions, tables: dict[str, DataFrame]) -> DataFrame:
+    """Publish the serving layer as one version of a store: entities by id over what is there, the price cache as a whole.
+    Readers see all tables of a version; a job that dies leaves the last one. Returns the counts of serving_drops."""
     copies = {name: staged(rows, name) for name, rows in serving_copies(tables["crops"], tables["markets"], tables["varieties"], tables["grades"], tables["price_cache"]).items()}
+    news = {}
     for name, rows in copies.items():
-        path = f"{folder}/{name}"
-        if name != "price_cache" and exists(rows.sparkSession, path):
-            old = rows.sparkSession.read.schema(rows.schema).parquet(path)
-            rows = staged(old.join(rows.select("id"), "id", "left_anti").select(rows.columns).unionByName(rows), name)
-        rows.write.mode("overwrite").parquet(path)
+        if name != "price_cache" and store.has(name):
+            rows = store.read(name).join(rows.select("id"), "id", "left_anti").select(rows.columns).unionByName(rows)
+        news[name] = rows
+    store.commit(news)
     return serving_drops(tables, copies)
 
 
@@ -146,3 +148,26 @@ def weekly(prices: DataFrame, keys: list[str], value: str = "modal_price", date:
     return prices.groupBy(*keys, F.date_trunc("week", date).cast("date").alias("week")).agg(
         F.count("*").alias("rows"), F.min(value).alias("low"), F.max(value).alias("high"), F.avg(value).alias("mean"), digest.alias("verification_hash")
     )
+
+
+def archive(store: Versions, table: str, date: str, keep_days: int, archive_store: Versions, run_id: str) -> DataFrame:
+    """Move the parts of a table (by its part column, a date) that are older than keep_days before its newest one into an
+    archive: write them, read them again, compare the fingerprints of each part, and drop only parts that are equal.
+    Returns and logs run_id, part, n, verified; a second run takes up what the first has left."""
+    parts = sorted(p for p in store.parts(table) if p != "null")
+    if not parts:
+        return store.spark.createDataFrame([], "run_id string, part string, n long, verified boolean")
+    bound = (datetime.date.fromisoformat(parts[-1]) - datetime.timedelta(days=keep_days)).isoformat()
+    old = [p for p in parts if p <= bound]
+    rows = store.read(table, old)
+    if old:
+        archive_store.commit(parts={table: (rows, date)})
+    there = fingerprints(archive_store.read(table, old), date) if old else fingerprints(rows, date)
+    named = there.select("part", *(F.col(c).alias(f"a_{c}") for c in ("n", "total", "mix")))
+    log = fingerprints(rows, date).join(named, "part", "left").select(F.lit(run_id).alias("run_id"), "part", "n", F.coalesce((F.col("n") == F.col("a_n")) & (F.col("total") == F.col("a_total")) & (F.col("mix") == F.col("a_mix")), F.lit(False)).alias("verified"))
+    log = staged(log, "archived")
+    good = [r.part for r in log.where("verified").select("part").collect()]  # a row for each old day
+    if good:
+        store.drop_parts(table, good)
+    archive_store.commit(append={"archive_log": (log, None)})
+    return log

@@ -7,12 +7,13 @@ import datetime
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestry.functions import prices as p
 from harvestry.functions.text import normalize_kind
 from harvestry.operators import batches, latest, resolve, upsert
+from harvestry.plans import sql
 from harvestry.schema import NORMALIZATION_VERSION, PARSER_VERSION, PRICE_KEY, assert_schema
 from harvestry.sources.staging import counted, staged
 from harvestry.sources.tables import parse_records, typed_config
@@ -179,9 +180,10 @@ def historical_backfill(read, start: datetime.date, end: datetime.date, today: d
     return take_dates(read, [d for d in wanted if d not in known], dims, existing, source, batch_id)
 
 
-def startup(config: DataFrame, spec: dict, tables: dict[str, tuple[DataFrame, str]]) -> dict:
-    """The typed configuration, once all tables, (rows, schema) by name, have the columns they need; one error for all."""
-    wrong = []
+def startup(config: DataFrame, spec: dict, tables: dict[str, tuple[DataFrame, str]], session: SparkSession | None = None) -> dict:
+    """The typed configuration, once all tables, (rows, schema) by name, have the columns they need, and a session, if one
+    is given, has the SQL functions in this version; one error for all."""
+    wrong = sql.missing(session) if session else []
     for name, (rows, ddl) in tables.items():
         try:
             assert_schema(rows, ddl)

@@ -1,4 +1,4 @@
-"""Tables as Parquet: reading, keyed upserts of partitions, CSV and text reports."""
+"""Tables as Parquet: reading, keyed upserts of the parts of a table, CSV and text reports."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestry.functions.text import strip
 from harvestry.operators.upsert import upsert
+from harvestry.sources.versions import Versions
 
 CONFIG_ROWS = 10_000
 
@@ -20,21 +21,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def upsert_partitions(path: str, incoming: DataFrame, keys: list[str], order: list[str], partition: str) -> None:
-    """Upsert rows into a Parquet table partitioned by a column: only the partitions that incoming rows touch are read
-    and written again, each in one replacement. The touched partitions are few, such as the days of a batch."""
-    spark = incoming.sparkSession
-    if not exists(spark, path):
-        upsert(incoming.limit(0), incoming, keys, order).write.partitionBy(partition).parquet(path)
+def upsert_partitions(store: Versions, table: str, incoming: DataFrame, keys: list[str], order: list[str], partition: str) -> None:
+    """Upsert rows into a table of a store that is kept by the values of a column: only the parts that incoming rows touch
+    are read and written again, in one version. The touched parts are few, such as the days of a batch."""
+    touched = [r[0] for r in incoming.select(F.col(partition).cast("string")).distinct().collect()]  # a row for each part
+    if not touched:
         return
-    # a row for each touched partition; the scan reads no other one
-    touched = F.broadcast(incoming.select(partition).distinct())
-    stored = spark.read.schema(incoming.schema).parquet(path).join(touched, partition, "left_semi").select(incoming.columns)
-    merged = upsert(stored, incoming, keys, order)
-    draft = f"{path.rstrip('/')}.draft"
-    merged.write.mode("overwrite").partitionBy(partition).parquet(draft)
-    done = spark.read.schema(incoming.schema).parquet(draft)
-    done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    stored = store.read(table, ["null" if t is None else t for t in touched]).select(incoming.columns) if store.has(table) else incoming.limit(0)
+    store.commit(parts={table: (upsert(stored, incoming, keys, order), partition)})
 
 
 def append(path: str, rows: DataFrame) -> None:

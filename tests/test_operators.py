@@ -11,6 +11,7 @@ from harvestry.functions import geo, terms, text
 from harvestry.operators import audit, batches, merge, resolve, serving, similar, upsert
 from harvestry.plans import jobs
 from harvestry.sources import feed, staging, tables
+from harvestry.sources.versions import Versions
 from harvestry.streaming import ticks
 
 DAY = datetime.date(2026, 7, 15)
@@ -174,12 +175,12 @@ def test_feed_pages_until_a_short_one(spark, tmp_path):
 
 
 def test_tables(spark, tmp_path):
-    path = str(tmp_path / "prices")
+    store = Versions(spark, str(tmp_path))
     rows = lambda *r: spark.createDataFrame([(k, d, v, 0) for k, d, v in r], "k long, d string, v double, seq int").select("k", "v", "seq", "d")
     for _ in range(2):
-        tables.upsert_partitions(path, rows((1, "a", 1.0), (2, "b", 1.0)), ["k", "d"], ["seq"], "d")
-        tables.upsert_partitions(path, rows((1, "a", 2.0), (3, "a", 3.0)), ["k", "d"], ["seq"], "d")
-        assert sorted((r.k, r.v) for r in spark.read.parquet(path).collect()) == [(1, 2.0), (2, 1.0), (3, 3.0)]
+        tables.upsert_partitions(store, "prices", rows((1, "a", 1.0), (2, "b", 1.0)), ["k", "d"], ["seq"], "d")
+        tables.upsert_partitions(store, "prices", rows((1, "a", 2.0), (3, "a", 3.0)), ["k", "d"], ["seq"], "d")
+        assert sorted((r.k, r.v) for r in store.read("prices").collect()) == [(1, 2.0), (2, 1.0), (3, 3.0)]
     config = spark.createDataFrame([("page_size", "500"), ("ratio", "x")], "key string, value string")
     with pytest.raises(ValueError, match="ratio.*gone"):
         tables.typed_config(config, {"page_size": (int, 1, 1000), "ratio": (float, 0, 1), "gone": (int, 0, 1)})
@@ -356,10 +357,13 @@ def test_sync_and_caches(spark, tmp_path):
         "crops": rows("id long, status string", (1, "ACTIVE"), (2, "MERGED")), "markets": rows("id long, status string", (7, "ACTIVE")), "varieties": rows("id long, crop_id long", (3, 1), (4, 2)),
         "grades": rows("id long, variety_id long", (5, 3), (6, 4)), "price_cache": rows("mandi_id long, crop_id long, variety_id long", (7, 1, 3), (7, 2, 4), (8, 1, 3)),
     }
+    store = Versions(spark, str(tmp_path))
     for _ in range(2):
-        drops = serving.sync(str(tmp_path), tables)
+        drops = serving.sync(store, tables)
         assert {r.table: (r.kept, r.dropped) for r in drops.collect()} == {"crops": (1, 1), "markets": (1, 0), "varieties": (1, 1), "grades": (1, 1), "price_cache": (1, 2)}
-        assert spark.read.parquet(str(tmp_path / "price_cache")).count() == 1
+        assert store.read("price_cache").count() == 1
+    serving.sync(store, tables | {"crops": rows("id long, status string", (9, "ACTIVE"))})
+    assert sorted(r.id for r in store.read("crops").collect()) == [1, 9] and store.read("price_cache").count() == 0
     cache = rows("provider string, query string, response string", ("g", "a", "old"))
     searched = rows("provider string, query string, status string, response string", ("g", "a", "OK", "new"), ("g", "b", "ZERO_RESULTS", None), ("g", "c", "OVER_LIMIT", "x"))
     assert {(r.query, r.response) for r in serving.write_through(cache, searched).collect()} == {("a", "new"), ("b", "[]")}
@@ -371,3 +375,23 @@ def test_sync_and_caches(spark, tmp_path):
     assert tuple(got) == (["lake", "side"], ["lakeside", "ls"], ["Lake Side"], True)
     asked = parts.select(terms.geocoder_queries(F.lit("Lakeside Sub Yard"), F.lit("Far"), F.lit("Goa"))).head()[0]
     assert asked == ["Lakeside Sub Yard, Far, Goa, India", "Lakeside Sub Yard mandi, Far, Goa, India", "Lakeside Sub Yard market, Far, Goa, India", "Lakeside Sub Yard, Goa, India", "Lakeside, Far, Goa, India", "Lakeside, Goa, India"]
+
+
+def test_archive_drops_only_what_it_has_verified(spark, tmp_path, monkeypatch):
+    store, cold = Versions(spark, str(tmp_path / "hot")), Versions(spark, str(tmp_path / "cold"))
+    rows = spark.range(60).select("id", (F.col("id") / 2).alias("price"), F.date_add(F.lit(DAY), (F.col("id") % 6).cast("int")).alias("price_date"))
+    store.commit(parts={"prices": (rows, "price_date")})
+    write = Versions._written
+
+    def damaged(self, table, frame, part):
+        return write(self, table, frame.withColumn("price", F.when(F.col("id") == 1, 0.0).otherwise(F.col("price"))) if self is cold and table == "prices" else frame, part)
+
+    monkeypatch.setattr(Versions, "_written", damaged)
+    log = {r.part: (r.n, r.verified) for r in serving.archive(store, "prices", "price_date", 3, cold, "r1").collect()}
+    days = [str(DAY + datetime.timedelta(days=k)) for k in range(6)]
+    assert log == {days[0]: (10, True), days[1]: (10, False), days[2]: (10, True)} and store.parts("prices") == [days[1], *days[3:]]
+    monkeypatch.undo()
+    assert {r.part: r.verified for r in serving.archive(store, "prices", "price_date", 3, cold, "r2").collect()} == {days[1]: True}
+    both = cold.read("prices").unionByName(store.read("prices"))
+    assert store.parts("prices") == days[3:] and both.exceptAll(rows).count() == rows.exceptAll(both).count() == 0
+    assert sorted((r.run_id, r.verified) for r in cold.read("archive_log").collect()) == [("r1", False), ("r1", True), ("r1", True), ("r2", True)]
