@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import scratch_path, small_batches, staged
+from harvestry.llm.neardup import hot_join
 
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a task's range, bytes read at once, and bytes of a decoded header that decide about a candidate.
@@ -83,10 +84,11 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-
     """Write pages(page_id, url, html) as gzip-compressed WARC files in the folder `path`."""
     small_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumns({"digest": F.sha1("html"), "size": F.octet_length("html")})
-    first = rows.where(F.col("size") >= min_bytes).groupBy("digest", "size").agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
-    first = staged(first.where("n > 1 and first is not null").select(F.col("digest").alias("d"), F.col("size").alias("s"), "first"), "payloads")
-    rows = rows.join(first, (F.col("digest") == F.col("d")) & (F.col("size") == F.col("s")), "left")
+    size = F.octet_length("html")
+    rows = rows.withColumn("payload", F.when(size >= min_bytes, F.concat_ws(":", F.sha1("html"), size)))
+    first = rows.where("payload is not null").groupBy("payload").agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
+    first = staged(first.where("n > 1 and first is not null").select("payload", "first"), "payloads")
+    rows = hot_join(rows, first, "payload", "page_id", "left")  # one payload may be on a third of all pages
     refers = F.when(F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))
     members = rows.select("page_id", "url", "html", refers.alias("refers_to")).mapInArrow(_members(date), "bytes binary")
     members.select(F.col("bytes").cast("string").alias("value")).write.option("lineSep", "\0").text(path)
