@@ -245,7 +245,8 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, ordi
     sample = chosen[0].unionByName(chosen[1])  # at most toxic_rows + ordinary_rows ids: small enough to broadcast
     rows = docs.select("doc_id", text_or_empty().alias("text")).where(F.length("text") <= train_chars)
     rows = rows.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("text", "toxic").dropDuplicates()
-    got = rows.limit(2 * (toxic_rows + ordinary_rows)).collect()
+    # a total order of different rows: the sample doesn't depend on partitions
+    got = rows.orderBy(F.xxhash64("text"), "text", "toxic").limit(2 * (toxic_rows + ordinary_rows)).collect()
     return fit([r.text for r in got], [r.toxic for r in got])
 
 
