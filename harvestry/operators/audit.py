@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from harvestry.operators.pairs import BLOCK, pairs_within
+
 FINDING = ["error_code", "severity", "message", "entity_type", "entity_id"]
 # Fixed values.
 SEVERITY = {"AUDIT-001": "HIGH", "AUDIT-002": "HIGH", "AUDIT-003": "CRITICAL", "AUDIT-004": "MEDIUM", "AUDIT-005": "MEDIUM", "AUDIT-006": "HIGH", "AUDIT-007": "HIGH"}
@@ -59,11 +61,12 @@ def stale(rows: DataFrame, at: Column, now: Column, age: str) -> DataFrame:
     return rows.where(at < now - F.expr(f"interval {age}"))
 
 
-def coordinate_collisions(entities: DataFrame, score, least: float = 0.3) -> DataFrame:
-    """id_a < id_b of entities(id, name, lat, lng) at the same place whose names score under `least`."""
-    a = entities.select(F.col("id").alias("id_a"), F.col("name").alias("name_a"), "lat", "lng")
-    b = entities.select(F.col("id").alias("id_b"), F.col("name").alias("name_b"), "lat", "lng")
-    return a.join(b, ["lat", "lng"]).where("id_a < id_b").withColumn("score", score(F.col("name_a"), F.col("name_b"))).where(F.col("score") < least)
+def coordinate_collisions(entities: DataFrame, score, least: float = 0.3, block: int = BLOCK) -> DataFrame:
+    """id_a < id_b of entities(id, name, lat, lng) at the same place whose names score under `least`. A place that very many
+    have is compared block by block."""
+    met = pairs_within(entities.select("id", "name", "lat", "lng"), ["lat", "lng"], "id", block=block)
+    rows = met.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"), "a.lat", "a.lng")
+    return rows.withColumn("score", score(F.col("name_a"), F.col("name_b"))).where(F.col("score") < least)
 
 
 def union(findings: list[DataFrame]) -> DataFrame:
@@ -120,3 +123,25 @@ def render(dashboard: DataFrame) -> str:
     row = dashboard.head().asDict()
     width = max(map(len, row))
     return "\n".join(f"{k.replace('_', ' '):<{width}}  {'-' if v is None else v}" for k, v in row.items())
+
+
+def dashboard(tables: dict[str, DataFrame], now: Column) -> DataFrame:
+    """The figures of a store's tables as one row: the last tick and rewrite, rows of today and of all raw entries, depth of
+    the retry queue, pending reviews, open alerts, coverage, success and failure of seven days, and the share of created
+    entities. Each table is read once."""
+    recent = F.col("started_at") > now - F.expr("interval 7 days")
+    last = lambda job: F.max_by(F.struct("started_at", "status"), F.when(F.col("job_name") == job, F.col("started_at")))
+    share = lambda ok: F.round(100.0 * F.count_if(recent & ok) / F.nullif(F.count_if(recent), F.lit(0)), 2)
+    parts = [
+        kpis(tables["batches"], {
+            "last_tick": last("live_tick"), "last_rewrite": last("daily_rewrite"), "rows_today": F.coalesce(F.sum(F.when(F.to_date("started_at") == F.to_date(now), F.col("rows_processed"))), F.lit(0)),
+            "success_pct_7d": share(F.col("status") == "SUCCESS"), "failure_pct_7d": share(F.col("status") == "FAILED"), "batch_minutes_7d": F.round(F.avg(F.when(recent, (F.unix_timestamp("completed_at") - F.unix_timestamp("started_at")) / 60)), 2),
+        }),
+        kpis(tables["raw_entries"], {"raw_records": F.count("*")}),
+        kpis(tables["failed_pages"], {"retry_queue": F.count_if(F.col("status") == "PENDING")}),
+        kpis(tables["issues"], {"pending_reviews": F.count_if(F.col("review_status") == "PENDING")}),
+        kpis(tables["alerts"], {"open_alerts": F.count_if(F.col("status") == "OPEN")}),
+        kpis(tables["coverage"], {"coverage_pct": F.round(100.0 * F.sum("captured") / F.nullif(F.sum("reported"), F.lit(0)), 2)}),
+        kpis(tables["markets"], {"markets": F.count("*"), "created_pct": F.round(100.0 * F.count_if(F.col("ingested_from").isNotNull()) / F.nullif(F.count("*"), F.lit(0)), 2)} if "ingested_from" in tables["markets"].columns else {"markets": F.count("*")}),
+    ]
+    return reduce(lambda a, b: a.join(b, F.lit(True)), parts)  # rows of figures, one each

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions.geo import AGREEMENT_KM, AGREEMENT_POINTS, REJECT_KM, TOWN_NAME_SCORE, admin_only, candidate_score, confidence, haversine_km, location_rank
@@ -83,6 +85,41 @@ def guard_locations(entities: DataFrame, updates: DataFrame) -> DataFrame:
     return out.select(*entities.columns, "updated")
 
 
+def update_locations(markets: DataFrame, updates: DataFrame, source: str, now: Column) -> tuple[DataFrame, DataFrame]:
+    """(markets after guard_locations for active ones, an audit event for each that changed, with old and new values)."""
+    active = markets.where("status = 'ACTIVE'").select("id")
+    wanted = updates.join(active, "id", "left_semi")
+    after = guard_locations(markets, wanted)
+    hit = after.where("updated").select("id").join(markets.select("id", "latitude", "longitude", "location_confidence"), "id").join(wanted, "id")
+    details = F.struct(
+        F.col("latitude").alias("old_latitude"), F.col("longitude").alias("old_longitude"), F.col("location_confidence").alias("old_confidence"), "new_latitude", "new_longitude", "new_confidence", F.lit(source).alias("source")
+    )
+    events = hit.select(F.lit("mandi").alias("entity_type"), F.col("id").alias("entity_id"), F.lit("location_geocoded").alias("event_type"), F.to_json(details, {"ignoreNullFields": "false"}).alias("details"), now.alias("created_at"))
+    return after.drop("updated"), events
+
+
+def geocode(markets: DataFrame, cache: DataFrame, search: Callable[[DataFrame], DataFrame], providers: dict[str, Callable], source: str, now: Column, n: int | None = None, match=None) -> dict[str, DataFrame]:
+    """One run of the geocoder over active markets without a location: their queries by provider (functions of name, district
+    and state), the search of those that the cache lacks, the best candidates, towns as a fallback, repeated places for
+    review, and the update of the markets. search takes (provider, query) and returns them with status and response.
+    markets has ref_lat and ref_lng, reference points or null. Returns markets, audit_log, search_cache and located."""
+    todo = staged(without_location(markets, n), "without")
+    asked = [todo.select(F.col("id").alias("market_id"), F.lit(p).alias("provider"), F.posexplode(make(F.col("name"), F.col("district"), F.col("state"))).alias("turn", "query")) for p, make in providers.items()]
+    queries = staged(reduce(DataFrame.unionByName, asked), "queries")
+    known = staged(write_through(cache, search(cache_misses(queries, cache))), "searched")
+    # candidates in the order of the queries that found them
+    found = queries.join(decoded_candidates(known), ["provider", "query"]).withColumn("ord", (F.col("turn") * 1000 + F.col("ord")).cast("int"))
+    found = staged(found.select("market_id", "ord", "name", "lat", "lng", "place_types", "formatted_address", "provider"), "candidates")
+    located = locate(todo.select("id", "name", "district", "state", "ref_lat", "ref_lng"), found, match)
+    nowhere = located.where("confidence = 'UNRESOLVED'").select(F.col("market_id").alias("id"))
+    towns = town_fallback(todo.join(nowhere, "id", "left_semi"), found, *([match] if match else []))
+    best = located.where("confidence <> 'UNRESOLVED'").select("market_id", "lat", "lng", "matched", "score", "confidence").unionByName(towns)
+    best = staged(downgrade_collisions(best, "market_id"), "located")
+    updates = best.select(F.col("market_id").alias("id"), F.col("lat").alias("new_latitude"), F.col("lng").alias("new_longitude"), F.col("confidence").alias("new_confidence"))
+    after, events = update_locations(markets, updates, source, now)
+    return {"markets": after, "audit_log": events, "search_cache": known, "located": best}
+
+
 def locate(markets: DataFrame, candidates: DataFrame, match=None) -> DataFrame:
     """Best location of each of markets(id, name, district, state, ref_lat, ref_lng) among candidates(market_id, ord,
     name, lat, lng, place_types, formatted_address, provider): market_id, lat, lng, matched, provider, score, confidence,

@@ -145,9 +145,9 @@ def q07_content_dedup(spark, sf_dir):
 SELECT n.content_hash, count(*) AS rows_written, n.content_hash NOT IN (SELECT content_hash FROM old) AS is_new FROM d n WHERE half = 1 GROUP BY n.content_hash""")
 def q08_is_new_flag(spark, sf_dir):
     rows = load(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("content_hash"), (F.col("doc_id") % 2).alias("half"))
-    old = rows.where("half = 0").select("content_hash").distinct().withColumn("known", F.lit(True))
-    fresh = rows.where("half = 1").groupBy("content_hash").agg(F.count("*").alias("rows_written"))
-    return fresh.join(old, "content_hash", "left").select("content_hash", "rows_written", F.col("known").isNull().alias("is_new"))
+    batch = lambda half: upsert.content_dedup(rows.where(F.col("half") == half).withColumn("seq", F.lit(0)), [], "half", "seq", payload=[])
+    _, flagged = upsert.merge_raw(batch(0), batch(1), [])
+    return flagged.select("content_hash", F.col("times_seen").alias("rows_written"), "is_new")
 
 
 @query("""WITH k AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN upper(n_name) WHEN s_suppkey % 3 = 1 THEN 'land of ' || lower(n_name) ELSE 'nowhere' END AS state FROM supplier JOIN nation ON n_nationkey = s_nationkey),
@@ -561,7 +561,9 @@ def q45_stale_lock_reap(spark, sf_dir):
 
 @query("""SELECT user_id, event_type, props, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS times_seen FROM events GROUP BY ALL""")
 def q46_dedup_min_max_seen(spark, sf_dir):
-    return load(spark, sf_dir, "events").groupBy("user_id", "event_type", "props").agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count("*").alias("times_seen"))
+    rows = load(spark, sf_dir, "events").select("user_id", "event_type", F.col("props").alias("content_hash"), "ts")
+    found = upsert.content_dedup(rows, ["user_id", "event_type"], "ts", "ts", payload=[])
+    return found.withColumnsRenamed({"content_hash": "props", "first_seen_batch_id": "first_seen", "last_seen_batch_id": "last_seen"})
 
 
 @query("""SELECT DISTINCT user_id, event_type, props FROM events""")

@@ -232,3 +232,16 @@ def q75_parse_records(spark, sf_dir):
     good, bad = parse_records(raw)
     counts = good.groupBy("market", "price_date").agg(F.count("*").alias("n"), F.sum("modal_price").alias("total"))
     return counts.unionByName(bad.agg(F.count("*").alias("n")).select(F.lit("rejected").alias("market"), F.lit(None).cast("date").alias("price_date"), "n", F.lit(None).cast("double").alias("total")))
+
+
+@query("""WITH s AS (SELECT s_suppkey AS id, s_acctbal AS latitude, list_extract(['HIGH', 'MEDIUM', 'LOW', 'REVIEW', NULL], CAST(s_suppkey % 5 + 1 AS BIGINT)) AS old, list_extract(['LOW', 'HIGH', 'REVIEW', 'MEDIUM'], CAST(s_suppkey % 4 + 1 AS BIGINT)) AS new, s_suppkey % 3 = 0 AS gone FROM supplier),
+r AS (SELECT *, CASE old WHEN 'HIGH' THEN 4 WHEN 'MEDIUM' THEN 3 WHEN 'LOW' THEN 2 WHEN 'REVIEW' THEN 1 ELSE 0 END AS a, CASE new WHEN 'HIGH' THEN 4 WHEN 'MEDIUM' THEN 3 WHEN 'LOW' THEN 2 WHEN 'REVIEW' THEN 1 ELSE 0 END AS b FROM s)
+SELECT id AS entity_id, 'location_geocoded' AS event_type, old AS old_confidence, new AS new_confidence, latitude AS old_latitude FROM r WHERE b >= a AND NOT gone""")
+def q76_location_events(spark, sf_dir):
+    pick = lambda values, n: F.get(F.array(*map(F.lit, values)), (F.col("s_suppkey") % n).cast("int"))
+    rows = load(spark, sf_dir, "supplier")
+    markets = rows.select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("latitude"), F.lit(0.0).alias("longitude"), pick(["HIGH", "MEDIUM", "LOW", "REVIEW", None], 5).alias("location_confidence"), F.when(F.col("s_suppkey") % 3 == 0, "MERGED").otherwise("ACTIVE").alias("status"))
+    updates = rows.select(F.col("s_suppkey").alias("id"), F.lit(1.5).alias("new_latitude"), F.lit(2.5).alias("new_longitude"), pick(["LOW", "HIGH", "REVIEW", "MEDIUM"], 4).alias("new_confidence"))
+    _, events = serving.update_locations(markets, updates, "geocoder", F.lit(NOW))
+    said = F.from_json("details", "old_confidence string, new_confidence string, old_latitude double")
+    return events.select("entity_id", "event_type", said.alias("d")).select("entity_id", "event_type", "d.*")

@@ -65,8 +65,9 @@ def parse_records(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where(good).drop("__r", "__date", "record"), rows.where(~good).select(raw.columns)
 
 
-def typed_config(rows: DataFrame, spec: dict[str, tuple[type, float, float]]) -> dict:
-    """Typed values of a small key/value table; an error that names all missing and wrong entries, or if it isn't small."""
+def typed_config(rows: DataFrame, spec: dict[str, tuple[type, float, float]], at_least: list[tuple[str, str]] = []) -> dict:  # noqa: B006
+    """Typed values of a small key/value table; an error that names all missing and wrong entries, or if it isn't small.
+    at_least has pairs of keys of which the first one's value must not be below the second one's."""
     got = rows.select("key", "value").take(CONFIG_ROWS + 1)
     if len(got) > CONFIG_ROWS:
         raise ValueError(f"more than {CONFIG_ROWS} configuration rows")
@@ -81,6 +82,7 @@ def typed_config(rows: DataFrame, spec: dict[str, tuple[type, float, float]]) ->
             wrong.append(f"{key}: missing")
         except ValueError:
             wrong.append(f"{key}: {found[key]!r} is no {kind.__name__}")
+    wrong += [f"{a}: {out[a]} is below {b}, {out[b]}" for a, b in at_least if a in out and b in out and out[a] < out[b]]
     if wrong:
         raise ValueError("; ".join(wrong))
     return out
