@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from harvestry.functions.prices import percent_change
 from harvestry.schema import PRIOR_WINDOWS
@@ -14,11 +16,11 @@ from harvestry.sources.staging import staged
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The row of each key with the greatest order (columns from most to least significant). Aggregates partially before
-    the shuffle; the order should be total."""
-    by = F.struct(*(F.col(c) if isinstance(c, str) else c for c in order))
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("__row")).select(*keys, "__row.*").select(df.columns)
+    """The row of each key with the greatest order (columns from most to least significant, nulls the least). Spark keeps one
+    row per key and partition before the shuffle; the order should be total."""
+    place = f"place_{uuid.uuid4().hex}"
+    by = [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order]
+    return df.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).where(F.col(place) == 1).drop(place)
 
 
 def newest_date(df: DataFrame, date: str = "price_date"):
