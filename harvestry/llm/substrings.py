@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import WordMemo, is_empty, small_batches, staged, text_or_empty
+from harvestry.llm.common import small_batches, staged, text_or_empty
 from harvestry.llm.neardup import hot_join
 
 SIZE = 13
@@ -43,6 +43,8 @@ SIZE = 13
 GATHERED, GROUP = 2_000_000, 100_000
 #: Texts with an anchor from which its windows are hot, and the most anchors that can be: the list goes to all tasks.
 HOT, HOT_ANCHORS = 100_000, 100_000
+#: Words whose hashes a worker remembers.
+MEMO_WORDS = 400_000
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
 
@@ -71,31 +73,52 @@ class Powers:
             self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, b, np.uint64)])) for b in (self.base, self.inverse))
 
 
+class Known(dict):
+    """Hashes of words, of which the first MEMO_WORDS are kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        own = xxhash.xxh64_intdigest(word)
+        if len(self) < MEMO_WORDS:
+            self[word] = own
+        return own
+
+
 class Hasher:
     """Hashes of any run of a text's words in constant time each."""
 
-    memo = WordMemo(lambda ws: [xxhash.xxh64_intdigest(w) for w in ws])
+    known = Known()
     powers = (Powers(0), Powers(1))
 
     def __init__(self, words: list[bytes]):
-        known = self.memo.ready([words])
-        self.words = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        self.words = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
         self._sums: dict[int, np.ndarray] = {}
 
-    def runs(self, start: np.ndarray, length: np.ndarray | int, which: int = 0) -> np.ndarray:
+    def _prepared(self, which: int) -> tuple[np.ndarray, np.ndarray]:
         powers = self.powers[which]
         powers.ready(len(self.words) + 1)
         if which not in self._sums:
             self._sums[which] = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.words * powers.down[: len(self.words)])])
-        sums = self._sums[which]
-        return _mixed((sums[start + length] - sums[start]) * powers.up[start])
+        return self._sums[which], powers.up
+
+    def runs(self, start: np.ndarray, length: np.ndarray | int, which: int = 0) -> np.ndarray:
+        sums, up = self._prepared(which)
+        return _mixed((sums[start + length] - sums[start]) * up[start])
+
+    def every(self, length: int) -> np.ndarray:
+        """Hashes of all runs of a length."""
+        sums, up = self._prepared(0)
+        n = len(self.words) - length + 1
+        return _mixed((sums[length:] - sums[:n]) * up[:n])
 
     def anchors(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each window the hash of its anchor, and how many words come before the anchor's end."""
         gram = gram_words(size)
-        grams = self.runs(np.arange(len(self.words) - gram + 1), gram)
-        at = np.lib.stride_tricks.sliding_window_view(grams, size - gram + 1).argmin(1)
-        return grams[np.arange(len(at)) + at], at + gram
+        grams, n = self.every(gram), len(self.words) - size + 1
+        best, reach = grams[:n].copy(), np.full(n, gram)
+        for k in range(1, size - gram + 1):
+            less = grams[k : k + n] < best
+            best[less], reach[less] = grams[k : k + n][less], gram + k
+        return best, reach
 
     def codes(self, start: np.ndarray, size: int) -> np.ndarray:
         """16 bits of each word of some windows."""
@@ -160,7 +183,8 @@ def _anchors(size: int, parts: int):
                 if digest in seen or len(words) < size:
                     continue
                 seen.add(digest)
-                found.append(np.unique(Hasher(words).anchors(size)[0]))
+                own = Hasher(words).anchors(size)[0]
+                found.append(np.unique(own[np.concatenate([[True], own[1:] != own[:-1]])]))
                 digests.append(digest)
                 n += len(found[-1])
                 if n >= GATHERED:
@@ -215,8 +239,9 @@ def _suffixes(size: int, buckets: int, hot: frozenset[int]):
     def packed(parts: list) -> Iterator[pa.RecordBatch]:
         bucket, codes, prints, source, number, start = (np.concatenate(c) for c in zip(*parts, strict=True))
         rows = []
-        for b, at in _split(bucket, buckets):
-            at = at[np.lexsort(codes[at].T[::-1])]
+        order = np.lexsort((codes[:, 1 % size], codes[:, 0]))  # neighbours resemble each other, which packs better
+        for b, at in _split(bucket[order], buckets):
+            at = order[at]
             rows.append((b, len(at), _packed(codes[at], prints[at], source[at], number[at], start[at])))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "n", "data"])
 
