@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from harvestry.functions.text import state_tag
-from harvestry.schema import STALE_LOCK_MINUTES
+from harvestry.schema import CALL_FAILED, STALE_LOCK_MINUTES
 
 
 def status(processed: Column, failed: Column, complete: Column | None = None) -> Column:
@@ -60,12 +60,15 @@ def resolve_issues(issues: DataFrame, ids: list[int], new_status: str, note: str
     return resolve_where(issues, F.col("id").isin(*ids), new_status, note, now)
 
 
-def opened(batches: DataFrame, batch_id: str, job_name: str, resource: str | None, now: Column) -> DataFrame:
-    """batches with a new RUNNING one; stale ones are failed first. An error while the job still runs."""
+def opened(batches: DataFrame, batch_id: str, job_name: str, resource: str | None, now: Column, dates: tuple | None = None) -> DataFrame:
+    """batches with a new RUNNING one, for a range of dates or none; stale ones are failed first. An error while the job
+    still runs."""
     reaped = reap_stale(batches, now)
     if not may_start(reaped, job_name):
         raise ValueError(f"{job_name} is running already")
     values = {"id": F.lit(batch_id), "job_name": F.lit(job_name), "resource": F.lit(resource), "started_at": now, "status": F.lit("RUNNING"), "rows_processed": F.lit(0), "rows_failed": F.lit(0)}
+    if dates:
+        values |= {"date_range_start": F.lit(dates[0]), "date_range_end": F.lit(dates[1])}
     row = batches.sparkSession.range(1).select(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in batches.schema))
     return reaped.unionByName(row)
 
@@ -83,6 +86,16 @@ def call_log(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls.where(fine), calls.where(~fine)
 
 
+def page_calls(pages: DataFrame, batch_id: str, job_name: str, resource: str, now: Column) -> DataFrame:
+    """Rows of the log of calls for pages(state, page, rows, error): a call is a page that was read or failed."""
+    fine = F.col("error").isNull()
+    ms = F.col("duration_ms") if "duration_ms" in pages.columns else F.lit(None)
+    return pages.select(
+        F.lit(batch_id).alias("batch_id"), F.lit(job_name).alias("job_name"), F.lit(resource).alias("resource"), "state", F.col("page").cast("int").alias("page"), F.when(fine, "SUCCESS").otherwise("FAILURE").alias("status"),
+        F.when(fine, F.col("rows")).cast("long").alias("rows"), F.when(~fine, CALL_FAILED).alias("error_code"), ms.cast("long").alias("duration_ms"), now.alias("created_at"),
+    )
+
+
 def failed_pages(pages: DataFrame, batch_id: str, now: Column) -> DataFrame:
     """Rows of the retry queue for pages(resource, state, page, error) that could not be read."""
     message = F.when(F.col("state").isNotNull(), F.concat(F.lit("[state="), "state", F.lit("] "), "error")).otherwise(F.col("error"))

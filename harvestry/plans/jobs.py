@@ -133,26 +133,44 @@ def outage_alert(runs: DataFrame, job_name: str, order: list[Column]) -> bool:
 
 
 @dataclasses.dataclass(frozen=True)
-class Retried:
-    """done: what the pages held; pages: the queue afterwards; counts: pages resolved, pending again and skipped."""
+class Refetched:
+    """records: (seq, record) of pages that were read in full; pages: the queue afterwards; calls: state, page, rows, error
+    of each page that was asked for; counts: pages resolved, pending again and skipped."""
 
-    done: Ingested
+    records: DataFrame
     pages: DataFrame
+    calls: DataFrame
     counts: DataFrame
 
 
-def retry_failed(pages: DataFrame, runs: DataFrame, fetch: Callable[[DataFrame], DataFrame], dims: Dimensions, existing: DataFrame, source: str, batch_id: str) -> Retried:
-    """Try all pending pages again. fetch takes the plan (id, target_date, state and the page's columns) and returns
+def refetch(pages: DataFrame, runs: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -> Refetched:
+    """Ask for all pending pages again. fetch takes the plan (id, target_date, state and the page's columns) and returns
     (page_id, error, seq, record): a row per record, or one without a record for a page that is empty or failed again.
     Pages without a known date or state are skipped. Only pages that were read in full are resolved."""
     plan = staged(batches.retry_plan(pages, runs), "retries")
     known = plan.where("target_date is not null and state is not null")
     got = staged(fetch(known), "fetched")
-    verdict = got.groupBy(F.col("page_id").alias("id")).agg(F.max("error").isNull().alias("read"))
-    after = pages.join(verdict, "id", "left").withColumn("status", F.when(F.col("read"), "RESOLVED").otherwise(F.col("status"))).select(pages.columns)
+    verdict = got.groupBy(F.col("page_id").alias("id")).agg(F.max("error").isNull().alias("read"), F.max("error").alias("error"), F.count("record").alias("rows"))
+    after = pages.join(verdict.select("id", "read"), "id", "left").withColumn("status", F.when(F.col("read"), "RESOLVED").otherwise(F.col("status"))).select(pages.columns)
     good = got.join(verdict.where("read").select(F.col("id").alias("page_id")), "page_id", "left_semi").where("record is not null")
-    outcome = pages.where("status = 'PENDING'").join(verdict, "id", "left").select(F.when(F.col("read"), "resolved").when(~F.col("read"), "pending").otherwise("skipped").alias("outcome"))
-    return Retried(ingest(good.select("seq", "record"), dims, existing, source, batch_id), after, batches.tally(outcome, "outcome"))
+    outcome = pages.where("status = 'PENDING'").join(verdict.select("id", "read"), "id", "left").select(F.when(F.col("read"), "resolved").when(~F.col("read"), "pending").otherwise("skipped").alias("outcome"))
+    where = known.select("id", "state", *(["page"] if "page" in known.columns else []))
+    return Refetched(good.select("seq", "record"), after, where.join(verdict, "id").drop("id", "read"), batches.tally(outcome, "outcome"))
+
+
+@dataclasses.dataclass(frozen=True)
+class Retried:
+    """done: what the pages held; pages: the queue afterwards; counts: pages resolved, pending again and skipped."""
+
+    done: Ingested
+    pages: DataFrame
+    counts: DataFrame
+
+
+def retry_failed(pages: DataFrame, runs: DataFrame, fetch: Callable[[DataFrame], DataFrame], dims: Dimensions, existing: DataFrame, source: str, batch_id: str) -> Retried:
+    """The records of pages that refetch() could read, as a batch."""
+    again = refetch(pages, runs, fetch)
+    return Retried(ingest(again.records, dims, existing, source, batch_id), again.pages, again.counts)
 
 
 def take_dates(read: Callable[[list[datetime.date]], DataFrame], dates: list[datetime.date], dims: Dimensions, existing: DataFrame, source: str, batch_id: str) -> tuple[Ingested, DataFrame]:

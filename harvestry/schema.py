@@ -14,6 +14,7 @@ BATCH_STATUS = ("RUNNING", "SUCCESS", "PARTIAL", "FAILED")
 ENTITY_STATUS = ("ACTIVE", "MERGED", "INACTIVE", "UNKNOWN")
 PER_ANIMAL_CROPS = (210, 211, 214, 234, 257, 260, 273, 274)
 STALE_LOCK_MINUTES = 90
+CALL_FAILED = "INGEST-001"
 MARKET_FUZZY, CROP_FUZZY = 0.5, 0.6
 MARKET_SWEEP, CROP_SWEEP = 0.4, 0.5
 NORMALIZATION_VERSION = RPC_VERSION = PARSER_VERSION = 1

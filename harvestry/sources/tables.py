@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestry.functions.text import strip
@@ -65,6 +65,14 @@ def parse_records(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where(good).drop("__r", "__date", "record"), rows.where(~good).select(raw.columns)
 
 
+def record_date() -> Column:
+    """The date of a raw record of either casing; null if it has none that can be read."""
+    from harvestry.functions.prices import day_first_date
+
+    lower = F.transform_keys("record", lambda k, v: F.lower(k))
+    return day_first_date(F.nullif(strip(F.try_element_at(lower, F.lit("arrival_date"))), F.lit("")))
+
+
 def typed_config(rows: DataFrame, spec: dict[str, tuple[type, float, float]], at_least: list[tuple[str, str]] = []) -> dict:  # noqa: B006
     """Typed values of a small key/value table; an error that names all missing and wrong entries, or if it isn't small.
     at_least has pairs of keys of which the first one's value must not be below the second one's."""
