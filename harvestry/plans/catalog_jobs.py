@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -36,13 +37,22 @@ def _event_dims(events: DataFrame) -> jobs.Dimensions:
     return jobs.Dimensions(markets, crops, none, none, spark.createDataFrame([], schema.DISTRICT_ALIASES))
 
 
-def _event_pages(events: DataFrame) -> DataFrame:
-    """state, page, body: events as records of a paged feed, in the order of their ids."""
-    record = F.struct(
+def _event_record() -> Column:
+    return F.struct(
         F.concat(F.lit("User "), "user_id").alias("market"), F.col("event_type").alias("state"), F.lit("").alias("district"), F.concat(F.lit("Crop "), F.get_json_object("props", "$.k").cast("long") % 10 + 1).alias("commodity"),
         F.concat(F.lit("v"), F.col("event_id") % 3).alias("variety"), F.lit("").alias("grade"), F.date_format("ts", "dd/MM/yyyy").alias("arrival_date"), F.col("value").cast("string").alias("modal_price"),
     )
-    placed = events.withColumn("place", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")) - 1).withColumn("record", record)
+
+
+def _event_rows(events: DataFrame) -> DataFrame:
+    """seq, event_type, page, record: events as records of a feed, each on a page of its type's."""
+    record = F.from_json(F.to_json(_event_record()), "map<string,string>")
+    return events.select(F.col("event_id").alias("seq"), "event_type", F.floor(F.col("event_id") / PAGE).cast("int").alias("page"), "ts", record.alias("record"))
+
+
+def _event_pages(events: DataFrame) -> DataFrame:
+    """state, page, body: events as records of a paged feed, in the order of their ids."""
+    placed = events.withColumn("place", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")) - 1).withColumn("record", _event_record())
     pages = placed.groupBy(F.col("event_type").alias("state"), F.floor(F.col("place") / PAGE).cast("int").alias("page"))
     rows = pages.agg(F.array_sort(F.collect_list(F.struct("place", "record"))).alias("rows"))  # a page has PAGE records
     return rows.select("state", "page", F.to_json(F.struct(F.size("rows").alias("total"), F.col("rows.record").alias("records"))).alias("body"))
@@ -245,3 +255,65 @@ def q76_location_events(spark, sf_dir):
     _, events = serving.update_locations(markets, updates, "geocoder", F.lit(NOW))
     said = F.from_json("details", "old_confidence string, new_confidence string, old_latitude double")
     return events.select("entity_id", "event_type", said.alias("d")).select("entity_id", "event_type", "d.*")
+
+
+_EVENT_FACTS = """e AS (SELECT *, user_id * 1000 + ascii(event_type) AS mandi_id, CAST(json_extract_string(props, '$.k') AS BIGINT) % 10 + 1 AS crop_id, 'v' || CAST(event_id % 3 AS VARCHAR) AS variety, CAST(ts AS DATE) AS price_date, event_id // 500 AS page FROM events)"""
+
+
+def _event_store(spark, events: DataFrame, label: str) -> Versions:
+    store = Versions(spark, ticks.new_folder(spark, label))
+    runs.setup(store, _event_dims(events))
+    return store
+
+
+@query(f"""WITH {_EVENT_FACTS}, d AS (SELECT *, date_diff('day', (SELECT min(price_date) FROM e), price_date) // 15 AS part FROM e)
+SELECT CAST(min(price_date) AS DATE) AS first_date, CAST(max(price_date) AS DATE) AS last_date, 'SUCCESS' AS status, count(DISTINCT (mandi_id, crop_id, variety, price_date)) AS rows_processed FROM d GROUP BY part""")
+def q77_backfill_log(spark, sf_dir):
+    """All days of the events, fifteen to a batch; asked for again, nothing is left to do."""
+    events = load(spark, sf_dir, "events")
+    store, rows = _event_store(spark, events, "backfill"), staged(_event_rows(events), "rows")
+    first, last = rows.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).head()
+    go = lambda: runs.historical_backfill(store, lambda days: runs.Work(rows.where(F.to_date("ts").isin(days)).select("seq", "record")), first, last, NOW, span=15)
+    go()
+    if go():
+        raise RuntimeError("a backfill took dates again")
+    return store.read("batches").select(F.col("date_range_start").alias("first_date"), F.col("date_range_end").alias("last_date"), "status", "rows_processed")
+
+
+@query(f"""WITH {_EVENT_FACTS}, w AS (SELECT *, row_number() OVER (PARTITION BY mandi_id, crop_id, variety, price_date ORDER BY page % 3 = 1 DESC, event_id DESC) AS n FROM e)
+SELECT mandi_id, crop_id, variety, price_date, value / 100 AS modal_price FROM w WHERE n = 1""")
+def q78_retry_pages(spark, sf_dir):
+    """A third of the pages fail in a tick and are read later, so their records come last."""
+    events = load(spark, sf_dir, "events")
+    store, rows = _event_store(spark, events, "retry"), staged(_event_rows(events).withColumn("resource", F.lit("resource_1")), "rows")
+    late = F.col("page") % 3 == 1
+    asked = rows.groupBy(F.col("event_type").alias("state"), "page").agg(F.count("*").alias("n"))
+    pages = asked.select("state", "page", F.when(late, 0).otherwise(F.col("n")).alias("rows"), F.col("n").alias("total"), F.when(late, "down").alias("error"))
+    today = jobs.market_today(NOW)
+    runs.run(store, "live_tick", "tick", rows.where(~late).select("seq", "record"), "resource_1", NOW, pages, dates=(today, today))
+
+    def fetch(plan: DataFrame) -> DataFrame:
+        found = rows.withColumnRenamed("event_type", "state").drop("resource")
+        return plan.select(F.col("id").alias("page_id"), "state", "page").join(found, ["state", "page"]).select("page_id", F.lit(None).cast("string").alias("error"), "seq", "record")
+
+    runs.retry_failed_pages(store, fetch, "retry", NOW, "resource_1")
+    return store.read("prices").select("mandi_id", "crop_id", "variety", "price_date", "modal_price")
+
+
+@query(f"""WITH {_EVENT_FACTS}, even AS (SELECT * FROM e WHERE user_id % 2 = 0 AND day(price_date) % 7 <> 3),
+b AS (SELECT min(price_date) AS lo, max(price_date) AS hi FROM even),
+days AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM b)
+SELECT 'AUDIT-001' AS error_code, CAST(mandi_id AS VARCHAR) AS entity_id FROM (SELECT DISTINCT mandi_id FROM e) WHERE mandi_id NOT IN (SELECT mandi_id FROM even)
+UNION ALL SELECT 'AUDIT-002', CAST(c AS VARCHAR) FROM (SELECT unnest(range(1, 11)) AS c) WHERE c NOT IN (SELECT crop_id FROM even)
+UNION ALL SELECT 'AUDIT-006', CAST(d AS VARCHAR) FROM days WHERE d NOT IN (SELECT price_date FROM even)""")
+def q79_nightly_audit(spark, sf_dir):
+    """Events of even users without some days: markets without prices and missing days give an alert each, once."""
+    events = load(spark, sf_dir, "events")
+    dims = _event_dims(events)
+    store = Versions(spark, ticks.new_folder(spark, "audit"))
+    runs.setup(store, dataclasses.replace(dims, markets=dims.markets.withColumns({"latitude": F.lit(None).cast("double"), "longitude": F.lit(None).cast("double")})))
+    some = events.where((F.col("user_id") % 2 == 0) & (F.dayofmonth("ts") % 7 != 3))
+    runs.run(store, "daily_rewrite", "rewrite", _event_rows(some).select("seq", "record"), "resource_2", NOW)
+    if not runs.nightly_audit(store, NOW) or runs.nightly_audit(store, NOW):
+        raise RuntimeError("an audit raises its alerts once")
+    return store.read("alerts").select("error_code", "entity_id")
