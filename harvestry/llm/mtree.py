@@ -1,12 +1,16 @@
 """Exact top-k inner-product search by best-first descent of M-trees.
 
-Candidates are dealt into blocks; each block becomes one M-tree of fixed-size pages. A leaf entry keeps its distance to
+Candidates are dealt by their nearest of at most PIVOTS pivots (rows of the smallest hashes), so that a tree holds rows near
+each other; a cell of more than TREE_ROWS rows becomes several trees. Each tree is an M-tree of fixed-size pages. A leaf entry keeps its distance to
 its page's pivot, a page its pivot, covering radius and distance to the parent's pivot. For a query q and a page with
 pivot p and radius r every member x has <q,x> <= <q,p> + |q| r, and with the parent's pivot P, whose product is known,
 <q,x> <= <q,P> + |q| (d(P,p) + r), which needs no product with p. A page or entry whose bound can't reach the k-th best
 score so far is skipped without computing anything in it. Products are exact integers; bounds carry a slack for rounding.
 
-Query blocks meet every tree (a stated query set against all rows, in blocks), and the k best of each tree are merged.
+The trees' roots, a centre and a radius each, are a table of their own. Query blocks meet the roots in blocks; each query first
+searches the tree of its highest bound, then, with its k-th score so far as a floor, only those whose bound reaches it. The
+k best of all are merged. Of equal vectors the k + 1 of the smallest ids take part, which loses no result: all score the
+same, ties go to smaller ids, and at most one is the query's own.
 
 Defined results: null vectors and vectors that hold null or non-finite components take no part; missing components of
 shorter vectors count as 0; repeated equal rows count once; an empty table or query set gives no rows; rows with the
@@ -28,7 +32,11 @@ from harvestry.llm.common import small_batches, staged
 
 #: Rows of a tree, entries of a page, queries of a block. A tree of 8192 vectors of 64 parts takes 4 MB.
 TREE_ROWS, PAGE, QUERY_ROWS = 8192, 64, 1024
-HITS = "query_id long, vec_id long, score long"
+#: Most pivots that rows are dealt by, roots of a block, and what a query's vector begins with: its k-th score so far (LOWEST
+#: if it has none), the tree searched first, its own id.
+PIVOTS, ROOT_ROWS, HEAD, LOWEST = 1024, 8192, 3, -(1 << 63)
+HITS = "no long, query_id long, vec_id long, score long"
+BLOBS = "part long, nth int, n int, blob binary"
 
 
 def quantized(vectors: DataFrame, scale: float = 256.0) -> DataFrame:
@@ -79,15 +87,16 @@ class MTree:
         self.children[node] = [self._build(rows[to == k], pivot) for k in np.flatnonzero(counts)]
         return node
 
-    def search(self, query_id: int, q: np.ndarray, k: int, best: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """The k best (score, -vec_id) of `best` and this tree, as a heap with the worst first."""
+    def search(self, query_id: int, q: np.ndarray, k: int, best: list[tuple[int, int]], floor: int = LOWEST) -> list[tuple[int, int]]:
+        """The k best (score, -vec_id) of `best` and this tree, as a heap with the worst first; rows that score under `floor`
+        may be left out."""
         real, norm = q.astype("f8"), float(np.linalg.norm(q))
         slack = 1e-6 * (1.0 + norm)
         product = float(real @ self.pivot[self.root])
         todo = [(-(product + norm * self.radius[self.root]), self.root, product)]
         while todo:
             bound, node, product = heapq.heappop(todo)
-            worst = best[0][0] if len(best) == k else None
+            worst = max(floor, best[0][0]) if len(best) == k else None if floor == LOWEST else floor
             if worst is not None and -bound + slack * (1 + abs(bound)) < worst:
                 break  # best first: no page that is left can reach it either
             if self.children[node] is None:
@@ -97,8 +106,8 @@ class MTree:
                 if not len(rows):
                     continue
                 scores = self._exact(rows, q, real)
-                if len(best) == k:
-                    keep = scores >= best[0][0]
+                if worst is not None:
+                    keep = scores >= worst
                     rows, scores = rows[keep], scores[keep]
                 elif len(scores) > 4 * k:
                     cut = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
@@ -136,7 +145,7 @@ def _matrix(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _widened(a: np.ndarray, dim: int) -> np.ndarray:
-    return a if a.shape[1] == dim else np.pad(a, ((0, 0), (0, dim - a.shape[1])))
+    return a if a.shape[1] >= dim else np.pad(a, ((0, 0), (0, dim - a.shape[1])))
 
 
 def _blocks(rows: int):
@@ -144,15 +153,16 @@ def _blocks(rows: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[list, list]] = {}
+        given: dict[int, int] = {}
 
         def blob(part: int) -> pa.RecordBatch:
             ids, vectors = held.pop(part)
+            given[part] = given.get(part, -1) + 1
             flat = np.zeros((len(ids), max(map(len, vectors))), "<i8")
             for i, v in enumerate(vectors):
                 flat[i, : len(v)] = v
-            return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([len(ids)], pa.int32()), pa.array([np.array(ids, "<i8").tobytes() + flat.tobytes()], pa.binary())], names=["part", "n", "blob"]
-            )
+            data = np.array(ids, "<i8").tobytes() + flat.tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([given[part]], pa.int32()), pa.array([len(ids)], pa.int32()), pa.array([data], pa.binary())], names=["part", "nth", "n", "blob"])
 
         for batch in batches:
             for part, vec_id, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -167,6 +177,70 @@ def _blocks(rows: int):
     return run
 
 
+def _lists(rows: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(rows) + 1, dtype="i4") * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1), pa.int64()))
+
+
+def _cells(pivots: np.ndarray):
+    """The nearest pivot of each row (vec_id, v)."""
+    real = pivots.astype("f8")
+    squares = (real**2).sum(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own = np.zeros((batch.num_rows, max([real.shape[1], *(len(v) for v in batch.column(1))])))
+            for i, v in enumerate(batch.column(1)):
+                own[i, : len(v)] = v.values.to_numpy()
+            near = (squares - 2 * own[:, : real.shape[1]] @ real.T).argmin(1)
+            yield pa.RecordBatch.from_arrays([pa.array(near, pa.int32()), batch.column(0), batch.column(1)], names=["cell", "vec_id", "v"])
+
+    return run
+
+
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A tree as a row: its number, and a radius and a centre of integers, so that no row lies outside."""
+    for batch in batches:
+        for tree, n, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            _, data = _matrix(blob, n)
+            centre = np.rint(data.mean(0)).astype("i8")
+            radius = int(np.ceil(np.linalg.norm(data.astype("f8") - centre, axis=1).max() + 1))
+            yield pa.RecordBatch.from_arrays([pa.array([tree], pa.int64()), _lists(np.concatenate([[radius], centre])[None])], names=["vec_id", "v"])
+
+
+def _bounds(queries: np.ndarray, roots: np.ndarray) -> np.ndarray:
+    """For each query and root a bound that no product of the query with a row of the root's tree exceeds."""
+    q, c = queries[:, HEAD:].astype("f8"), roots[:, 1:].astype("f8")
+    dim = max(q.shape[1], c.shape[1])
+    norms = np.linalg.norm(q, axis=1)
+    reach = _widened(q, dim) @ _widened(c, dim).T
+    wide = norms[:, None] * roots[:, 0].astype("f8")[None]
+    return reach + wide + 1e-6 * (1 + np.abs(reach) + wide)
+
+
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each query's tree of the highest bound among a block of roots."""
+    for batch in batches:
+        for m, queries, n, roots in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            (ids, q), (trees, r) = _matrix(queries, m), _matrix(roots, n)
+            bound = _bounds(q, r)
+            top = bound.argmax(1)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(trees[top]), pa.array(bound[np.arange(m), top])], names=["no", "tree", "bound"])
+
+
+def _reaching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Queries with each tree of a block of roots whose bound reaches their k-th score so far, but for the first tree."""
+    for batch in batches:
+        for m, queries, n, roots in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            (ids, q), (trees, r) = _matrix(queries, m), _matrix(roots, n)
+            at, to = np.nonzero((_bounds(q, r) >= q[:, :1].astype("f8")) & (q[:, 1:2] != trees[None]))
+            for k in range(0, len(at), 4096):
+                part = slice(k, k + 4096)
+                yield pa.RecordBatch.from_arrays([pa.array(trees[to[part]]), pa.array(ids[at[part]]), _lists(q[at[part]])], names=["part", "vec_id", "v"])
+
+
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: tuple = (None, None)
@@ -175,40 +249,78 @@ def _search(k: int):
                 if kept[0] != blob:
                     kept = (blob, MTree(*_matrix(blob, n)))
                 tree = kept[1]
-                ids, q = _matrix(queries, m)
-                dim = max(q.shape[1], tree.data.shape[1])
+                numbers, q = _matrix(queries, m)
+                dim = max(q.shape[1] - HEAD, tree.data.shape[1])
                 if tree.data.shape[1] < dim:
                     tree = MTree(tree.ids, _widened(tree.data, dim))
-                found = [(i, h) for i, v in zip(ids.tolist(), _widened(q, dim), strict=True) for h in tree.search(i, v, k, [])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([i for i, _ in found], pa.int64()), pa.array([-h[1] for _, h in found], pa.int64()), pa.array([h[0] for _, h in found], pa.int64())],
-                    names=["query_id", "vec_id", "score"],
-                )
+                found = []
+                for no, head, v in zip(numbers.tolist(), q[:, :HEAD].tolist(), _widened(q[:, HEAD:], dim), strict=True):
+                    found += [(no, head[2], -h[1], h[0]) for h in tree.search(head[2], v, k, [], head[0])]
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in range(4)], names=["no", "query_id", "vec_id", "score"])
 
     return run
 
 
-def _blobs(rows: DataFrame, parts: int, size: int) -> DataFrame:
-    """Each part holds about `size` rows and becomes a blob, or some."""
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias("part")
-    return rows.select(part, "vec_id", "v").repartition(parts, "part").mapInArrow(_blocks(size), "part int, n int, blob binary")
+def _blobs(rows: DataFrame, size: int, salts: int = 1, parts: int | None = None) -> DataFrame:
+    """Rows (part, vec_id, v) as blobs of `size` vectors; a part's rows are dealt to `salts` tasks."""
+    keys = ["part", F.pmod(F.xxhash64("vec_id"), F.lit(salts))] if salts > 1 else ["part"]
+    dealt = rows.repartition(parts, *keys) if parts else rows.repartition(*keys)
+    return dealt.select("part", "vec_id", "v").mapInArrow(_blocks(size), BLOBS)
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    return rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("long").alias("part"), "vec_id", "v")
+
+
+def _trees(rows: DataFrame, n: int, tree_rows: int) -> DataFrame:
+    """tree, n, blob: rows by their nearest pivot; a cell of more than tree_rows rows becomes several trees."""
+    wanted = max(1, min(PIVOTS, -(-n // tree_rows)))
+    pivots = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id", "v").select("v").limit(wanted).collect()]  # at most PIVOTS
+    dim = max(map(len, pivots), default=1)
+    near = _cells(np.array([v + [0] * (dim - len(v)) for v in pivots], "i8").reshape(-1, dim))
+    cells = staged(rows.select("vec_id", "v").mapInArrow(near, "cell int, vec_id long, v array<bigint>"), "cells")
+    sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / tree_rows).alias("splits"))  # a row for each pivot
+    part = F.col("cell").cast("long") * F.lit(1 << 20) + F.pmod(F.xxhash64("vec_id"), F.col("splits"))
+    dealt = cells.join(F.broadcast(sizes), "cell").select(part.cast("long").alias("part"), "vec_id", "v")
+    made = _blobs(dealt, tree_rows, parts=max(1, -(-n // tree_rows)))
+    return made.select((F.col("part") * F.lit(1 << 20) + F.col("nth")).alias("tree"), "n", "blob")
+
+
+def _met(queries: DataFrame, roots: DataFrame, query_parts: int, root_parts: int, query_rows: int) -> DataFrame:
+    """Blocks of queries with all blocks of roots (a stated query set against a row for each tree, in blocks)."""
+    blocks = _blobs(_dealt(queries.withColumnRenamed("no", "vec_id"), query_parts), query_rows, parts=query_parts)
+    spread = blocks.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(root_parts - 1).cast("long"))).alias("part"), F.col("n").alias("m"), F.col("blob").alias("queries"))
+    return spread.join(roots.select("part", "n", "blob"), "part").select("m", "queries", "n", "blob")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, tree_rows: int = TREE_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """The k rows of vectors(vec_id, embedding) of highest integer inner product with each row that is_query selects:
     query_id, rank, vec_id, score."""
     small_batches(vectors.sparkSession)
-    rows = staged(quantized(vectors).dropDuplicates(), "vectors")
-    queries = rows.where(is_query)
-    parts, query_parts = (max(1, -(-n // size)) for n, size in ((rows.count(), tree_rows), (queries.count(), query_rows)))
-    trees = staged(_blobs(rows, parts, tree_rows), "trees")
-    blocks = staged(_blobs(queries, query_parts, query_rows), "queries")
-    # each query block goes to each part of the candidates: blocks times parts rows, each a blob
-    spread = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.col("n").alias("m"), F.col("blob").alias("queries"))
-    met = trees.join(spread, "part").select("n", "blob", "m", "queries")
-    hits = met.mapInArrow(_search(k), HITS).repartition("query_id").dropDuplicates()
+    every = staged(quantized(vectors).dropDuplicates(), "vectors")
+    # of equal vectors the k + 1 with the smallest ids are all that a query can find: their scores tie, and one may be its own
+    nth = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    rows = staged(every.withColumn("nth", nth).where(F.col("nth") <= k + 1).drop("nth"), "candidates")
+    asked = staged(every.where(is_query).select(F.monotonically_increasing_id().alias("no"), "vec_id", "v"), "asked")
+    trees = staged(_trees(rows, rows.count(), tree_rows), "trees")
+    query_parts, root_parts = (max(1, -(-n // size)) for n, size in ((asked.count(), query_rows), (trees.count(), ROOT_ROWS)))
+    roots = staged(_blobs(_dealt(trees.mapInArrow(_summaries, "vec_id long, v array<bigint>"), root_parts), ROOT_ROWS), "roots")
+    headed = lambda floor, first: F.concat(F.array(floor, first, F.col("vec_id")), "v").alias("v")
+
+    def searched(pairs: DataFrame) -> DataFrame:
+        blocks = _blobs(pairs, query_rows, query_parts).select(F.col("part").alias("tree"), F.col("n").alias("m"), F.col("blob").alias("queries"))
+        return trees.join(blocks, "tree").select("n", "blob", "m", "queries").mapInArrow(_search(k), HITS)
+
+    none = F.lit(LOWEST)
+    best = _met(asked.select("no", headed(none, F.lit(-1).cast("long"))), roots, query_parts, root_parts, query_rows).mapInArrow(_nearest, "no long, tree long, bound double")
+    first = staged(best.groupBy("no").agg(F.max_by("tree", F.struct("bound", "tree")).alias("tree")), "first")
+    hits = staged(searched(asked.join(first, "no").select(F.col("tree").alias("part"), F.col("no").alias("vec_id"), headed(none, F.col("tree")))), "first_hits")
+    floors = hits.groupBy("no").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
+    known = asked.join(first, "no").join(floors, "no", "left").select("no", headed(F.coalesce("floor", none), F.col("tree")))
+    more = searched(_met(known, roots, query_parts, root_parts, query_rows).mapInArrow(_reaching, "part long, vec_id long, v array<bigint>"))
+    found = hits.unionByName(more).select("query_id", "vec_id", "score").repartition("query_id").dropDuplicates()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 #: Brute force over all pairs of queries (vec_id divisible by 50) and other rows.
