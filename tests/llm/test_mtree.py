@@ -48,3 +48,26 @@ def test_pruning_and_equal_vectors():
         s = data @ data[i]
         assert got == sorted(((int(x), -j) for j, x in enumerate(s) if j != i), reverse=True)[:5]
     assert sum(looked) < 0.5 * 20 * 3000
+
+
+def test_copies_and_blocks(spark, monkeypatch):
+    """A third of all rows are one vector; small trees, blocks of roots and of queries; clusters, and vectors of two lengths."""
+    monkeypatch.setattr(mtree, "ROOT_ROWS", 3)
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 3, (6, 5))
+    rows = [(i, [1.5, -2.0, 0.25, 3.0, 1.0] if i % 3 == 0 else (centres[i % 6] + rng.normal(0, 0.1, 5)).tolist()[: 5 - i % 2]) for i in range(400)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in mtree.top_k(vectors, F.col("vec_id") % 10 == 0, 5, tree_rows=40, query_rows=7).collect()}
+    assert got == brute(rows, {i for i, _ in rows if i % 10 == 0}, 5)
+
+
+def test_bounds_leave_far_trees_out():
+    rng = np.random.default_rng(3)
+    near, far = rng.integers(90, 110, (50, 4)), rng.integers(-110, -90, (50, 4))
+    roots = []
+    for data in (near, far):
+        centre = np.rint(data.mean(0)).astype("i8")
+        roots.append([int(np.ceil(np.linalg.norm(data - centre, axis=1).max() + 1)), *centre])
+    query = np.array([[30000, 0, 1, 100, 100, 100, 100]], "i8")
+    bound = mtree._bounds(query, np.array(roots, "i8"))[0]
+    assert bound[0] >= (near @ query[0, 3:]).max() >= 30000 > bound[1] >= (far @ query[0, 3:]).max()
