@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from harvestry.llm.common import small_batches, staged
 
 #: Rows of a tree, entries of a page, queries of a block. A tree of 8192 vectors of 64 parts takes 4 MB.
-TREE_ROWS, PAGE, QUERY_ROWS = 8192, 64, 1024
+TREE_ROWS, PAGE, QUERY_ROWS = 8192, 256, 1024
 #: Most pivots that rows are dealt by, roots of a block, and what a query's vector begins with: its k-th score so far (LOWEST
 #: if it has none), the tree searched first, its own id.
 PIVOTS, ROOT_ROWS, HEAD, LOWEST = 1024, 8192, 3, -(1 << 63)
