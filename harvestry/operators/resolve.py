@@ -18,7 +18,7 @@ from harvestry.functions.text import crop_key, display_name, market_key, normali
 from harvestry.operators.components import components
 from harvestry.operators.similar import best_match, similar_pairs
 from harvestry.schema import CROP_FUZZY, MARKET_FUZZY
-from harvestry.sources.staging import numbered, staged
+from harvestry.sources.staging import counted, numbered, staged
 
 
 def canonical_districts(rows: DataFrame, aliases: DataFrame, district: str = "district") -> DataFrame:
@@ -44,8 +44,9 @@ def resolve(keys: DataFrame, entities: DataFrame, aliases: DataFrame, blocks: li
     return out.select("key", *blocks, F.coalesce("exact_id", "alias_id", "fuzzy_id").alias("entity_id"), method.alias("method"), "similarity")
 
 
-#: Pairs of a component up to which one task goes through it; larger ones go level by level.
-COMPONENT_PAIRS = 500_000
+#: Pairs of a component up to which one task goes through it; larger ones go level by level. Pairs of components that are gone
+#: through together.
+COMPONENT_PAIRS, TOGETHER = 500_000, 50_000
 
 
 def _in_order(pairs: pa.Table) -> pa.Table:
@@ -80,16 +81,17 @@ def _by_levels(pairs: DataFrame) -> DataFrame:
 def leaders_of(pairs: DataFrame, most: int | None = None) -> DataFrame:
     """id, leader of every id of pairs(id, earlier, similarity) that doesn't get an entity of its own when ids (numbers) come
     in order: each joins the most similar earlier one that has (of ties the first), and only without any it gets its own.
-    Ids of different components don't matter to each other, so each component is gone through in one task; the rounds
-    that find the components grow with the logarithm of a chain's length."""
-    pairs = staged(pairs.select("id", "earlier", "similarity"), "alike")
-    if pairs.isEmpty():
+    Ids of different components don't matter to each other, so each component is gone through in one task, small ones
+    together; the rounds that find the components grow with the logarithm of a chain's length."""
+    pairs, n = counted(pairs.select("id", "earlier", "similarity"), "alike")
+    if n == 0:
         return pairs.select("id", F.col("earlier").alias("leader"))
     roots = components(pairs.select(F.col("id").alias("a"), F.col("earlier").alias("b")))
     placed = staged(pairs.join(roots, "id"), "components")
     large = placed.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > (COMPONENT_PAIRS if most is None else most)).select("root")
     large = staged(large, "large")
-    small = placed.join(large, "root", "left_anti").groupBy("root").applyInArrow(_in_order, "id long, leader long")
+    lot = F.pmod(F.xxhash64("root"), F.lit(n // TOGETHER + 1)).alias("lot")
+    small = placed.join(large, "root", "left_anti").groupBy(lot).applyInArrow(_in_order, "id long, leader long")
     if large.isEmpty():
         return small
     return small.unionByName(_by_levels(staged(placed.join(large, "root", "left_semi"), "large")))

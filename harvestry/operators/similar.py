@@ -1,9 +1,9 @@
 """Fuzzy lookups and sweeps for duplicates by trigram similarity.
 
-Pairs come from shared trigrams, not from a nested loop: a similarity above a threshold t needs a shared trigram among the
-rarest |x| - ceil(t |x|) + 1 of each side (prefix filtering), so names are joined on those and verified. With a block
-column only names of one block meet. A trigram that very many names have among their rarest is dealt over tasks by a
-hash of the name on one side, and copied for each of these tasks on the other.
+Pairs come from shared trigrams, not from a nested loop: a similarity above a threshold t needs k shared trigrams among the
+rarest |x| - ceil(t |x|) + k of each side (prefix filtering), so names are joined on a rare one of those or on two frequent
+ones, passed by bitmaps, and verified. With a block column only names of one block meet. A key that very many names may
+have is dealt over tasks by a hash of the name on one side, and copied for each of these tasks on the other.
 
 A sweep may also be kept up to date: the order of trigrams is frozen, the names' rarest trigrams are stored under it, and
 new names alone look theirs up. Trigrams that the frozen order doesn't know count as the rarest.
@@ -11,7 +11,7 @@ new names alone look theirs up. Trigrams that the frozen order doesn't know coun
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.functions.trigram import overlap, trigrams
@@ -52,15 +52,72 @@ def _verified(met: DataFrame, threshold: float) -> DataFrame:
     return found.where(F.col("similarity") > threshold)
 
 
+#: Names up to which a trigram is a key by itself; of more frequent ones two together are.
+RARE = 64
+
+
+def _sets(names: DataFrame, blocks: list[str]) -> tuple[DataFrame, int | None]:
+    """nr, id, blocks, grams of names, and the least number of trigrams of one; None if there are none."""
+    rows = names.select("id", *blocks, trigrams(F.col("name")).alias("grams")).where(F.size("grams") > 0)
+    rows = staged(rows.withColumn("nr", F.monotonically_increasing_id()), "sets")
+    return rows, rows.agg(F.min(F.size("grams"))).head()[0]
+
+
+def _least_shared(total: Column, threshold: float) -> Column:
+    """Trigrams that two names with so many in all share at least if their similarity is above the threshold."""
+    return (F.floor(total * (threshold / (1 + threshold)) - 1e-9) + 1).cast("int")
+
+
+def _keys(sets: DataFrame, ranks: DataFrame, threshold: float, blocks: list[str], least: int, hot: int | None) -> DataFrame:
+    """nr, size, bits, key: hashes under which a name meets all names that resemble it and have at least `least` trigrams.
+    Two names that share k trigrams share two of their first size - k + 2 in any order, so a key is a rare one of these or two
+    frequent ones; names so short that a single shared trigram may do have all of theirs. bits is a bitmap of the
+    trigrams. With hot also salts, into how many tasks a key is dealt."""
+    block = F.xxhash64(*blocks) if blocks else F.lit(0).cast("long")
+    grams = sets.select("nr", block.alias("block"), F.explode("grams").alias("gram")).join(ranks, "gram").withColumn("h", F.xxhash64("gram"))
+    own = grams.groupBy("nr", "block").agg(F.array_sort(F.collect_list(F.struct("n", "h"))).alias("by"), F.bit_or(F.expr("shiftleft(1L, cast(pmod(h, 64) as int))")).alias("bits"))
+    size = F.size("by")
+    keep = size - _least_shared(size + F.greatest(F.ceil(size * threshold - 1e-9).cast("int"), F.lit(least)), threshold) + 2
+    own = own.withColumns({"size": size, "first": F.slice("by", F.lit(1), F.greatest(F.least(keep, size), F.lit(1)))})
+    often = F.filter("first", lambda g: g["n"] > RARE)
+    own = own.withColumns({"often": often, "alone": F.when(F.col("size") * threshold < 1, F.col("by")).otherwise(F.filter("first", lambda g: g["n"] <= RARE))})
+    key = lambda n, *hashes: F.xxhash64("block", *hashes) if hot is None else F.struct(F.xxhash64("block", *hashes).alias("key"), F.least(F.ceil(n / max(hot, 1)), F.lit(SALTS)).cast("int").alias("salts"))
+    two = F.flatten(F.transform("often", lambda g, i: F.transform(F.slice("often", i + 2, F.size("often")), lambda o: key(g["n"], g["h"], o["h"]))))
+    each = F.explode(F.concat(F.transform("alone", lambda g: key(g["n"], g["h"])), two)).alias("key")
+    rows = own.select("nr", "size", "bits", each)
+    return rows if hot is None else rows.select("nr", "size", "bits", "key.*")
+
+
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, blocks: list[str] | None = None, once: bool = False, hot: int = HOT) -> DataFrame:
     """l_id, r_id, similarity of left(id, name) and right(id, name) with a similarity strictly above the threshold,
-    within equal block columns. With once, for a table and itself, only pairs of l_id < r_id are formed."""
+    within equal block columns. With once, for a table and itself, only pairs of l_id < r_id are formed. Names that meet
+    under a key are compared by their bitmaps, which differ in no more bits than the names in trigrams; only what is left
+    is written and verified."""
     blocks = blocks or []
-    a = left.withColumn("grams", trigrams(F.col("name"))).select("id", "grams", *blocks)
-    b = right.withColumn("grams", trigrams(F.col("name"))).select("id", "grams", *blocks)
-    ranks = gram_order(left.select("name").unionByName(right.select("name")))
-    met = _met(prefixes(a, ranks, threshold, blocks), prefixes(b, ranks, threshold, blocks), blocks, hot)
-    return _verified(met.where("l_id < r_id") if once else met, threshold)
+    a, least_a = _sets(left, blocks)
+    b, least_b = (a, least_a) if once or least_a is None else _sets(right, blocks)
+    if least_a is None or least_b is None:
+        return left.limit(0).select(F.col("id").alias("l_id")).join(right.limit(0).select(F.col("id").alias("r_id"))).withColumn("similarity", F.lit(0.0))
+    ranks = a.select("grams") if once else a.select("grams").unionByName(b.select("grams"))
+    ranks = staged(ranks.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")), "ranks")
+    hot = hot if ranks.agg(F.max("n")).head()[0] > hot else None
+    x = _keys(a, ranks, threshold, blocks, least_b, hot).withColumnsRenamed({"nr": "l", "size": "l_size", "bits": "l_bits"})
+    y = _keys(b, ranks, threshold, blocks, least_a, hot).withColumnsRenamed({"nr": "r", "size": "r_size", "bits": "r_bits"})
+    if hot is not None:  # a frequent key's rows of y are dealt by a salt, and x's are copied for each
+        x = x.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+        y = y.withColumn("salt", F.pmod(F.xxhash64("r"), F.col("salts")).cast("int")).drop("salts")
+    total = F.col("l_size") + F.col("r_size")
+    alike = F.bit_count(F.col("l_bits").bitwiseXOR(F.col("r_bits"))) <= total - 2 * _least_shared(total, threshold)
+    met = x.join(y, ["key", *([] if hot is None else ["salt"])]).where(alike)
+    met = (met.where("l < r") if once else met).select("l", "r").distinct()
+    p, q = (rows.select(F.col("nr").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("id", "grams", *blocks))) for side, rows in (("l", a), ("r", b)))
+    both = met.join(p, "l").join(q, "r")
+    for c in blocks:
+        both = both.where(F.col(f"l_{c}") == F.col(f"r_{c}"))
+    found = both.select("l_id", "r_id", overlap(F.col("l_grams"), F.col("r_grams")).alias("similarity")).where(F.col("similarity") > threshold)
+    if once:
+        found = found.where("l_id <> r_id").select(F.least("l_id", "r_id").alias("l_id"), F.greatest("l_id", "r_id").alias("r_id"), "similarity")
+    return found.groupBy("l_id", "r_id").agg(F.max("similarity").alias("similarity"))
 
 
 class SweepIndex:
