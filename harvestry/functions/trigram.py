@@ -13,11 +13,17 @@ def trigrams(c: Column) -> Column:
     return F.array_distinct(F.flatten(parts))
 
 
+def gram_codes(c: Column) -> Column:
+    """The trigrams of a string as numbers, the code points of each side by side: as distinct, and faster to compare."""
+    point = lambda g, i: F.ascii(F.substring(g, i, 1)).cast("long")
+    return F.transform(trigrams(c), lambda g: point(g, 1) * (1 << 42) + point(g, 2) * (1 << 21) + point(g, 3))
+
+
 def overlap(a: Column, b: Column) -> Column:
     """Similarity of two arrays of distinct trigrams; 0 if both are empty."""
     shared = F.size(F.array_intersect(a, b))
-    every = F.size(a) + F.size(b) - shared
-    return F.when(every == 0, 0.0).otherwise(shared.cast("double") / every)
+    both = F.size(a) + F.size(b)
+    return F.when(both == 0, 0.0).otherwise(shared.cast("double") / (both - shared))
 
 
 def similarity(a: Column, b: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -61,12 +62,16 @@ def stale(rows: DataFrame, at: Column, now: Column, age: str) -> DataFrame:
     return rows.where(at < now - F.expr(f"interval {age}"))
 
 
-def coordinate_collisions(entities: DataFrame, score, least: float = 0.3, block: int = BLOCK) -> DataFrame:
+def coordinate_collisions(entities: DataFrame, score, least: float = 0.3, block: int = BLOCK, of: Callable[[Column], Column] | None = None) -> DataFrame:
     """id_a < id_b of entities(id, name, lat, lng) at the same place whose names score under `least`. A place that very many
-    have is compared block by block."""
-    met = pairs_within(entities.select("id", "name", "lat", "lng"), ["lat", "lng"], "id", block=block)
-    rows = met.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"), "a.lat", "a.lng")
-    return rows.withColumn("score", score(F.col("name_a"), F.col("name_b"))).where(F.col("score") < least)
+    have is compared block by block. With of, a function of a name, score takes its values, which are made once a name
+    instead of once a pair."""
+    rows = entities.select("id", "name", "lat", "lng")
+    if of is not None:
+        rows = rows.withColumn("of", of(F.col("name")))
+    met, what = pairs_within(rows, ["lat", "lng"], "id", block=block), "name" if of is None else "of"
+    rows = met.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), F.col("a.name").alias("name_a"), F.col("b.name").alias("name_b"), "a.lat", "a.lng", score(F.col(f"a.{what}"), F.col(f"b.{what}")).alias("score"))
+    return rows.where(F.col("score") < least)
 
 
 def union(findings: list[DataFrame]) -> DataFrame:

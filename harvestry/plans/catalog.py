@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestry.functions import geo, prices, text
-from harvestry.functions.trigram import similarity
+from harvestry.functions.trigram import gram_codes, overlap, similarity
 from harvestry.operators import audit, batches, latest, merge, resolve, serving, similar, upsert
 from harvestry.sources.staging import numbered
 from harvestry.sources.tables import load
@@ -259,7 +259,7 @@ def q18_stale_backlog(spark, sf_dir):
 SELECT a.id AS id_a, b.id AS id_b, a.lat, a.lng, round({_similar('a.name', 'b.name')}, 4) AS score FROM s a JOIN s b ON a.lat = b.lat AND a.lng = b.lng AND a.id < b.id WHERE {_similar('a.name', 'b.name')} < 0.8""")
 def q19_coord_collision(spark, sf_dir):
     places = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), (F.round(F.col("s_acctbal") / 1000) + 0.0).alias("lat"), (F.col("s_nationkey") % 5).cast("double").alias("lng"))
-    return audit.coordinate_collisions(places, similarity, 0.8).select("id_a", "id_b", "lat", "lng", F.round("score", 4).alias("score"))
+    return audit.coordinate_collisions(places, overlap, 0.8, of=gram_codes).select("id_a", "id_b", "lat", "lng", F.round("score", 4).alias("score"))
 
 
 @query("""WITH f AS (
