@@ -8,11 +8,12 @@ distinct keys are written between the tiers: each tier reads its keys several ti
 from __future__ import annotations
 
 import dataclasses
+import uuid
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from harvestry.functions.text import crop_key, display_name, market_key, normalize_kind, slug_with_suffix
 from harvestry.operators.components import components
@@ -226,5 +227,17 @@ def with_fresh(entities: DataFrame, fresh: DataFrame, **values: Column) -> DataF
 
 def first_seen(rows: DataFrame, keys: list[str], seq: str, flag: str = "first_seen_this_run") -> DataFrame:
     """rows with a flag for the first row of each key."""
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(seq)) == 1
-    return rows.withColumn(flag, first)
+    return first_seen_each(rows, {flag: keys}, seq)
+
+
+def first_seen_each(rows: DataFrame, flags: dict[str, list[str]], seq: str) -> DataFrame:
+    """rows with several such flags. The first rows are aggregated, so a key that very many rows have isn't sorted in one
+    task; rows are written once, with a number each, so that of rows of one place in the order only one is first."""
+    columns = rows.columns
+    place, first = (f"{name}_{uuid.uuid4().hex}" for name in ("place", "first"))
+    rows = staged(rows.withColumn(place, F.monotonically_increasing_id()), "seen")
+    for n, (flag, keys) in enumerate(flags.items()):
+        own = rows.groupBy(*(F.col(k).alias(f"{first}_{n}_{i}") for i, k in enumerate(keys))).agg(F.min(F.struct(seq, place)).getField(place).alias(first))
+        same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"{first}_{n}_{i}")) for i, k in enumerate(keys)))
+        rows = rows.join(own, same, "left").withColumn(flag, F.col(place).eqNullSafe(F.col(first))).select(*rows.columns, flag)
+    return rows.select(*columns, *flags)

@@ -52,12 +52,12 @@ class Ingested:
     crop_aliases: DataFrame
 
 
-def ingest(raw: DataFrame, dims: Dimensions, existing: DataFrame, source: str, batch_id: str, seq: str = "seq", now: Column | None = None) -> Ingested:
+def ingest(raw: DataFrame, dims: Dimensions, existing: DataFrame, source: str, batch_id: str, seq: str = "seq", now: Column | None = None, split: tuple[DataFrame, DataFrame] | None = None) -> Ingested:
     """raw has `record map<string,string>` and an order column. existing are stored prices, for precedence. With tables of
     varieties and grades, prices get their ids as well. Parsed and resolved records are written once; all outputs read
-    them."""
+    them. split is what parse_records gave for raw, if the caller has it."""
     now = F.current_timestamp() if now is None else now
-    parsed, rejected = parse_records(raw)
+    parsed, rejected = split or parse_records(raw)
     parsed = parsed.withColumn("resource", F.lit(source)).withColumn("batch_id", F.lit(batch_id))
     named = parsed.withColumns({"variety": normalize_kind("raw_variety"), "grade": normalize_kind("raw_grade"), "source_mandi_name": F.col("market"), "raw_district": F.col("district")})
     markets = resolve.markets_of(named, dims.markets, dims.market_aliases, dims.district_aliases, source=source)
@@ -67,7 +67,7 @@ def ingest(raw: DataFrame, dims: Dimensions, existing: DataFrame, source: str, b
         kinds = resolve.kinds_of(found, dims.varieties, "crop_id", "variety", "variety_id", dims.variety_aliases)
         below = resolve.kinds_of(kinds.rows, dims.grades, "variety_id", "grade", "grade_id")
         found, varieties, grades = below.rows, resolve.with_fresh(dims.varieties, kinds.fresh), resolve.with_fresh(dims.grades, below.fresh)
-    found = staged(resolve.first_seen(resolve.first_seen(found, ["mandi_id"], seq, "first_market"), ["crop_id"], seq, "first_crop"), "ingested")
+    found = staged(resolve.first_seen_each(found, {"first_market": ["mandi_id"], "first_crop": ["crop_id"]}, seq), "ingested")
     entries = upsert.content_dedup(found.withColumn("district", F.col("raw_district")), seq=seq)
     new_market = F.col("first_market") & (F.col("mandi_method") == "CREATED")
     new_crop = F.col("first_crop") & (F.col("crop_method") == "CREATED")

@@ -22,7 +22,7 @@ from harvestry import schema
 from harvestry.functions.text import name_match, state_tag
 from harvestry.operators import audit, batches, latest, upsert
 from harvestry.plans import jobs
-from harvestry.sources.staging import counted, staged
+from harvestry.sources.staging import counted, spread, staged
 from harvestry.sources.tables import current, parse_records, record_date
 from harvestry.sources.versions import Lease, Versions
 
@@ -102,12 +102,14 @@ def run(store: Versions, job_name: str, batch_id: str, raw: DataFrame | Callable
 
 
 def _take(store: Versions, job_name: str, batch_id: str, work: Work, source: str, now: datetime.datetime, log: DataFrame, marks: dict, seq: str) -> Run:
-    stamp, state, raw, pages = F.lit(now), store.state(), work.raw, work.pages
-    parsed, _ = parse_records(raw)
+    # records take little room as files, and much time to parse: they are dealt over all tasks and parsed once
+    stamp, state, raw, pages = F.lit(now), store.state(), staged(spread(work.raw), "raw"), work.pages
+    parsed, rejected = parse_records(raw)
+    parsed = staged(parsed, "parsed")
     days = [r[0] for r in parsed.select("price_date").distinct().collect()]  # a row for each day of the batch
     first = not store.has("prices")
     existing = None if first else store.read("prices", days)
-    done = jobs.ingest(raw, dimensions(store), store.spark.createDataFrame([], schema.PRICES) if first else existing, source, batch_id, seq, stamp)
+    done = jobs.ingest(raw, dimensions(store), store.spark.createDataFrame([], schema.PRICES) if first else existing, source, batch_id, seq, stamp, (parsed, rejected))
     fresh, processed = counted(done.prices, "fresh")
     prices = staged(upsert.last_wins(fresh, schema.PRICE_KEY, ["batch_id"]) if first else upsert.upsert(existing, fresh, schema.PRICE_KEY, ["batch_id"]), "prices")
     entries = done.entries if not store.has("raw_entries") else upsert.merge_raw(store.read("raw_entries", days), done.entries)[0]
@@ -184,7 +186,7 @@ def by_dates(store: Versions, job_name: str, read: Callable[[list[datetime.date]
         def work() -> Work:
             got = read(part)  # noqa: B023
             day = record_date()
-            return dataclasses.replace(got, raw=staged(got.raw.where(day.isin(part) | day.isNull()), "records"))  # noqa: B023
+            return dataclasses.replace(got, raw=staged(spread(got.raw).where(day.isin(part) | day.isNull()), "records"))  # noqa: B023
 
         try:
             done.append((part, run(store, job_name, f"{job_name}-{now:%Y%m%d%H%M%S}-{asked[0]:%Y%m%d}-{asked[1]:%Y%m%d}", work, source, now, dates=asked)))

@@ -32,6 +32,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt evenly over as many tasks as the session has cores, however few files or bytes it comes from."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """staged, and the number of rows, counted as they are written."""
     seen = Observation()
