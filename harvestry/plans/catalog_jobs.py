@@ -7,7 +7,6 @@ import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from harvestry import schema
 from harvestry.functions import geo, prices, terms, text
@@ -15,7 +14,7 @@ from harvestry.operators import latest, merge, resolve, serving, similar
 from harvestry.plans import jobs, runs
 from harvestry.plans.catalog import _CACHE_SQL, _FACTS_SQL, _NAMES_SQL, _merged, _names, _similar, observations, query
 from harvestry.sources import feed
-from harvestry.sources.staging import staged
+from harvestry.sources.staging import numbered, spread, staged
 from harvestry.sources.tables import load, parse_records
 from harvestry.sources.versions import Versions
 from harvestry.streaming import ticks
@@ -47,12 +46,14 @@ def _event_record() -> Column:
 def _event_rows(events: DataFrame) -> DataFrame:
     """seq, event_type, page, record: events as records of a feed, each on a page of its type's."""
     record = F.from_json(F.to_json(_event_record()), "map<string,string>")
-    return events.select(F.col("event_id").alias("seq"), "event_type", F.floor(F.col("event_id") / PAGE).cast("int").alias("page"), "ts", record.alias("record"))
+    return spread(events).select(F.col("event_id").alias("seq"), "event_type", F.floor(F.col("event_id") / PAGE).cast("int").alias("page"), "ts", record.alias("record"))
 
 
 def _event_pages(events: DataFrame) -> DataFrame:
     """state, page, body: events as records of a paged feed, in the order of their ids."""
-    placed = events.withColumn("place", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")) - 1).withColumn("record", _event_record())
+    placed = staged(numbered(events, ["event_type", "event_id"], "no"), "placed")  # types are few, so none is numbered in one task
+    starts = placed.groupBy(F.col("event_type").alias("type")).agg(F.min("no").alias("start"))
+    placed = placed.join(starts, F.col("event_type").eqNullSafe(F.col("type"))).withColumn("place", F.col("no") - F.col("start")).withColumn("record", _event_record())
     pages = placed.groupBy(F.col("event_type").alias("state"), F.floor(F.col("place") / PAGE).cast("int").alias("page"))
     rows = pages.agg(F.array_sort(F.collect_list(F.struct("place", "record"))).alias("rows"))  # a page has PAGE records
     return rows.select("state", "page", F.to_json(F.struct(F.size("rows").alias("total"), F.col("rows.record").alias("records"))).alias("body"))
