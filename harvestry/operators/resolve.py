@@ -19,7 +19,7 @@ from harvestry.functions.text import crop_key, display_name, market_key, normali
 from harvestry.operators.components import components
 from harvestry.operators.similar import best_match, similar_pairs
 from harvestry.schema import CROP_FUZZY, MARKET_FUZZY
-from harvestry.sources.staging import counted, numbered, staged
+from harvestry.sources.staging import numbered, staged
 
 
 def canonical_districts(rows: DataFrame, aliases: DataFrame, district: str = "district") -> DataFrame:
@@ -84,7 +84,8 @@ def leaders_of(pairs: DataFrame, most: int | None = None) -> DataFrame:
     in order: each joins the most similar earlier one that has (of ties the first), and only without any it gets its own.
     Ids of different components don't matter to each other, so each component is gone through in one task, small ones
     together; the rounds that find the components grow with the logarithm of a chain's length."""
-    pairs, n = counted(pairs.select("id", "earlier", "similarity"), "alike")
+    pairs = staged(pairs.select("id", "earlier", "similarity"), "alike")
+    n = pairs.count()
     if n == 0:
         return pairs.select("id", F.col("earlier").alias("leader"))
     roots = components(pairs.select(F.col("id").alias("a"), F.col("earlier").alias("b")))
