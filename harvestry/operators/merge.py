@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from harvestry.operators.upsert import keyed
-from harvestry.sources.staging import staged
+from harvestry.sources.staging import dealt, staged
+
+#: Markets that merge, up to this number (three ids each), are broadcast to their prices; beyond it Spark shuffles both.
+BROADCAST_ROWS = 1_000_000
 
 
 def final_targets(pairs: DataFrame, rounds: int = 30) -> DataFrame:
@@ -30,15 +33,19 @@ def merge_markets(prices: DataFrame, pairs: DataFrame, keys: list[str], values:
     loser's row with the key of a row that is there and equal values is dropped; one with other values stays beside it; the
     rest move. All rows of both sides keep the market they came from in `source`, and with
     names(id, name) its name in source_mandi_name."""
-    rows = keyed(prices, keys)
-    moving = rows.join(pairs, F.col(entity) == F.col("loser"))
-    rest = rows.join(pairs.select(F.col("loser").alias(entity)), entity, "left_anti")
-    involved = rest.join(pairs.select(F.col("survivor").alias(entity)).distinct(), entity, "left_semi").select(*prices.columns, F.lit(None).cast("long").alias("loser"), F.col(entity).alias("survivor"))
-    aside = rest.join(pairs.select(F.col("survivor").alias(entity)).distinct(), entity, "left_anti").select(prices.columns)
+    roles = pairs.select(F.col("loser").alias("__of"), "loser", "survivor")
+    ends = pairs.select("survivor").distinct().join(pairs.select(F.col("loser").alias("survivor")), "survivor", "left_anti")  # survivors that don't move on
+    roles = staged(roles.unionByName(ends.select(F.col("survivor").alias("__of"), F.lit(None).alias("loser"), "survivor")), "roles")
+    roles = F.broadcast(roles) if roles.count() <= BROADCAST_ROWS else roles
+    rows = staged(keyed(prices, keys).join(roles, F.col(entity) == F.col("__of"), "left"), "prices")
+    aside = rows.where("__of is null").select(prices.columns)
     other = ["survivor", *(k for k in keys if k not in (entity, source))]
     turn = F.struct(F.col("loser").isNotNull(), "loser")  # the survivor's rows, then each loser's
-    both = involved.unionByName(moving.select(*prices.columns, "loser", "survivor"))
-    met = both.withColumns({"equal": F.min(turn).over(Window.partitionBy(*other, *values)) < turn, "collides": F.min(turn).over(Window.partitionBy(*other)) < turn})
+    both = rows.where("__of is not null").select(*prices.columns, "loser", "survivor")
+    both = dealt(both, both.count(), *other)
+    # the second window takes its first turns from the first one, so one order of the rows serves both
+    met = both.withColumn("__equal", F.min(turn).over(Window.partitionBy(*other, *values))).withColumn("__key", F.min("__equal").over(Window.partitionBy(*other)))
+    met = met.withColumns({"equal": F.col("__equal") < turn, "collides": F.col("__key") < turn})
     moved = F.col("loser").isNotNull()
     stays = met.where(~moved | ~F.col("equal"))
     if names is not None:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from harvestry.functions import geo, prices, text
 from harvestry.functions.trigram import gram_codes, overlap, similarity
 from harvestry.operators import audit, batches, latest, merge, resolve, serving, similar, upsert
-from harvestry.sources.staging import numbered
+from harvestry.sources.staging import dealt, numbered
 from harvestry.sources.tables import load
 from harvestry.streaming import ticks
 
@@ -300,9 +300,10 @@ def q22_merge_counts(spark, sf_dir):
 
 def _merged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Suppliers 2k + 1 merge into 2k; the price of a brand, flag and year is the greatest quantity."""
-    lines = load(spark, sf_dir, "lineitem").join(load(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
-    keys = [F.col("l_suppkey").alias("mandi_id"), F.col("p_brand").alias("variety"), F.col("l_returnflag").alias("grade"), F.year("l_shipdate").alias("year")]
-    facts = lines.groupBy(*keys).agg(F.max("l_quantity").alias("modal_price")).withColumn("source_mandi_id", F.lit(None).cast("long"))
+    lines = load(spark, sf_dir, "lineitem")
+    keys = {"mandi_id": F.col("l_suppkey"), "variety": F.col("p_brand"), "grade": F.col("l_returnflag"), "year": F.year("l_shipdate")}
+    rows = lines.join(load(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey")).select(*(v.alias(k) for k, v in keys.items()), "l_quantity")
+    facts = dealt(rows, lines.count(), *keys).groupBy(*keys).agg(F.max("l_quantity").alias("modal_price")).withColumn("source_mandi_id", F.lit(None).cast("long"))
     pairs = load(spark, sf_dir, "supplier").where("s_suppkey % 2 = 1").select(F.col("s_suppkey").alias("loser"), (F.col("s_suppkey") - 1).alias("survivor"))
     return merge.merge_markets(facts, pairs, ["mandi_id", "variety", "grade", "year", "source_mandi_id"], ["modal_price"])
 

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Rows for one task that sorts or hashes them.
+TASK_ROWS = 500_000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which driver and executors share; a temporary one in a local session without it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,6 +41,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df, of some number of rows, dealt by keys over so many tasks that each has about TASK_ROWS, however few partitions
+    a shuffle of the session has or is coalesced to: what a task holds doesn't grow with the table."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)), *keys)
+
+
 def counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """staged, and the number of rows, counted as they are written."""
     seen = Observation()

@@ -2,6 +2,7 @@ import dataclasses
 import datetime
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -282,6 +283,21 @@ def test_losers_merge_one_after_the_other(spark):
     assert sorted((r.e, r.k, r.n) for r in keyed.collect()) == [(0, "x", 1), (0, "y", 3), (0, "z", 4)]
 
 
+def test_rows_of_a_merge_are_dealt_by_their_number_and_sorted_once(spark, monkeypatch):
+    monkeypatch.setattr(staging, "TASK_ROWS", 40, raising=False)
+    rows = [(m, f"v{k}", float(k % 3 if m else 1), None) for m in range(4) for k in range(100)]  # market 3 stays aside
+    facts = spark.createDataFrame(rows, "mandi_id long, variety string, modal_price double, source_mandi_id long")
+    pairs = spark.createDataFrame([(1, 0), (2, 0)], "loser long, survivor long")
+    after, counts = merge.merge_markets(facts, pairs, ["mandi_id", "variety", "source_mandi_id"], ["modal_price"])
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 2 and plan.count(" Sort [") == 1
+    assert re.search(r"hashpartitioning\(survivor#\w+, variety#\w+, 8\)", plan)  # 300 rows, whatever the session's 4 partitions are
+    assert sorted(tuple(r) for r in counts.collect()) == [(1, 0, 33, 67, 0), (2, 0, 100, 0, 0)]
+    assert after.count() == 400 - 133 and after.where("mandi_id = 3 and source_mandi_id is null").count() == 100
+    none = merge.merge_markets(facts.limit(0), pairs.limit(0), ["mandi_id", "variety", "source_mandi_id"], ["modal_price"])
+    assert [d.count() for d in none] == [0, 0]
+
+
 def test_merge_entity_cascades(spark):
     entity = "id long, {}normalized_name string, status string, merged_into_id long"
     crops = spark.createDataFrame([(1, "a", "ACTIVE", None), (2, "b", "ACTIVE", None)], entity.format(""))
