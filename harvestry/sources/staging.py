@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Spark's option to delete the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Rows for one task that sorts or hashes them.
 TASK_ROWS = 500_000
 
@@ -27,12 +30,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """df written to the shared folder and read back: its plan ends there, so plans built on it stay small, and lost
-    executors cost no recomputation. The files go when the driver's JVM ends."""
+    executors cost no recomputation. Its shuffle files go as soon as it is written, not when the driver happens to collect
+    garbage; the written files go when the driver's JVM ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/harvestry/{label}-{uuid.uuid4().hex}"
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
