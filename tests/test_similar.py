@@ -57,7 +57,7 @@ def test_names_are_shuffled_under_first_trigrams_only(spark):
     names = spark.range(20_000).select("id", F.md5(F.col("id").cast("string")).alias("name"))
     before = shuffled(spark)
     assert not similar.similar_pairs(names, names, 0.6, once=True).collect()
-    assert shuffled(spark) - before < 20_000 * 1_500  # bytes
+    assert shuffled(spark) - before < 20_000 * 800  # bytes, of which there were 1241 a name and are 437
 
 
 @pytest.mark.parametrize("once,threshold,blocks,hot,rare", [(True, 0.3, [], 20, 2), (False, 0.3, ["block"], 20, 2), (False, 0.6, [], 5, 0), (True, 0.2, ["block"], 1000, 64)])
